@@ -18,7 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event as a scored article; the detector votes are thresholds on its score."""
+    """Each event as a scored article. The detector votes are thresholds on its score, so that
+    every query that reads them can be checked; the detectors have their own queries."""
     p = F.col("p_fake")
     return (
         table(spark, sf_dir, "events")
@@ -32,12 +33,14 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("props").alias("body"),
             F.concat(F.lit("https://news.example/"), F.col("event_id").cast("string")).alias("url"),
             F.when(F.col("user_id") % 2 == 0, "fr").otherwise("en").alias("language"),
+            "user_id",
         )
         .withColumn("is_fake", F.when(p > 0.5, 1).otherwise(0))
         .withColumn("confidence", F.greatest(p, 1 - p))
-        .withColumn("adwin", p > 0.93)
-        .withColumn("kswin", p > 0.9)
-        .withColumn("page_hinkley", p > 0.945)
+        .withColumn("adwin", (p > 0.94) & (F.col("user_id") % 3 != 0))
+        .withColumn("kswin", (p > 0.94) & (F.col("user_id") % 2 == 0))
+        .withColumn("page_hinkley", p > 0.93)
+        .drop("user_id")
         .withColumn(
             "drift_score", F.round(scores.composite(F.col("adwin"), F.col("kswin"), F.col("page_hinkley")), 4)
         )
@@ -46,18 +49,17 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SCORED = """scored AS (
-  SELECT *, CASE WHEN p_fake > 0.5 THEN 1 ELSE 0 END AS is_fake,
-    greatest(p_fake, 1 - p_fake) AS confidence,
-    p_fake > 0.93 AS adwin, p_fake > 0.9 AS kswin, p_fake > 0.945 AS page_hinkley,
-    round(0.45e0 * CASE WHEN p_fake > 0.93 THEN 1 ELSE 0 END + 0.35e0 * CASE WHEN p_fake > 0.9 THEN 1 ELSE 0 END
-      + 0.20e0 * CASE WHEN p_fake > 0.945 THEN 1 ELSE 0 END, 4) AS drift_score,
-    p_fake > 0.93 AS drift_active
+  SELECT *, round(0.45e0 * adwin::INT + 0.35e0 * kswin::INT + 0.20e0 * page_hinkley::INT, 4) AS drift_score,
+    0.45e0 * adwin::INT + 0.35e0 * kswin::INT + 0.20e0 * page_hinkley::INT >= 0.5 AS drift_active
   FROM (
-    SELECT md5(CAST(event_id AS VARCHAR)) AS id, event_id AS seq, event_type AS source, ts AS processed_at,
-      value / (value + 20.0e0) AS p_fake, 'User ' || user_id || ' ' || event_type AS title, props AS body,
-      'https://news.example/' || event_id AS url,
-      CASE WHEN user_id % 2 = 0 THEN 'fr' ELSE 'en' END AS language
-    FROM events))"""
+    SELECT *, CASE WHEN p_fake > 0.5 THEN 1 ELSE 0 END AS is_fake, greatest(p_fake, 1 - p_fake) AS confidence,
+      p_fake > 0.94 AND user_id % 3 <> 0 AS adwin, p_fake > 0.94 AND user_id % 2 = 0 AS kswin, p_fake > 0.93 AS page_hinkley
+    FROM (
+      SELECT md5(CAST(event_id AS VARCHAR)) AS id, event_id AS seq, event_type AS source, ts AS processed_at,
+        value / (value + 20.0e0) AS p_fake, 'User ' || user_id || ' ' || event_type AS title, props AS body,
+        'https://news.example/' || event_id AS url,
+        CASE WHEN user_id % 2 = 0 THEN 'fr' ELSE 'en' END AS language, user_id
+      FROM events)))"""
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,40 +54,49 @@ def block_of(idx: Column, rows: int = BLOCK_ROWS) -> Column:
 def running(
     df: DataFrame,
     key: Sequence[str],
-    aggs: dict[str, tuple[str, Column]],
+    aggs: dict[str, tuple],
     *,
     idx: str = "idx",
-    inclusive: bool = True,
+    sliding: dict[str, tuple[Column, int]] | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Add running ``sum``/``max``/``min`` columns over rows 1..idx (or 1..idx-1) of each key.
+    """Add running and sliding columns to a numbered frame.
 
-    ``df`` is read twice, so pass a stored or cheap frame.
+    ``aggs``: name -> (``sum``|``max``|``min``, column[, inclusive]) over rows 1..idx of the
+    key, or 1..idx-1 when ``inclusive`` is False. ``sliding``: name -> (aggregate, rows) over
+    the last ``rows`` rows. All windows share one shuffle by (key, block). ``df`` is read
+    twice, so pass a stored or cheap frame.
     """
-    keys = list(key)
-    staged = df.withColumn("_block", block_of(F.col(idx), block_rows))
-    for name, (_, column) in aggs.items():
-        staged = staged.withColumn(f"_in_{name}", column)
-    totals = staged.groupBy(*keys, "_block").agg(
-        *[_AGGREGATE[kind](f"_in_{name}").alias(f"_tot_{name}") for name, (kind, _) in aggs.items()]
-    )
-    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        *keys,
-        "_block",
-        *[_AGGREGATE[kind](f"_tot_{name}").over(earlier).alias(f"_carry_{name}") for name, (kind, _) in aggs.items()],
-    )
-    local = Window.partitionBy(*keys, "_block").orderBy(idx).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow if inclusive else -1
-    )
-    joined = staged.join(carried, [*keys, "_block"])
-    return joined.select(
-        *df.columns,
-        *[
-            _COMBINE[kind](F.col(f"_carry_{name}"), _AGGREGATE[kind](f"_in_{name}").over(local)).alias(name)
-            for name, (kind, _) in aggs.items()
-        ],
+    keys, sliding = list(key), sliding or {}
+    lookback = max([rows - 1 for _, rows in sliding.values()], default=0)
+    staged = with_halo(df, lookback, idx=idx, block_rows=block_rows) if lookback else (
+        df.withColumn("block", block_of(F.col(idx), block_rows)).withColumn("halo", F.lit(False))
     )
+    spec = {name: (given[0], given[1], given[2] if len(given) > 2 else True) for name, given in aggs.items()}
+    if spec:
+        totals = df.groupBy(*keys, block_of(F.col(idx), block_rows).alias("block")).agg(
+            *[_AGGREGATE[kind](column).alias(f"_tot_{name}") for name, (kind, column, _) in spec.items()]
+        )
+        earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("block")
+        earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+        carried = totals.select(
+            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+            F.col("block").alias("_b"),
+            *[_AGGREGATE[kind](f"_tot_{name}").over(earlier).alias(f"_carry_{name}") for name, (kind, _, _) in spec.items()],
+        )
+        match = F.col("block") == F.col("_b")
+        for i, k in enumerate(keys):
+            match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        staged = staged.join(carried, match, "left")
+    rows = Window.partitionBy(*keys, "block").orderBy(idx)
+    added = []
+    for name, (kind, column, inclusive) in spec.items():
+        frame = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+        local = _AGGREGATE[kind](F.when(~F.col("halo"), column)).over(frame)
+        added.append(_COMBINE[kind](F.col(f"_carry_{name}"), local).alias(name))
+    for name, (aggregate, size) in sliding.items():
+        added.append(aggregate.over(rows.rowsBetween(1 - size, Window.currentRow)).alias(name))
+    return staged.select(*df.columns, "halo", *added).filter(~F.col("halo")).drop("halo")
 
 
 def with_halo(df: DataFrame, lookback: int, *, idx: str = "idx", block_rows: int = BLOCK_ROWS) -> DataFrame:
