@@ -156,7 +156,7 @@ def run_kswin(state: DetectorState, values: np.ndarray, alpha: float, seed: int,
             rows = state.rows + start + 1 + np.arange(ready, len(part))
             changed[ready:] = ks_changed(windows, rows, seed, alpha)
         held, seen = state.held, 0
-        for i in np.flatnonzero(changed):
+        for i in np.flatnonzero(changed).tolist():
             if held + (i + 1 - seen) >= KSWIN_WINDOW:
                 flags[start + i] = True
                 held, seen = KSWIN_RECENT, i + 1
