@@ -9,7 +9,7 @@ from catalog.article_queries import rounded
 from catalog.views import ARTICLES, LABELLED, SPACE, articles, labelled, table
 from newslens.functions import text
 from newslens.operators import corpus as ops
-from newslens.plans.storage import materialise
+from newslens.plans.storage import materialise, spread
 from newslens.sources import corpora
 
 WORD = r"\p{L}\p{N}_"
@@ -72,7 +72,8 @@ def train_texts(spark, sf):
 
 @register("clean_texts", f"SELECT doc_id AS seq, {clean_sql('text')} AS cleaned FROM documents")
 def clean_texts(spark, sf):
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), text.clean_text(F.col("text")).alias("cleaned"))
+    documents = spread(table(spark, sf, "documents"), "doc_id")
+    return documents.select(F.col("doc_id").alias("seq"), text.clean_text(F.col("text")).alias("cleaned"))
 
 
 @register("clean_pages", f"SELECT page_id, {clean_sql('html')} AS cleaned FROM pages")

@@ -166,8 +166,8 @@ def sanitise_scores(spark, sf):
 
 @register(
     "scores_from_logits",
-    f"""WITH {SCORED}, z AS (SELECT id, value - 20 AS a, CASE WHEN user_id % 4 = 0 THEN value - 20 ELSE user_id / 10.0e0 - value END AS b
-  FROM events JOIN scored ON seq = event_id),
+    """WITH z AS (SELECT md5(CAST(event_id AS VARCHAR)) AS id, value - 20 AS a,
+  CASE WHEN user_id % 4 = 0 THEN value - 20 ELSE user_id / 10.0e0 - value END AS b FROM events),
 e AS (SELECT id, exp(a - greatest(a, b)) AS x, exp(b - greatest(a, b)) AS y FROM z)
 SELECT id, CASE WHEN y > x THEN 1 ELSE 0 END AS label, round(greatest(x, y) / (x + y), 6) AS confidence,
   round(y / (x + y), 6) AS p_fake FROM e""",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.functions import scores, text
+from newslens.plans.storage import spread
 
 NOW = datetime(2024, 1, 30, 0, 0, 0)
 NOW_SQL = "TIMESTAMP '2024-01-30 00:00:00'"
@@ -20,31 +21,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as a scored article. The detector votes are thresholds on its score, so that
     every query that reads them can be checked; the detectors have their own queries."""
-    p = F.col("p_fake")
-    return (
-        table(spark, sf_dir, "events")
-        .select(
-            F.md5(F.col("event_id").cast("string")).alias("id"),
-            F.col("event_id").alias("seq"),
-            F.col("event_type").alias("source"),
-            F.col("ts").alias("processed_at"),
-            (F.col("value") / (F.col("value") + 20.0)).alias("p_fake"),
-            F.concat(F.lit("User "), F.col("user_id").cast("string"), F.lit(" "), F.col("event_type")).alias("title"),
-            F.col("props").alias("body"),
-            F.concat(F.lit("https://news.example/"), F.col("event_id").cast("string")).alias("url"),
-            F.when(F.col("user_id") % 2 == 0, "fr").otherwise("en").alias("language"),
-            "user_id",
-        )
-        .withColumn("is_fake", F.when(p > 0.5, 1).otherwise(0))
-        .withColumn("confidence", F.greatest(p, 1 - p))
-        .withColumn("adwin", (p > 0.94) & (F.col("user_id") % 3 != 0))
-        .withColumn("kswin", (p > 0.94) & (F.col("user_id") % 2 == 0))
-        .withColumn("page_hinkley", p > 0.93)
-        .drop("user_id")
-        .withColumn(
-            "drift_score", F.round(scores.composite(F.col("adwin"), F.col("kswin"), F.col("page_hinkley")), 4)
-        )
-        .withColumn("drift_active", F.col("drift_score") >= scores.DRIFT_THRESHOLD)
+    p, user = F.col("p_fake"), F.col("user_id")
+    events = table(spark, sf_dir, "events").select(
+        F.md5(F.col("event_id").cast("string")).alias("id"),
+        F.col("event_id").alias("seq"),
+        F.col("event_type").alias("source"),
+        F.col("ts").alias("processed_at"),
+        (F.col("value") / (F.col("value") + 20.0)).alias("p_fake"),
+        F.concat(F.lit("User "), user.cast("string"), F.lit(" "), F.col("event_type")).alias("title"),
+        F.col("props").alias("body"),
+        F.concat(F.lit("https://news.example/"), F.col("event_id").cast("string")).alias("url"),
+        F.when(user % 2 == 0, "fr").otherwise("en").alias("language"),
+        "user_id",
+    )
+    votes = (p > 0.94) & (user % 3 != 0), (p > 0.94) & (user % 2 == 0), p > 0.93
+    exact = scores.composite(*votes)
+    return events.select(
+        *[c for c in events.columns if c != "user_id"],
+        F.when(p > 0.5, 1).otherwise(0).alias("is_fake"),
+        F.greatest(p, 1 - p).alias("confidence"),
+        *[vote.alias(name) for vote, name in zip(votes, ("adwin", "kswin", "page_hinkley"))],
+        F.round(exact, 4).alias("drift_score"),
+        (F.round(exact, 4) >= scores.DRIFT_THRESHOLD).alias("drift_active"),
     )
 
 
@@ -64,7 +62,7 @@ SCORED = """scored AS (
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document as an article: first line as title, the rest as body, whole texts."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     split_at = F.instr("text", "\n")
     title = F.when(split_at > 0, F.expr("substring(text, 1, instr(text, '\n') - 1)")).otherwise(F.col("text"))
     body = F.when(split_at > 0, F.expr("substring(text, instr(text, '\n') + 1)")).otherwise(F.lit(""))

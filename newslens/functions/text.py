@@ -70,6 +70,28 @@ def tokens(column: Column) -> Column:
     return F.regexp_extract_all(F.lower(or_empty(column)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
+def counts(values: Column) -> Column:
+    """Distinct elements of a non-empty array with their number, as structs (value, n).
+
+    The array is sorted and read off as runs inside its own row, so counting the words of
+    a document needs no shuffle. The one-element arrays make sure that each step is
+    evaluated once.
+    """
+
+    def runs(ordered: Column) -> Column:
+        differs = lambda i: F.element_at(ordered, i) != F.element_at(ordered, F.greatest(i - 1, F.lit(1)))
+        starts = F.filter(F.sequence(F.lit(1), F.size(ordered)), lambda i: (i == 1) | differs(i))
+        return F.flatten(F.transform(F.array(starts), lambda at: lengths(ordered, at)))
+
+    def lengths(ordered: Column, starts: Column) -> Column:
+        end = lambda k: F.coalesce(F.get(starts, k + 1), F.size(ordered) + 1)
+        return F.transform(
+            starts, lambda at, k: F.struct(F.element_at(ordered, at).alias("value"), (end(k) - at).cast("long").alias("n"))
+        )
+
+    return F.flatten(F.transform(F.array(F.sort_array(values)), runs))
+
+
 def words(column: Column) -> Column:
     """White-space separated words, stripped of edge punctuation and apostrophes."""
     pieces = F.split(F.lower(or_empty(column)), f"[{SPACE}]+")

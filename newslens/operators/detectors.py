@@ -137,7 +137,7 @@ def page_hinkley_series(
     """
     keys, c = list(key), F.col
     block_rows = min(block_rows, int(600 / -math.log(forgetting))) if forgetting < 1 else block_rows
-    indexed = materialise(_scores(df, order, keys, value), "ph-scores")
+    indexed = _scores(df, order, keys, value)
     summed = running(indexed, keys, {"_sum": ("sum", c("x"))}, block_rows=block_rows)
     gaps = materialise(summed.select(*keys, "idx", (c("x") - c("_sum") / c("idx")).alias("gap")), "ph-gaps")
     place = F.pmod(c("idx") - 1, F.lit(block_rows))
@@ -202,6 +202,7 @@ def detect(
     *,
     settings: Settings = Settings(),
     slice_rows: int = SLICE_ROWS,
+    keep_index: bool = False,
 ) -> DataFrame:
     """Add the votes ``adwin``, ``kswin``, ``page_hinkley`` of the sequential detectors.
 
@@ -209,12 +210,13 @@ def detect(
     walked in slices of ``slice_rows`` rows: a task never holds more than one slice, the
     state of a few kilobytes per sequence is stored between slices, and all sequences
     advance side by side. Give ``key`` enough values to occupy the cluster; for one long
-    sequence prefer the parallel forms above.
+    sequence prefer the parallel forms above. ``keep_index`` keeps the row number as
+    ``message_index``, which ``drift_state`` then need not work out again.
     """
     if not key:
         raise ValueError("give at least one key column; a constant column makes one sequence")
     keys = list(key)
-    indexed = materialise(with_index(df, order, keys).withColumn("x", scores.sanitise(F.col(value))), "detect-rows")
+    indexed = with_index(df, order, keys).withColumn("x", scores.sanitise(F.col(value)))
     slices = indexed.agg(F.max("idx").alias("rows")).first()["rows"] or 0
     kept = [indexed.schema[k] for k in keys]
     out_schema = T.StructType(
@@ -247,9 +249,10 @@ def detect(
         states = done.filter("idx = -1").select(*keys, "idx", F.lit(None).cast("double").alias("x"), "state")
         found = done.filter("idx > 0").drop("state")
         votes = found if votes is None else votes.unionByName(found)
+    names = ("adwin", "kswin", "page_hinkley")
     if votes is None:
-        return df.select("*", *[F.lit(False).alias(c) for c in ("adwin", "kswin", "page_hinkley")])
-    flagged = indexed.join(votes, [*keys, "idx"], "left")
-    return flagged.select(
-        *df.columns, *[F.coalesce(c, F.lit(False)).alias(c) for c in ("adwin", "kswin", "page_hinkley")]
-    )
+        flagged = indexed.select("*", *[F.lit(False).alias(c) for c in names])
+    else:
+        flagged = indexed.join(votes, [*keys, "idx"], "left")
+    index = [F.col("idx").alias("message_index")] if keep_index else []
+    return flagged.select(*df.columns, *index, *[F.coalesce(c, F.lit(False)).alias(c) for c in names])

@@ -44,13 +44,16 @@ def drift_state(
 ) -> DataFrame:
     """State of the monitor after every row.
 
-    Needs the three detector votes. A row whose composite reaches 0.5 switches drift on;
+    Needs the three detector votes, and numbers the rows unless they carry a
+    ``message_index``. A row whose composite reaches 0.5 switches drift on;
     it stays on until more than ``hold`` rows have passed since the last such row, and is
     confirmed while that last row's composite was at least 0.8.
     """
     keys, column = list(key), F.col
     exact = scores.composite(*[column(c) for c in DETECTORS.values()])
-    scored = message_index(df.withColumn("_composite", exact), order, keys)
+    scored = df.withColumn("_composite", exact)
+    if "message_index" not in df.columns:
+        scored = message_index(scored, order, keys)
     hit = column("_composite") >= scores.DRIFT_THRESHOLD
     sure = column("_composite") >= scores.CONFIRM_THRESHOLD
     staged = running(
@@ -67,14 +70,15 @@ def drift_state(
     )
     on = F.coalesce(column("message_index") - column("_hit") <= hold, F.lit(False))
     was_on = F.coalesce(column("message_index") - 1 - column("_before") <= hold, F.lit(False))
-    staged = (
-        staged.withColumn("composite_score", F.round("_composite", 4))
-        .withColumn("drift_active", on)
-        .withColumn("drift_confirmed", on & F.coalesce(column("_sure") == column("_hit"), F.lit(False)))
-        .withColumn("is_edge", F.coalesce(column("_hit") == column("message_index"), F.lit(False)) & ~was_on)
-        .withColumn("recommended_lr", scores.recommended_lr(on))
-        .withColumn("confidence_mean_last100", F.round("_mean", 4))
-        .drop("_composite", "_hit", "_sure", "_before", "_mean")
+    staged = staged.select(
+        *df.columns,
+        *([] if "message_index" in df.columns else ["message_index"]),
+        F.round("_composite", 4).alias("composite_score"),
+        on.alias("drift_active"),
+        (on & F.coalesce(column("_sure") == column("_hit"), F.lit(False))).alias("drift_confirmed"),
+        (F.coalesce(column("_hit") == column("message_index"), F.lit(False)) & ~was_on).alias("is_edge"),
+        scores.recommended_lr(on).alias("recommended_lr"),
+        F.round("_mean", 4).alias("confidence_mean_last100"),
     )
     stored = materialise(staged, "drift-state")
     edges = {"total_drift_events": ("sum", column("is_edge").cast("long"))}

@@ -46,7 +46,7 @@ def model_input(df: DataFrame) -> DataFrame:
     return df.withColumn("model_input", text.score_text(F.col("title"), F.col("body")))
 
 
-def train(df: DataFrame, label: str = "label", reg: float = 0.01, features: int = FEATURES, max_iter: int = 50) -> PipelineModel:
+def train(df: DataFrame, label: str = "label", reg: float = 0.01, features: int = FEATURES, max_iter: int = 25, tol: float = 1e-4) -> PipelineModel:
     """Weighted logistic regression over TF-IDF of the title and the start of the body."""
     weights = class_weights(df, label).first()
     weight = F.when(F.col(label) == 1, F.lit(weights["weight_fake"])).otherwise(F.lit(weights["weight_real"]))
@@ -55,7 +55,7 @@ def train(df: DataFrame, label: str = "label", reg: float = 0.01, features: int
         RegexTokenizer(inputCol="model_input", outputCol="terms", pattern=r"[\p{L}\p{N}]+", gaps=False),
         HashingTF(inputCol="terms", outputCol="counts", numFeatures=features),
         IDF(inputCol="counts", outputCol="features"),
-        LogisticRegression(labelCol=label, weightCol="class_weight", regParam=reg, maxIter=max_iter),
+        LogisticRegression(labelCol=label, weightCol="class_weight", regParam=reg, maxIter=max_iter, tol=tol),
     ]
     return Pipeline(stages=stages).fit(prepared.select("model_input", label, "class_weight"))
 
@@ -177,11 +177,8 @@ def hashed_features(df: DataFrame, column: str = "text", features: int = FEATURE
     """(row, feature, x): term counts per hashed term and a constant bias feature."""
     term_hash = lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % features
     hashed = F.concat(F.transform(text.tokens(F.col(column)), term_hash), F.array(F.lit(features).cast("long")))
-    return (
-        df.select("row", F.explode(hashed).alias("feature"))
-        .groupBy("row", "feature")
-        .agg(F.count("*").cast("double").alias("x"))
-    )
+    counted = df.select("row", F.explode(text.counts(hashed)).alias("c"))
+    return counted.select("row", F.col("c.value").alias("feature"), F.col("c.n").cast("double").alias("x"))
 
 
 def margins(features: DataFrame, weights: DataFrame) -> DataFrame:

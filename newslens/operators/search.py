@@ -38,14 +38,10 @@ def field_tokens(df: DataFrame) -> DataFrame:
 
 def build_index(df: DataFrame) -> Index:
     """Index of articles whose ids are unique. All tokens of a field sit in one input row, so
-    counting before the shuffle already reduces them to distinct terms."""
+    they are counted there and nothing is shuffled."""
     fields = field_tokens(df)
-    postings = (
-        fields.select("id", "field", "dl", F.explode("tokens").alias("term"))
-        .groupBy("id", "field", "dl", "term")
-        .agg(F.count("*").alias("tf"))
-        .select("id", "field", "term", "tf", "dl")
-    )
+    counted = fields.select("id", "field", "dl", F.explode(text.counts(F.col("tokens"))).alias("c"))
+    postings = counted.select("id", "field", F.col("c.value").alias("term"), F.col("c.n").alias("tf"), "dl")
     return Index(postings, fields.select("id", "field", "dl"))
 
 

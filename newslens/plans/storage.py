@@ -44,6 +44,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give CPU-heavy work on few input splits every core.
+
+    A small table in one row group arrives as a single task. Hash-partitioned by ``key``
+    only while there are fewer splits than cores; a large table stays as it was read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only if ``df`` is counted to hold at most ``max_rows`` rows.
 

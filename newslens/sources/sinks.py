@@ -119,12 +119,13 @@ def compact_articles(spark: SparkSession, root: str, upto: int) -> None:
 def upsert_report(current: DataFrame | None, batch: DataFrame) -> DataFrame:
     """How many ids of a batch are new and how many are replaced."""
     ids = batch.select("id").distinct()
-    if current is None:
-        return ids.agg(F.count("*").alias("inserts"), F.lit(0).cast("long").alias("updates"))
-    known = current.select("id", F.lit(True).alias("known"))
-    return ids.join(known, "id", "left").agg(
-        F.count_if(F.col("known").isNull()).alias("inserts"), F.count_if(F.col("known").isNotNull()).alias("updates")
-    )
+    zero = F.lit(0).cast("long")
+    sizes = ids.agg(F.count("*").alias("ids"), zero.alias("updates"))
+    if current is not None:
+        # The batch is the small side; the stored ids are only filtered by it.
+        known = current.select("id").join(ids, "id", "left_semi").agg(zero.alias("ids"), F.countDistinct("id").alias("updates"))
+        sizes = sizes.unionByName(known).agg(F.sum("ids").alias("ids"), F.sum("updates").alias("updates"))
+    return sizes.select((F.col("ids") - F.col("updates")).alias("inserts"), "updates")
 
 
 def write_postings(batch: DataFrame, batch_id: int, root: str) -> None:
