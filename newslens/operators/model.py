@@ -36,6 +36,7 @@ SYNC_EVERY = 100
 EVALUATION_ROWS = 2000
 
 FEATURES = 2**18
+BATCH_FEATURES = 2**16
 BIAS = FEATURES
 
 
@@ -46,7 +47,7 @@ def model_input(df: DataFrame) -> DataFrame:
     return df.withColumn("model_input", text.score_text(F.col("title"), F.col("body")))
 
 
-def train(df: DataFrame, label: str = "label", reg: float = 0.01, features: int = FEATURES, max_iter: int = 25, tol: float = 1e-4) -> PipelineModel:
+def train(df: DataFrame, label: str = "label", reg: float = 0.01, features: int = BATCH_FEATURES, max_iter: int = 25, tol: float = 1e-4) -> PipelineModel:
     """Weighted logistic regression over TF-IDF of the title and the start of the body."""
     weights = class_weights(df, label).first()
     weight = F.when(F.col(label) == 1, F.lit(weights["weight_fake"])).otherwise(F.lit(weights["weight_real"]))
