@@ -143,25 +143,33 @@ def ks_changed(windows: np.ndarray, last_rows: np.ndarray, seed: int, alpha: flo
     return np.abs(np.where(last_of_tie, gap, 0)).max(axis=1) >= ks_critical(KSWIN_RECENT, alpha)
 
 
-def run_kswin(state: DetectorState, values: np.ndarray, alpha: float, seed: int, chunk: int = 20_000) -> np.ndarray:
+def kswin_changes(values: np.ndarray, last_row: int, seed: int, alpha: float, chunk: int = 20_000) -> np.ndarray:
+    """The test at every position of consecutive ``values``, of which the last is row
+    ``last_row``; False where fewer than 99 values precede. Needs no state."""
+    changed = np.zeros(len(values), dtype=bool)
+    if len(values) >= KSWIN_WINDOW:
+        windows = np.lib.stride_tricks.sliding_window_view(values, KSWIN_WINDOW)
+        rows = last_row - len(values) + KSWIN_WINDOW + np.arange(len(windows))
+        for start in range(0, len(windows), chunk):
+            part = slice(start, start + chunk)
+            changed[KSWIN_WINDOW - 1 :][part] = ks_changed(windows[part], rows[part], seed, alpha)
+    return changed
+
+
+def run_kswin(state: DetectorState, values: np.ndarray, alpha: float, seed: int, changed: np.ndarray | None = None) -> np.ndarray:
+    """Alarms: the changes found while the window is full. An alarm leaves it 33 rows, so the
+    next one comes 67 rows later at the earliest. ``changed`` may hold the tests' outcome."""
+    joined = np.concatenate([np.array(state.recent, dtype=float), values])
+    if changed is None:
+        changed = kswin_changes(joined, state.rows + len(values), seed, alpha)[len(state.recent) :]
     flags = np.zeros(len(values), dtype=bool)
-    for start in range(0, len(values), chunk):
-        part = values[start : start + chunk]
-        joined = np.concatenate([np.array(state.recent, dtype=float), part])
-        ready = max(KSWIN_WINDOW - state.held - 1, 0)  # first row of this part with a full window
-        changed = np.zeros(len(part), dtype=bool)
-        if ready < len(part):
-            first = len(joined) - len(part) + ready
-            windows = np.lib.stride_tricks.sliding_window_view(joined[first - KSWIN_WINDOW + 1 :], KSWIN_WINDOW)
-            rows = state.rows + start + 1 + np.arange(ready, len(part))
-            changed[ready:] = ks_changed(windows, rows, seed, alpha)
-        held, seen = state.held, 0
-        for i in np.flatnonzero(changed).tolist():
-            if held + (i + 1 - seen) >= KSWIN_WINDOW:
-                flags[start + i] = True
-                held, seen = KSWIN_RECENT, i + 1
-        state.held = min(held + len(part) - seen, KSWIN_WINDOW)
-        state.recent = joined[-(KSWIN_WINDOW - 1) :].tolist()
+    held, seen = state.held, 0
+    for i in np.flatnonzero(changed).tolist():
+        if held + (i + 1 - seen) >= KSWIN_WINDOW:
+            flags[i] = True
+            held, seen = KSWIN_RECENT, i + 1
+    state.held = min(held + len(values) - seen, KSWIN_WINDOW)
+    state.recent = joined[-(KSWIN_WINDOW - 1) :].tolist()
     return flags
 
 
@@ -181,12 +189,15 @@ def run_page_hinkley(state: DetectorState, values: np.ndarray, s: Settings) -> n
     return flags
 
 
-def run_detectors(state: DetectorState, values: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Advance ``state`` over sanitised scores; one flag array per detector."""
+def run_detectors(
+    state: DetectorState, values: np.ndarray, s: Settings, changed: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Advance ``state`` over sanitised scores; one flag array per detector. ``changed`` are
+    the KSWIN tests if they have been made already."""
     values = np.asarray(values, dtype=float)
     found = (
         run_adwin(state, values, s.adwin_delta),
-        run_kswin(state, values, s.kswin_alpha, s.seed),
+        run_kswin(state, values, s.kswin_alpha, s.seed, changed),
         run_page_hinkley(state, values, s),
     )
     state.rows += len(values)

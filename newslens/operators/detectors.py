@@ -29,9 +29,10 @@ from newslens.functions.sequential import (
     PH_THRESHOLD,
     DetectorState,
     Settings,
+    kswin_changes,
     run_detectors,
 )
-from newslens.plans.ordered import BLOCK_ROWS, block_of, running, with_index
+from newslens.plans.ordered import BLOCK_ROWS, block_of, join_on, running, with_halo, with_index
 from newslens.plans.storage import materialise
 
 ADWIN_BUCKET_ROWS = 50
@@ -66,9 +67,9 @@ def adwin_cuts(
     upto = running(buckets, keys, {"n0": ("sum", c("n")), "s0": ("sum", c("s"))}, idx="bucket", block_rows=block_rows)
     whole = buckets.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
     upto = upto.drop("n", "s", "q")
-    sides = upto.join(whole, keys) if keys else upto.withColumn("_one", F.lit(1)).join(
-        F.broadcast(whole.withColumn("_one", F.lit(1))), "_one"
-    )  # without a key, whole is a single row
+    # Without a key, whole is a single row.
+    one = F.lit(1).alias("_one")
+    sides = join_on(upto.select("*", one), whole.select("*", one), [*keys, "_one"])
     n1 = c("n") - c("n0")
     harmonic = 1 / c("n0") + 1 / n1
     log_term = F.log(2 * F.log(c("n")) / F.lit(delta))
@@ -169,7 +170,7 @@ def page_hinkley_series(
         name: (F.sum(part * weight).over(local) / weight + c(f"_{name}") * F.pow(F.lit(forgetting), place + 1)).alias(name)
         for name, part in parts.items()
     }
-    series = materialise(rows.join(carried, [*keys, "block"]).select(*keys, "idx", *decayed.values()), "ph-series")
+    series = materialise(join_on(rows, carried, [*keys, "block"]).select(*keys, "idx", *decayed.values()), "ph-series")
     out = running(series, keys, {"low": ("min", c("rise")), "high": ("max", c("fall"))}, block_rows=block_rows)
     return out.withColumn("statistic", F.greatest(c("rise") - c("low"), c("high") - c("fall")))
 
@@ -206,8 +207,9 @@ def detect(
 ) -> DataFrame:
     """Add the votes ``adwin``, ``kswin``, ``page_hinkley`` of the sequential detectors.
 
-    The detectors reset after each alarm, so a sequence must be walked in order. It is
-    walked in slices of ``slice_rows`` rows: a task never holds more than one slice, the
+    What needs no state is done first, with all blocks of all sequences in parallel: the
+    KSWIN test of every row, which looks at 100 rows only. The detectors reset after each
+    alarm, so the rest must be walked in order. A sequence is walked in slices of ``slice_rows`` rows: a task never holds more than one slice, the
     state of a few kilobytes per sequence is stored between slices, and all sequences
     advance side by side. Give ``key`` enough values to occupy the cluster; for one long
     sequence prefer the parallel forms above. ``keep_index`` keeps the row number as
@@ -219,17 +221,28 @@ def detect(
     indexed = with_index(df, order, keys).withColumn("x", scores.sanitise(F.col(value)))
     slices = indexed.agg(F.max("idx").alias("rows")).first()["rows"] or 0
     kept = [indexed.schema[k] for k in keys]
+    test_schema = T.StructType(
+        [*kept, T.StructField("idx", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("changed", T.BooleanType())]
+    )
     out_schema = T.StructType(
         [*kept, T.StructField("idx", T.LongType())]
         + [T.StructField(c, T.BooleanType()) for c in ("adwin", "kswin", "page_hinkley")]
         + [T.StructField("state", T.StringType())]
     )
 
+    def test_block(group: pd.DataFrame) -> pd.DataFrame:
+        rows = group.sort_values("idx")
+        tests = kswin_changes(rows["x"].to_numpy(), int(rows["idx"].iloc[-1]), settings.seed, settings.kswin_alpha)
+        return rows.assign(changed=tests)[~rows["halo"]][[f.name for f in test_schema]]
+
+    blocks = with_halo(indexed.select(*keys, "idx", "x"), KSWIN_WINDOW - 1)
+    tested = materialise(blocks.groupBy(*keys, "block").applyInPandas(test_block, test_schema), "detect-tests")
+
     def advance(group: pd.DataFrame) -> pd.DataFrame:
         carried = group["state"].dropna()
         state = DetectorState.loads(carried.iloc[0] if len(carried) else None)
         rows = group[group["x"].notna()].sort_values("idx")
-        found = np.array(run_detectors(state, rows["x"].to_numpy(), settings))
+        found = np.array(run_detectors(state, rows["x"].to_numpy(), settings, rows["changed"].to_numpy(dtype=bool)))
         alarms = found.any(axis=0)
         names = {k: group[k].iloc[0] for k in keys}
         out = pd.DataFrame({"idx": rows["idx"].to_numpy()[alarms], **dict(zip(("adwin", "kswin", "page_hinkley"), found[:, alarms]))})
@@ -239,20 +252,20 @@ def detect(
 
     votes, states = None, None
     for number in range(math.ceil(slices / slice_rows)):
-        piece = indexed.filter((F.col("idx") > number * slice_rows) & (F.col("idx") <= (number + 1) * slice_rows))
-        piece = piece.select(*keys, "idx", "x", F.lit(None).cast("string").alias("state"))
+        piece = tested.filter((F.col("idx") > number * slice_rows) & (F.col("idx") <= (number + 1) * slice_rows))
+        piece = piece.select(*keys, "idx", "x", "changed", F.lit(None).cast("string").alias("state"))
         if states is not None:
             # Only sequences that go on need their state.
             alive = piece.select(*keys).distinct()
-            piece = piece.unionByName(states.join(alive, keys, "left_semi"))
+            piece = piece.unionByName(join_on(states, alive, keys, "left_semi"))
         done = materialise(piece.groupBy(*keys).applyInPandas(advance, out_schema), "detect-slice")
-        states = done.filter("idx = -1").select(*keys, "idx", F.lit(None).cast("double").alias("x"), "state")
+        states = done.filter("idx = -1").select(*keys, "idx", F.lit(None).cast("double").alias("x"), F.lit(False).alias("changed"), "state")
         found = done.filter("idx > 0").drop("state")
         votes = found if votes is None else votes.unionByName(found)
     names = ("adwin", "kswin", "page_hinkley")
     if votes is None:
         flagged = indexed.select("*", *[F.lit(False).alias(c) for c in names])
     else:
-        flagged = indexed.join(votes, [*keys, "idx"], "left")
+        flagged = join_on(indexed, votes, [*keys, "idx"], "left")
     index = [F.col("idx").alias("message_index")] if keep_index else []
     return flagged.select(*df.columns, *index, *[F.coalesce(c, F.lit(False)).alias(c) for c in names])

@@ -102,18 +102,10 @@ def score_hits(index: Index, query: str, fuzzy: bool = False) -> DataFrame:
     c = F.col
     idf = F.log(1 + (c("docs") - c("df") + 0.5) / (c("df") + 0.5))
     saturation = c("tf") * (K1 + 1) / (c("tf") + K1 * (1 - B + B * c("dl") / c("avg_dl")))
-    boost = F.lit(0.0)
-    for field, value in FIELD_BOOST.items():
-        boost = F.when(c("field") == field, F.lit(value)).otherwise(boost)
-    return (
-        hits.join(frequency, ["field", "term"])
-        .join(fields, "field")
-        .withColumn("part", c("weight") * idf * saturation)
-        .groupBy("id", "field")
-        .agg((F.sum("part") * F.first(boost)).alias("field_score"))
-        .groupBy("id")
-        .agg(F.max("field_score").alias("score"))
-    )
+    part = c("weight") * idf * saturation
+    sums = [F.sum(F.when(c("field") == field, part)) * boost for field, boost in FIELD_BOOST.items()]
+    matched = hits.join(frequency, ["field", "term"]).join(fields, "field")
+    return matched.groupBy("id").agg(F.greatest(*sums).alias("score"))
 
 
 def search(

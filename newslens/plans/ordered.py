@@ -25,6 +25,16 @@ _COMBINE = {
 _AGGREGATE = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
+def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a null key matches a null key."""
+    names = {c: f"_right_{i}" for i, c in enumerate(on)}
+    renamed = right.withColumnsRenamed(names)
+    match = F.lit(True)
+    for c, other in names.items():
+        match = match & F.col(c).eqNullSafe(F.col(other))
+    return left.join(renamed, match, how).drop(*names.values())
+
+
 def with_index(df: DataFrame, order: Sequence[str], key: Sequence[str] = (), name: str = "idx") -> DataFrame:
     """Number the rows of each ``key`` 1..n in ``order`` (which must be total).
 
@@ -37,14 +47,11 @@ def with_index(df: DataFrame, order: Sequence[str], key: Sequence[str] = (), nam
     sizes = stored.groupBy(*keys, "_part").agg(F.min("_pos").alias("_first"), F.count("*").alias("_rows"))
     before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_part").alias("_p"),
+        *keys,
+        "_part",
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    match = F.col("_part") == F.col("_p")
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return stored.join(offsets, match).select(*df.columns, (F.col("_pos") + F.col("_shift")).alias(name))
+    return join_on(stored, offsets, [*keys, "_part"]).select(*df.columns, (F.col("_pos") + F.col("_shift")).alias(name))
 
 
 def block_of(idx: Column, rows: int = BLOCK_ROWS) -> Column:
@@ -80,14 +87,11 @@ def running(
         earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("block")
         earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
         carried = totals.select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-            F.col("block").alias("_b"),
+            *keys,
+            "block",
             *[_AGGREGATE[kind](f"_tot_{name}").over(earlier).alias(f"_carry_{name}") for name, (kind, _, _) in spec.items()],
         )
-        match = F.col("block") == F.col("_b")
-        for i, k in enumerate(keys):
-            match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-        staged = staged.join(carried, match, "left")
+        staged = join_on(staged, carried, [*keys, "block"], "left")
     rows = Window.partitionBy(*keys, "block").orderBy(idx)
     added = []
     for name, (kind, column, inclusive) in spec.items():

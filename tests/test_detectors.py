@@ -150,8 +150,9 @@ def test_any_slicing_gives_the_same_alarms(cut):
 
 def test_small_chunks_give_the_same_kswin_alarms():
     values = jumps(5)[:2000]
-    whole = seq.run_kswin(seq.DetectorState(), values, 0.005, 1)
-    assert (seq.run_kswin(seq.DetectorState(), values, 0.005, 1, chunk=64) == whole).all()
+    whole = seq.kswin_changes(values, 2500, 1, 0.005)
+    assert whole.any() and (seq.kswin_changes(values, 2500, 1, 0.005, chunk=64) == whole).all()
+    assert (seq.kswin_changes(values[700:], 2500, 1, 0.005)[99:] == whole[799:]).all()
 
 
 def test_reactions():
@@ -178,6 +179,7 @@ def sequences(spark):
     parts = []
     for i, name in enumerate(["a", "b", "hot"]):
         x = jumps(10 + i)[: 900 if name != "hot" else 3000]
+        name = None if name == "b" else name
         parts.append(pd.DataFrame({"key": name, "t": np.arange(len(x)), "p_fake": x}))
     pdf = pd.concat(parts, ignore_index=True)
     return pdf, spark.createDataFrame(pdf.sample(frac=1, random_state=1))
@@ -189,9 +191,9 @@ def test_detect_in_slices(spark, sequences, slice_rows):
     s = seq.Settings(ph_threshold=5.0)
     got = ops.detect(df, ["t"], ["key"], settings=s, slice_rows=slice_rows).toPandas()
     assert len(got) == len(pdf)
-    for name, part in pdf.groupby("key"):
+    for name, part in pdf.groupby("key", dropna=False):
         want = seq.run_detectors(seq.DetectorState(), part["p_fake"].to_numpy(), s)
-        mine = got[got["key"] == name].sort_values("t")
+        mine = got[got["key"].isna() if pd.isna(name) else got["key"] == name].sort_values("t")
         for column, flags in zip(("adwin", "kswin", "page_hinkley"), want):
             assert (mine[column].to_numpy() == flags).all()
 
@@ -207,9 +209,9 @@ def test_detect_needs_a_key_and_takes_no_rows(spark, sequences):
 def test_adwin_cuts(spark, sequences, block_rows):
     pdf, df = sequences
     got = ops.adwin_cuts(df, ["t"], ["key"], block_rows=block_rows).toPandas()
-    for name, part in pdf.groupby("key"):
+    for name, part in pdf.groupby("key", dropna=False):
         x = part["p_fake"].to_numpy()
-        mine = got[got["key"] == name].sort_values("cut")
+        mine = got[got["key"].isna() if pd.isna(name) else got["key"] == name].sort_values("cut")
         assert mine["cut"].tolist() == list(range(50, len(x), 50))
         for cut, gap, bound in mine[["cut", "gap", "bound"]].itertuples(index=False):
             assert gap == pytest.approx(abs(x[:cut].mean() - x[cut:].mean()), abs=1e-9)
@@ -218,7 +220,7 @@ def test_adwin_cuts(spark, sequences, block_rows):
 
 def test_adwin_cuts_without_key(spark, sequences):
     pdf, df = sequences
-    x = pdf.sort_values(["key", "t"])["p_fake"].to_numpy()
+    x = pdf.sort_values(["key", "t"], na_position="first")["p_fake"].to_numpy()
     got = ops.adwin_cuts(df, ["key", "t"]).toPandas().set_index("cut")["gap"]
     assert len(got) == (len(x) - 1) // 50
     assert got[1000] == pytest.approx(abs(x[:1000].mean() - x[1000:].mean()), abs=1e-9)
@@ -227,9 +229,9 @@ def test_adwin_cuts_without_key(spark, sequences):
 def test_kswin_blocks(spark, sequences):
     pdf, df = sequences
     got = ops.kswin_blocks(df, ["t"], ["key"]).toPandas()
-    for name, part in pdf.groupby("key"):
+    for name, part in pdf.groupby("key", dropna=False):
         x = part["p_fake"].to_numpy()
-        mine = got[got["key"] == name].sort_values("window_index")
+        mine = got[got["key"].isna() if pd.isna(name) else got["key"] == name].sort_values("window_index")
         want = [brute_distance(x[i + 67 : i + 100], x[i : i + 67]) for i in range(0, len(x) - 99, 100)]
         np.testing.assert_allclose(mine["distance"], want, atol=1e-12)
 
@@ -238,8 +240,8 @@ def test_kswin_blocks(spark, sequences):
 def test_page_hinkley_series(spark, sequences, block_rows, forgetting):
     pdf, df = sequences
     got = ops.page_hinkley_series(df, ["t"], ["key"], forgetting=forgetting, block_rows=block_rows).toPandas()
-    for name, part in pdf.groupby("key"):
-        mine = got[got["key"] == name].sort_values("idx")["statistic"].to_numpy()
+    for name, part in pdf.groupby("key", dropna=False):
+        mine = got[got["key"].isna() if pd.isna(name) else got["key"] == name].sort_values("idx")["statistic"].to_numpy()
         up = down = mean = 0.0
         low, high, want = math.inf, -math.inf, []
         for n, x in enumerate(part["p_fake"], start=1):
@@ -252,8 +254,8 @@ def test_page_hinkley_series(spark, sequences, block_rows, forgetting):
 
 def test_page_hinkley_first(spark, sequences):
     pdf, df = sequences
-    got = ops.page_hinkley_first(df, ["t"], ["key"], threshold=5.0).toPandas().set_index("key")["first_alarm"]
-    for name, part in pdf.groupby("key"):
+    got = ops.page_hinkley_first(df, ["t"], ["key"], threshold=5.0).toPandas().fillna({"key": "null"}).set_index("key")["first_alarm"]
+    for name, part in pdf.groupby("key", dropna=False):
         flags = seq.run_page_hinkley(seq.DetectorState(), part["p_fake"].to_numpy(), seq.Settings(ph_threshold=5.0))
-        assert got[name] == np.flatnonzero(flags)[0] + 1
+        assert got["null" if pd.isna(name) else name] == np.flatnonzero(flags)[0] + 1
     assert df.withColumn("p_fake", F.lit(0.5)).transform(lambda d: ops.page_hinkley_first(d, ["t"], ["key"])).filter("first_alarm is not null").count() == 0
