@@ -78,17 +78,14 @@ def reservoir(spark, sf):
 
 
 @register(
-    "reservoir_by_source",
+    "reservoir_in_batches",
     f"WITH {RESERVOIR} SELECT id, label, reservoir_key FROM reservoir",
 )
-def reservoir_by_source(spark, sf):
-    """The same sample, updated with one source after another."""
-    rows = examples(spark, sf).join(scored_events(spark, sf).select("id", "source"), "id")
-    kept = None
-    for (source,) in scored_events(spark, sf).select("source").distinct().orderBy("source").collect():
-        part = rows.filter(F.col("source") == source).select("id", "text", "label")
-        kept = materialise(ops.reservoir_update(kept, part), "reservoir")
-    return kept.drop("text")
+def reservoir_in_batches(spark, sf):
+    """The same sample, first of all real articles, then updated with all fake ones."""
+    rows = examples(spark, sf).select("id", "text", "label")
+    first = materialise(ops.reservoir_update(None, rows.filter("label = 0")), "reservoir")
+    return ops.reservoir_update(first, rows.filter("label = 1")).drop("text")
 
 
 @register(
@@ -179,9 +176,17 @@ def sync_due(spark, sf):
     return ops.sync_due(ops.trainer_metrics(step_log(spark, sf))).select("batch_id", "batch")
 
 
-@register("score_with_weights")
+@register(
+    "score_with_weights",
+    rf"""WITH {STEP}, new AS (SELECT feature, w * (1 - 0.001e0 * 0.01e0) - 0.001e0 * g / (abs(g) + 1e-8) AS w FROM c),
+inputs AS (SELECT seq, substring(title, 1, 200) || ' [SEP] ' || substring(body, 1, 100) AS text FROM articles),
+parts AS (SELECT seq, unnest(list_append(list_transform(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+'),
+    LAMBDA t: ('0x' || substr(md5(t), 1, 8))::BIGINT % 262144), 262144::BIGINT)) AS feature FROM inputs),
+scored AS (SELECT seq, 1 / (1 + exp(-sum(coalesce(w, 0)))) AS p FROM parts LEFT JOIN new USING (feature) GROUP BY 1)
+SELECT seq, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS is_fake, round(greatest(p, 1 - p), 6) AS confidence, round(p, 6) AS p_fake FROM scored""",
+)
 def score_with_weights(spark, sf):
     """All articles scored with the weights after one online step."""
     weights, _ = ops.online_step(_start(spark, sf), _batch(spark, sf), lr=0.001, step=1)
-    stored = materialise(weights, "weights")
-    return ops.score_with_weights(articles(spark, sf).select("seq", "title", "body"), stored, "seq").drop("title", "body")
+    scored = ops.score_with_weights(articles(spark, sf).select("seq", "title", "body"), materialise(weights, "weights"), "seq")
+    return rounded(scored.drop("title", "body"), "confidence", "p_fake")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newslens.operators.articles import newest
-from newslens.operators.search import build_index, by_term
+from newslens.operators.search import Index, build_index, by_term
 from newslens.sources.corpora import is_missing
 
 FILE_ROWS = 5_000_000
@@ -135,6 +135,17 @@ def write_postings(batch: DataFrame, batch_id: int, root: str) -> None:
     write_batch(index.lengths, f"{root}/lengths", batch_id)
 
 
+def current_index(spark: SparkSession, root: str) -> Index | None:
+    """The stored index with each article's newest batch only. A search filters the postings
+    by term before they meet the batch numbers."""
+    postings, lengths = read_batches(spark, f"{root}/postings"), read_batches(spark, f"{root}/lengths")
+    if postings is None or lengths is None:
+        return None
+    latest = lengths.groupBy("id").agg(F.max("batch_id").alias("batch_id"))
+    newest_only = lambda df: df.join(latest, ["id", "batch_id"], "left_semi").drop("batch_id")
+    return Index(newest_only(postings), newest_only(lengths))
+
+
 # Drift alerts and alert history -----------------------------------------------------------------
 
 

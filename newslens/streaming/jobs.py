@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,7 @@ from newslens.operators.drift import alert_payloads
 from newslens.plans.storage import materialise
 from newslens.sources import sinks
 from newslens.sources.articles import RAW_SCHEMA, TRIGGER, dedup_ingest, enrich, read_articles
+from newslens.sources.corpora import is_missing
 from newslens.streaming.monitor import monitor_stream
 
 SCORED_SCHEMA = T.StructType(
@@ -152,7 +154,14 @@ def learn(spark: SparkSession, job: Job, batch: DataFrame, batch_id: int) -> Non
 
 
 def _before(spark: SparkSession, root: str, batch_id: int):
-    """The newest step of an earlier batch."""
+    """The newest step of an earlier batch. That is nearly always the batch before; only
+    after a batch without rows are all step folders listed."""
+    try:
+        last = spark.read.parquet(f"{root}/batch_id={batch_id - 1}")
+        return last.withColumn("batch_id", F.lit(batch_id - 1)).first()
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
     steps = sinks.read_batches(spark, root)
     if steps is None:
         return None

@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from newslens.operators.search import score_hits
 from newslens.sources import sinks
 
 SCHEMA = "id string, title string, timestamp timestamp, processed_at timestamp, p_fake double"
@@ -77,6 +78,17 @@ def test_postings_of_batches(spark, tmp_path):
     assert rows == {"a": ("title", 2, 3), "b": ("title", 1, 3)}
 
 
+def test_a_search_sees_only_the_newest_text_of_an_article(spark, tmp_path):
+    root = str(tmp_path / "index")
+    assert sinks.current_index(spark, root) is None
+    for n, rows in enumerate([[("1", "old words", "x"), ("2", "old", "y")], [("1", "new words", "")]]):
+        sinks.write_postings(spark.createDataFrame(rows, "id string, title string, body string"), n, root)
+    index = sinks.current_index(spark, root)
+    assert sorted(r.id for r in score_hits(index, "old").collect()) == ["2"]
+    assert sorted(r.id for r in score_hits(index, "new words").collect()) == ["1"]
+    assert sorted(tuple(r) for r in index.lengths.collect()) == [("1", "title", 2), ("2", "body", 1), ("2", "title", 1)]
+
+
 def test_alert_history(spark, tmp_path):
     path = str(tmp_path / "alerts")
     for day in range(1, 5):

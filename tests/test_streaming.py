@@ -11,7 +11,7 @@ from newslens.functions.sequential import Settings
 from newslens.operators import drift, model
 from newslens.operators.articles import valid
 from newslens.operators.detectors import detect
-from newslens.operators.search import Index, search
+from newslens.operators.search import search
 from newslens.sources import articles as src
 from newslens.sources import sinks
 from newslens.streaming import jobs
@@ -115,7 +115,7 @@ def test_articles_are_stored_once(spark, finished):
 
 def test_stored_articles_can_be_searched(spark, finished):
     job, _, _ = finished
-    index = Index(sinks.read_batches(spark, job.at("index/postings")), sinks.read_batches(spark, job.at("index/lengths")))
+    index = sinks.current_index(spark, job.at("index"))
     found = search(index, sinks.current_articles(spark, job.at("articles")), "title 7", 1).collect()
     assert [r.id for r in found] == ["00007"]
 
