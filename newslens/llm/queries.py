@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import bpe, packing, simhash
+from newslens.llm import bpe, language, packing, quality_rules, secrets, simhash
+from newslens.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +45,71 @@ def op4_bpe_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), with_ids=False)
+
+
+@register
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = held_out("doc_id", 4, 2)
+    model = language.fit(language.sample(docs, ~fold))
+    return language.predict(docs.withColumn("held_out", fold), model, ["doc_id", "held_out"])
+
+
+@register
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars")
+    judged = quality_rules.apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", *[f"_rules.{n}" for n in names])
+
+
+ORACLES["op9_quality_rules"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents
+), split AS (
+  SELECT rid, doc_id, body,
+    list_filter(regexp_split_to_array(body, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM texts
+), places AS (
+  SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM split WHERE len(words) > 2
+), windows AS (
+  SELECT rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w FROM places
+), twice AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, w) AS n FROM windows
+), repeated AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM twice WHERE n > 1) GROUP BY rid
+), line AS (
+  SELECT rid, unnest(lines) AS s FROM split
+), facts AS (
+  SELECT rid, s, lower(s) AS low,
+    length(regexp_replace(s, '[\x20\x09-\x0D]', '', 'g')) AS solid,
+    length(regexp_replace(s, '[^#*$%&|<>]', '', 'g')) AS symbols,
+    length(regexp_replace(s, '[^!]', '', 'g')) AS marks,
+    length(regexp_replace(s, '[^.,;:!?]', '', 'g')) AS stops,
+    length(regexp_replace(s, '[^|]', '', 'g')) AS bars,
+    len(list_filter(regexp_split_to_array(s, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words
+  FROM line
+), failed AS (
+  SELECT rid, sum(solid) AS lost FROM facts
+  WHERE symbols * 100 > solid * 10 OR marks * 3 > words OR (stops = 0 AND words >= 30)
+    OR bars >= 3 OR (words <= 8 AND regexp_matches(low, '(^|[^a-z])(home|menu|log ?in|sign ?up|sign ?in|next page|previous page|read more|share this|skip to content|site ?map|contact us)([^a-z]|$)'))
+    OR regexp_matches(low, 'licen[sc]ed under|all rights reserved|copyright|spdx-license|cookie policy|privacy policy|terms of (use|service)|enable javascript|javascript is disabled|subscribe to our newsletter|lorem ipsum')
+  GROUP BY rid
+), counts AS (
+  SELECT doc_id, len(words) AS n_words, length(regexp_replace(body, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+    length(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(r.n, 0) AS n_repeat_words, coalesce(f.lost, 0) AS lost_chars
+  FROM split LEFT JOIN repeated r USING (rid) LEFT JOIN failed f USING (rid)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost_chars * 100 <= word_chars * 30 AS kept,
+  CAST(lost_chars AS BIGINT) AS lost_chars
+FROM counts
+"""
