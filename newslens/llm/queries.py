@@ -9,11 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import bpe, language, packing, quality_rules, secrets, simhash
-from newslens.llm.common import held_out
+from newslens.llm import ann, bpe, language, packing, quality_net, quality_rules, secrets, simhash, surrogates, toxicity
+from newslens.llm.common import held_out, labelled_sample
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: Stands in for the secret of a real run.
+SURROGATE_KEY = "surrogate key of the registered queries"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -31,12 +33,30 @@ def vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary.load(VOCABULARY)
 
 
+def quality_model(spark: SparkSession, sf_dir: str) -> quality_net.Network:
+    """Fitted on labels outside the held-out fold of op3."""
+    rows = labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", (3, 1), quality_net.SAMPLE)
+    return quality_net.fit(rows)
+
+
+@register
+def op1_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @register
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register
+def op3_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 3, 1))
+    scored = quality_net.score(docs, quality_model(spark, sf_dir), ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @register
 def op4_bpe_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.code_digests(table(spark, sf_dir, "documents"), vocabulary())
@@ -47,6 +67,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), with_ids=False)
 
 
+@register
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = surrogates.pseudonymise(table(spark, sf_dir, "documents"), SURROGATE_KEY, ["doc_id"])
+    spans = F.transform("entities", lambda e: F.concat_ws(":", e["kind"], e["start"].cast("string"), e["end"].cast("string")))
+    return done.select("doc_id", "text", F.size("entities").cast("bigint").alias("n_entities"), F.array_join(spans, ",").alias("entities"))
+
+
 @register
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -67,6 +94,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"_rules.{n}" for n in names])
 
 
+@register
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", (4, 2), toxicity.SAMPLE))
+    scored = toxicity.score(docs.withColumn("held_out", held_out("doc_id", 4, 2)), model, ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 ORACLES["op9_quality_rules"] = r"""
 WITH texts AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents
