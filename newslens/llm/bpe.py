@@ -17,9 +17,11 @@ import hashlib
 import json
 import unicodedata
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from newslens.llm.common import map_texts
@@ -31,7 +33,7 @@ END = "</w>"
 SPACES = regex.compile(f"[{SPACE}]+")
 SEPARATORS = regex.compile("[\\x1c-\\x1f]")
 NONE = np.iinfo(np.int64).max
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 CACHE_SYMBOLS = 8_000_000
 
 
@@ -128,7 +130,7 @@ class Coder:
 
     def _clear(self) -> None:
         self.number: dict[str | tuple[str], int] = {}
-        self.flat, self.starts, self.lengths = (np.zeros(1 << 12, np.int64) for _ in range(3))
+        self.flat, self.starts, self.lengths = (np.zeros(1 << 12, np.int32) for _ in range(3))
         self.used = self.words_held = 0
         for token, value in self.vocabulary.special.items():
             self.number[(token,)] = len(self.number)
@@ -183,13 +185,14 @@ class Coder:
         every: list = []
         for x in words:
             every.extend(x)
-        if new := set(every) - self.number.keys():
-            self._learn(new)
-        at = np.fromiter(map(self.number.__getitem__, every), np.int64, len(every))
+        at = np.fromiter(map(self.number.get, every, repeat(-1)), np.int32, len(every))
+        if len(missing := np.flatnonzero(at < 0).tolist()):
+            self._learn({every[i] for i in missing})
+            at[missing] = [self.number[every[i]] for i in missing]
         lengths = self.lengths[at]
-        ends = np.cumsum(lengths)
+        ends = np.cumsum(lengths, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
-        flat = self.flat[np.repeat(self.starts[at] - (ends - lengths), lengths) + np.arange(total)] if total else np.zeros(0, np.int64)
+        flat = self.flat[np.repeat(self.starts[at] - (ends - lengths).astype(np.int32), lengths) + np.arange(total, dtype=np.int32)] if total else np.zeros(0, np.int32)
         upto = np.cumsum([0, *map(len, words)])
         bounds = np.r_[0, ends][upto]
         return flat, np.diff(bounds)
@@ -200,6 +203,17 @@ class Coder:
         return " ".join([tokens[i] for i in ids])
 
 
+_coders: dict[int, Coder] = {}
+
+
+def coder_of(shared: Broadcast) -> Coder:
+    """The coder of a broadcast vocabulary, kept by the Python worker from task to task."""
+    if id(shared.value) not in _coders:
+        _coders.clear()
+        _coders[id(shared.value)] = Coder(shared.value)
+    return _coders[id(shared.value)]
+
+
 def encode_decode(df: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the id, the ids of the whole text and the text decoded from them.
 
@@ -209,7 +223,7 @@ def encode_decode(df: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id",
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def make():
-        coder = Coder(shared.value)
+        coder = coder_of(shared)
 
         def work(keys, texts):
             flat, counts = coder.encode(texts)
@@ -227,7 +241,7 @@ def code_digests(df: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id",
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def make():
-        coder = Coder(shared.value)
+        coder = coder_of(shared)
         names = coder.id_text
 
         def work(keys, texts):

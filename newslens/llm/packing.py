@@ -26,13 +26,13 @@ import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from newslens.llm.bpe import END, Coder, Vocabulary
+from newslens.llm.bpe import END, Vocabulary, coder_of
 from newslens.llm.common import map_texts_with_end
 
 LENGTH = 2048
 END_TOKEN = 1
-SENTENCE_PENALTY = 2
-INNER_PENALTY = 6
+SENTENCE_PENALTY = 1
+INNER_PENALTY = 3
 GRID = 32
 STRETCH = 1 << 18
 
@@ -70,7 +70,8 @@ def cuts(positions: np.ndarray, penalties: np.ndarray, length: int) -> tuple[lis
 class Packer:
     """Takes documents as token ids, returns finished pieces."""
 
-    def __init__(self, ends: np.ndarray, base: int, length: int, sentence_penalty: int, inner_penalty: int, grid: int):
+    def __init__(self, ends: np.ndarray, base: int, length: int, sentence_penalty: int, inner_penalty: int, grid: int, with_ids: bool):
+        self.with_ids = with_ids
         self.ends, self.length = ends, length
         self.sentence_penalty, self.inner_penalty, self.grid = sentence_penalty, inner_penalty, grid
         self.sequence = base
@@ -133,8 +134,9 @@ class Packer:
             [self.docs[d][1] for d in doc.tolist()],
             (self.sequence + window).tolist(),
             (starts - bounds[window]).tolist(),
-            [self.ids[a : a + n].tolist() for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)],
         ]
+        if self.with_ids:
+            columns.append([self.ids[a : a + n].tolist() for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)])
         self.sequence += len(bounds) - 1
         return columns
 
@@ -159,16 +161,15 @@ def pack(
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def make():
-        coder, ends = Coder(shared.value), sentence_ends(shared.value)
-        packer = Packer(ends, TaskContext.get().partitionId() << 32, length, sentence_penalty, inner_penalty, grid)
-        width = 8 if with_ids else 7
+        coder, ends = coder_of(shared), sentence_ends(shared.value)
+        packer = Packer(ends, TaskContext.get().partitionId() << 32, length, sentence_penalty, inner_penalty, grid, with_ids)
 
         def work(keys, texts):
             flat, counts = coder.encode(texts)
             flat = np.insert(flat, np.cumsum(counts), end_token)
-            return packer.add(keys, flat, counts + 1)[:width]
+            return packer.add(keys, flat, counts + 1)
 
-        return work, lambda: packer.end()[:width]
+        return work, packer.end
 
     kind = df.schema[doc_id].dataType.simpleString()
     ddl = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
