@@ -111,4 +111,7 @@ def apply_rules(df: DataFrame, text: str = "text") -> DataFrame:
     ))
     base_failed = (r("n_words") < MIN_WORDS) | (r("n_repeat_words") * 100 > r("n_words") * MAX_REPEATED)
     kept = ~base_failed & (r("lost_chars") * 100 <= r("word_chars") * MAX_LOST)
-    return staged.withColumn("_rules", F.struct("_rules.*", base_failed.alias("base_failed"), kept.alias("kept")))
+    # a filter on the verdict must not be pushed below here, where it would be worked out once for
+    # itself and once for the result; Spark pushes none through a generator
+    verdict = F.explode_outer(F.array(F.struct("_rules.*", base_failed.alias("base_failed"), kept.alias("kept"))))
+    return staged.select(*[c for c in staged.columns if c != "_rules"], verdict.alias("_rules"))
