@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from newslens.plans.storage import materialise
@@ -10,26 +10,42 @@ from newslens.plans.storage import materialise
 ROUNDS = 60
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _star(edges: DataFrame, whole: bool) -> DataFrame:
+    """Edges (a, b) hung on the smallest neighbour of each node: of the larger ends of all its
+    edges (``whole``), or of the smaller ends of the edges in which it is the larger."""
+    if whole:
+        edges = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
+    lowest = edges.groupBy("a").agg(F.min("b").alias("low"))
+    met = edges.join(lowest, "a")
+    if whole:
+        low = F.least("a", "low")
+        return met.filter("b > a").select(F.col("b").alias("a"), low.alias("b"))
+    return met.select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
+
+
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """node and component (its smallest node) of every node of the edges (a, b).
 
     Each round hangs every node's larger neighbours on its smallest one, then its smaller ones;
     stars around the smallest nodes remain after a number of rounds that grows with the
     logarithm of the longest path. Neighbours are never gathered: their minimum is a partial
     aggregate, and the join back to the edges may be split where a node has very many.
+
+    With ``rounds`` it stops after so many; nodes of one component may then still be apart,
+    nodes of different ones never come together.
     """
-    stars = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    stars = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     before = None
-    for _ in range(ROUNDS):
-        state = stars.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")).first()
-        if state["n"] == 0 or (state["n"], state["sum"]) == before:
-            return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = (state["n"], state["sum"])
-        both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = both.join(lowest, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        large = materialise(large, "large-star")
-        lowest = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(lowest, "a").filter("b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        stars = materialise(small.unionByName(lowest.select("a", F.col("low").alias("b"))).distinct(), "small-star")
-    raise RuntimeError(f"no end after {ROUNDS} rounds")
+    for _ in range(rounds or ROUNDS):
+        seen = Observation()
+        digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+        stars = materialise(_star(_star(stars, True), False).distinct().observe(seen, F.count("*").alias("n"), digest.alias("sum")), "stars")
+        state = seen.get["n"], seen.get["sum"]
+        if state[0] == 0 or state == before:
+            break
+        before = state
+    else:
+        if not rounds:
+            raise RuntimeError(f"no end after {ROUNDS} rounds")
+    own = stars.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), "b"))).alias("e"))
+    return own.groupBy(F.col("e.a").alias("node")).agg(F.min("e.b").alias("component"))

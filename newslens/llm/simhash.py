@@ -35,6 +35,8 @@ MAX_BITS = 4
 SEED = 42
 #: Fixed value: generator polynomial of the binary Golay code.
 GENERATOR = 0b110001110101
+#: Rounds in which certain links merge fingerprints before other links are looked for.
+MERGE_ROUNDS = 2
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
@@ -162,19 +164,25 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     if not 0 <= max_bits <= 4:
         raise ValueError("the keys are made for at most 4 differing bits")
     marked = materialise(fingerprints(df, doc_id, text, words), "simhash")
-    distinct = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    labels = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     if max_bits == 0:
-        labels = distinct.select("fp", "first", F.col("fp").alias("class"))
-    else:
-        certain = components(certain_links(distinct)) if max_bits >= 2 else None
-        labels = distinct.select("fp", "first", F.col("fp").alias("class"))
-        if certain is not None:
-            labels = distinct.join(certain.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
-        labels = materialise(labels, "simhash-classes")
-        left, right = keyed(labels, True).alias("l"), keyed(labels, False).alias("r")
-        met = (F.col("l.key") == F.col("r.key")) & (F.col("l.class") < F.col("r.class")) & (differing(F.col("l.fp"), F.col("r.fp")) <= max_bits)
-        links = left.join(right, met).select(F.col("r.class").alias("a"), F.col("l.class").alias("b")).distinct()
-        joined = components(links).withColumnRenamed("node", "class")
-        labels = labels.join(joined, "class", "left").select("fp", "first", F.coalesce("component", "class").alias("class"))
+        return marked.join(labels, "fp").select("doc_id", "fp", F.col("first").alias("component_id"))
+    labels = labels.withColumn("class", F.col("fp"))
+    links = None
+    if max_bits >= 2:
+        labels = materialise(labels, "simhash-distinct")
+        links = materialise(certain_links(labels), "simhash-certain")
+        merged = components(links, MERGE_ROUNDS).withColumnRenamed("node", "fp")
+        labels = labels.join(merged, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
+    labels = materialise(labels, "simhash-classes")
+    left, right = keyed(labels, True).alias("l"), keyed(labels, False).alias("r")
+    met = (F.col("l.key") == F.col("r.key")) & (F.col("l.class") < F.col("r.class")) & (differing(F.col("l.fp"), F.col("r.fp")) <= max_bits)
+    found = left.join(right, met).select(F.col("r.class").alias("a"), F.col("l.class").alias("b"))
+    if links is not None:
+        classes = labels.select("fp", "class").filter("fp <> class")
+        inside = classes.select(F.col("fp").alias("a"), F.col("class").alias("b"))
+        found = found.unionByName(links).unionByName(inside)
+    whole = components(materialise(found.distinct(), "simhash-links")).withColumnRenamed("node", "fp")
+    labels = labels.join(whole, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
     named = labels.join(labels.groupBy("class").agg(F.min("first").alias("component_id")), "class").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
