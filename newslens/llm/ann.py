@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslens.llm.common import schema_of
+from newslens.plans.storage import materialise
 
 K = 20
 ERROR = 2.5
@@ -78,18 +79,18 @@ class Index:
         return middle, np.linalg.norm(queries, axis=1)[:, None] * spread + 1e-5
 
 
-def search_block(index: Index, k: int, query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> pd.DataFrame:
+def search_block(index: Index, k: int, query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, codes: np.ndarray, far: np.ndarray, fit: np.ndarray) -> pd.DataFrame:
     """The ``k`` nearest rows of the block for each query, but the query's own row.
 
     Equal vectors are scored once, by their k + 1 smallest ids; ties go to smaller ids.
     """
     order = np.argsort(ids, kind="stable")
-    ids, rows = ids[order], rows[order]
-    distinct, member = np.unique(rows, axis=0, return_inverse=True)
+    ids, rows, codes, far, fit = ids[order], rows[order], codes[order], far[order], fit[order]
+    distinct, first, member = np.unique(rows, axis=0, return_index=True, return_inverse=True)
+    codes, far, fit = codes[first], far[first], fit[first]
     member = member.ravel()
     grouped = np.argsort(member, kind="stable")
     begin = np.searchsorted(member[grouped], np.arange(len(distinct) + 1))
-    codes, far, fit = index.encode(distinct)
     need = min(k + 1, len(distinct))
     out = []
     for at in range(0, len(queries), QUERIES_AT_ONCE):
@@ -121,6 +122,17 @@ def search_block(index: Index, k: int, query_ids: np.ndarray, queries: np.ndarra
     return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
 
 
+def coded(rows: DataFrame, index: Index) -> DataFrame:
+    """The index table: vec_id, v, packed code, distance from the centre and correction scalar of every row."""
+
+    def run(batches):
+        for batch in batches:
+            codes, far, fit = index.encode(np.stack(batch["v"].to_numpy()))
+            yield batch.assign(code=[c.tobytes() for c in codes], far=far, fit=fit)
+
+    return rows.mapInPandas(run, schema_of("vec_id bigint, v array<double>, code binary, far double, fit double"))
+
+
 def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """vec_id and v (doubles) of the rows that take part: vectors neither null nor zero, all of
     whose components are finite, of the most common length (the shorter one of equals)."""
@@ -140,7 +152,7 @@ def nearest(df: DataFrame, queries, vec_id: str = "vec_id", vector: str = "embed
     ``queries`` is a condition on the column vec_id that picks the query rows. All rows are
     coded and searched; the centre alone is fitted, on at most ``sample`` rows with the smallest
     hash of their id. Null, zero and non-finite vectors take no part, as queries or as rows;
-    a null id does neither. Rows with one id count as the same row only for excluding a query's own.
+    a null id does neither. The coded rows are written to the session's shared folder once. Rows with one id count as the same row only for excluding a query's own.
     With fewer candidates than ``k``, all are returned. No rows give no rows.
     """
     rows = usable(df, vec_id, vector)
@@ -150,17 +162,20 @@ def nearest(df: DataFrame, queries, vec_id: str = "vec_id", vector: str = "embed
         return df.sparkSession.createDataFrame([], schema_of("query_id bigint, rank int, vec_id bigint, score double"))
     index = Index.fit(np.array([r["v"] for r in drawn]), error)
     asked = rows.filter(queries)
-    counts = rows.agg(F.count("*").alias("n"), F.count_if(queries).alias("q")).first()
+    table = materialise(coded(rows, index), "ann-index")
+    counts = table.agg(F.count("*").alias("n"), F.count_if(queries).alias("q")).first()
     row_blocks, query_blocks = -(-counts["n"] // ROW_BLOCK), max(1, -(-counts["q"] // QUERY_BLOCK))
     spread = lambda n: F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(n)).cast("int")
     blocks = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = asked.withColumn("qb", spread(query_blocks)).withColumn("rb", blocks(row_blocks)).groupBy("qb", "rb")
-    right = rows.withColumn("rb", spread(row_blocks)).withColumn("qb", blocks(query_blocks)).groupBy("qb", "rb")
+    right = table.withColumn("rb", spread(row_blocks)).withColumn("qb", blocks(query_blocks)).groupBy("qb", "rb")
 
     def search(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(r):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return search_block(index, k, q["vec_id"].to_numpy(), np.stack(q["v"].to_numpy()), r["vec_id"].to_numpy(), np.stack(r["v"].to_numpy()))
+        codes = np.frombuffer(b"".join(r["code"]), np.uint8).reshape(len(r), -1)
+        arrays = r["vec_id"].to_numpy(), np.stack(r["v"].to_numpy()), codes, r["far"].to_numpy(), r["fit"].to_numpy()
+        return search_block(index, k, q["vec_id"].to_numpy(), np.stack(q["v"].to_numpy()), *arrays)
 
     found = left.cogroup(right).applyInPandas(search, schema)
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

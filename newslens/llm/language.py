@@ -106,6 +106,8 @@ class Model:
 
 def fit(samples: dict[str, list[str]]) -> Model:
     """The frozen statistics of sample texts by language."""
+    if not samples:
+        return Model((), (), ())
     languages = tuple(sorted(samples))
     flat = {}
     for name in languages:

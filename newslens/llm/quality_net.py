@@ -35,10 +35,11 @@ SEED = 11
 
 
 def lay_out(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes in a row, each text closed by zeros to whole segments, and the segments of each."""
+    """All bytes in a row, each text led by ``WIDTH`` zeros and closed by zeros to whole segments,
+    and the segments of each. No filter sees two texts; a zero has the zero vector."""
     span = PLACES * STRIDE
-    raw = [t.encode("utf-8") for t in texts]
-    counts = np.array([(len(r) + WIDTH + span - 1) // span for r in raw])
+    raw = [b"\0" * WIDTH + t.encode("utf-8") for t in texts]
+    counts = np.array([-(-len(r) // span) for r in raw])
     return np.frombuffer(b"".join(r.ljust(c * span, b"\0") for r, c in zip(raw, counts.tolist(), strict=True)), np.uint8), counts
 
 
@@ -76,8 +77,10 @@ class Network:
     @classmethod
     def fresh(cls, rng: np.random.Generator) -> Network:
         draw = lambda *shape, scale: rng.normal(0, scale, shape).astype(np.float32)
+        vectors = draw(256, DIMS, scale=0.5)
+        vectors[0] = 0
         return cls(
-            draw(256, DIMS, scale=0.5), draw(WIDTH * (DIMS + 1), FILTERS, scale=0.15), np.zeros(FILTERS, np.float32),
+            vectors, draw(WIDTH * (DIMS + 1), FILTERS, scale=0.15), np.zeros(FILTERS, np.float32),
             draw(FILTERS, HIDDEN, scale=0.2), np.zeros(HIDDEN, np.float32), draw(2 * HIDDEN, scale=0.2), np.zeros(1, np.float32),
         )
 
@@ -146,6 +149,7 @@ class Network:
         d_inputs = (d_act[:, :, None] * self.filters.T[None]).reshape(-1, WIDTH, DIMS + 1)[:, :, :DIMS]
         letters = np.concatenate([octets, np.zeros(WIDTH, np.uint8)])[(source.reshape(-1, 1) * STRIDE) + np.arange(WIDTH)]
         d_vectors = np.stack([np.bincount(letters.ravel(), d_inputs[:, :, d].ravel(), 256) for d in range(DIMS)], axis=1)
+        d_vectors[0] = 0
         return [
             d_vectors, d_filters, d_act.sum(axis=0), act.T @ d_pre, d_pre.sum(axis=0),
             np.concatenate([d_logit @ mean, d_logit @ top]), d_logit.sum(keepdims=True),

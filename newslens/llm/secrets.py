@@ -112,7 +112,7 @@ def literal_spans(text: str) -> list[tuple[str, int, int]]:
     if "=" not in text and ":" not in text:
         return []
     held: dict[str, list[tuple[int, int]]] = {}
-    weight: dict[tuple[int, int], float] = {}
+    score: dict[tuple[int, int], float] = {}
     for name, literals, names in assignments(text):
         values = []
         for span in literals:
@@ -122,11 +122,12 @@ def literal_spans(text: str) -> list[tuple[str, int, int]]:
             else:
                 values.append(span)
         held[name] = values
-        own = sensitivity(name)
-        if own:
+        if own := sensitivity(name):
+            # literals that are joined into one value are judged as one
+            reached = own * strength("".join(text[a:b] for a, b in values))
             for span in values:
-                weight[span] = max(weight.get(span, 0.0), own)
-    return [("literal", a, b) for (a, b), w in weight.items() if w * strength(text[a:b]) >= MIN_SCORE]
+                score[span] = max(score.get(span, 0.0), reached)
+    return [("literal", a, b) for (a, b), reached in score.items() if reached >= MIN_SCORE]
 
 
 def spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:

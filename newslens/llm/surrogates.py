@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from newslens.llm.common import map_texts
 
-KINDS = ("email", "iban", "card", "ssn", "phone", "ip", "person")
+KINDS = ("email", "iban", "card", "ssn", "ip", "phone", "person")
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = re.compile(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
@@ -134,14 +134,21 @@ def iban_valid(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
-def address_class(value: str) -> str:
+#: Ranges with a meaning of their own; addresses stay inside theirs.
+NETWORKS = tuple(ipaddress.IPv4Network(n) for n in ("0.0.0.0/8", "10.0.0.0/8", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.168.0.0/16", "224.0.0.0/4", "240.0.0.0/4"))
+
+
+def network_of(value: str) -> ipaddress.IPv4Network | None:
     ip = ipaddress.IPv4Address(value)
-    return "loopback" if ip.is_loopback else "multicast" if ip.is_multicast else "private" if ip.is_private else "reserved" if ip.is_reserved else "public"
+    return next((n for n in NETWORKS if ip in n), None)
 
 
 def _ip(key: bytes, value: str) -> str:
+    if own := network_of(value):
+        first = int(own.network_address)
+        return str(ipaddress.IPv4Address(first + moved(key, f"ip\0{own}", int(ipaddress.IPv4Address(value)) - first, own.num_addresses)))
     step = lambda v: str(ipaddress.IPv4Address(moved(key, "ip", int(ipaddress.IPv4Address(v)), 1 << 32)))
-    return walked(step, value, lambda v: address_class(v) == address_class(value))
+    return walked(step, value, lambda v: network_of(v) is None)
 
 
 def _name(key: bytes, word: str) -> str:

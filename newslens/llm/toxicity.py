@@ -31,7 +31,7 @@ INSULTS = frozenset(
 SECOND = frozenset("you your you're youre ur u yourself tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch sie tú ti tus usted ustedes vosotros".split())
 NEAR = 5
 PUNCTUATION = re.compile(r"[!-/:-@\[-`{-~]+")
-DISGUISED = re.compile(r"[A-Za-z][*@$0-9.\-_]+[A-Za-z][A-Za-z*@$0-9.\-_]*")
+DISGUISED = re.compile(r"(?<![A-Za-z0-9])[@$0-9]?[A-Za-z]+[*@$0-9.\-_]+[A-Za-z][A-Za-z*@$0-9.\-_]*")
 PLAIN = str.maketrans("@4301!$57", "aaeoiisst", "*.-_")
 MIN_TOXIC = 4
 MIN_WEIGHT = 1.5
