@@ -51,7 +51,7 @@ def test_ties_copies_and_unusable_rows(spark):
     x = rng.normal(size=(40, 6)).astype(np.float32)
     x[:30] = x[0]
     rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
-    rows += [(100, None), (120, [0.0] * 6), (140, [1.0, None, 1, 1, 1, 1]), (160, [float("nan")] * 6), (180, [float("inf")] * 6), (200, [1.0] * 4), (None, [1.0] * 6)]
+    rows += [(100, None), (120, [0.0] * 6), (140, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (160, [float("nan")] * 6), (180, [float("inf")] * 6), (200, [1.0] * 4), (None, [1.0] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = {}
     for r in ann.nearest(df, F.col("vec_id") % 20 == 0, k=20).orderBy("rank").collect():
