@@ -21,7 +21,7 @@ def test_estimates_hold_their_bounds():
     index = ann.Index.fit(x[:500])
     middle, spread = index.estimates(q, *index.encode(x))
     true = q @ x.T
-    assert (np.abs(true - middle) <= spread).mean() > 0.98
+    assert (np.abs(true - middle) <= spread).mean() > 0.93  # 1.9 deviations of a normal variable: 0.943
     assert np.corrcoef(true.ravel(), middle.ravel())[0, 1] > 0.78  # the signs keep a share of sqrt(2 / pi)
     assert np.allclose(index.rotation @ index.rotation.T, np.eye(64))
 
