@@ -9,7 +9,7 @@ from catalog.article_queries import rounded
 from catalog.views import ARTICLES, LABELLED, SPACE, articles, labelled, table
 from newslens.functions import text
 from newslens.operators import corpus as ops
-from newslens.plans.storage import materialise, spread
+from newslens.plans.storage import materialise
 from newslens.sources import corpora
 
 WORD = r"\p{L}\p{N}_"
@@ -72,7 +72,7 @@ def train_texts(spark, sf):
 
 @register("clean_texts", f"SELECT doc_id AS seq, {clean_sql('text')} AS cleaned FROM documents")
 def clean_texts(spark, sf):
-    documents = spread(table(spark, sf, "documents"), "doc_id")
+    documents = table(spark, sf, "documents")
     return documents.select(F.col("doc_id").alias("seq"), text.clean_text(F.col("text")).alias("cleaned"))
 
 
@@ -214,13 +214,18 @@ def length_histogram(spark, sf):
 @register(
     "corpus_summary",
     f"""WITH {CORPUS} SELECT count(*) AS examples, round(avg(label) * 100, 6) AS fake_rate_pct,
-  string_agg(DISTINCT source, ',' ORDER BY source) AS sources, round(avg(length(title)), 6) AS mean_title_chars,
+  count(DISTINCT source) AS n_sources, round(avg(length(title)), 6) AS mean_title_chars,
   round(avg(length(body)), 6) AS mean_body_chars FROM deduped""",
 )
 def corpus_summary(spark, sf):
     return rounded(ops.corpus_summary(deduped(spark, sf)), "fake_rate_pct", "mean_title_chars", "mean_body_chars")
 
 
+@register("corpus_sources", f"WITH {CORPUS} SELECT DISTINCT source FROM deduped")
+def corpus_sources(spark, sf):
+    return ops.corpus_sources(deduped(spark, sf))
+
+
 @register(
     "class_weights",
     f"WITH {LABELLED} SELECT round(avg(label), 6) AS weight_real, round(1 - avg(label), 6) AS weight_fake FROM labelled",

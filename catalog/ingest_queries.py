@@ -137,19 +137,22 @@ def content_ids(spark, sf):
     return articles(spark, sf).select("seq", text.content_id(F.col("url"), F.col("title")).alias("id"))
 
 
-@register("dedup_ingest", f"WITH {ARTICLES} SELECT DISTINCT id, title, source FROM articles")
+@register(
+    "dedup_ingest",
+    f"""WITH {ARTICLES} SELECT id, seq, title, body, source FROM articles
+WHERE seq = (SELECT min(b.seq) FROM articles b WHERE b.id = articles.id)""",
+)
 def dedup_ingest(spark, sf):
-    return src.dedup_ingest(articles(spark, sf)).select("id", "title", "source")
+    return src.dedup_ingest(articles(spark, sf), order=["seq"]).select("id", "seq", "title", "body", "source")
 
 
 @register(
     "keyed_messages",
-    f"""WITH {ARTICLES} SELECT id AS key,
-  '{{"id":"' || id || '","seq":' || seq || ',"source":"' || source || '","language":"' || language || '","n_chars":' || n_chars || '}}' AS value
-FROM articles""",
+    f"""WITH {ARTICLES} SELECT id AS key, CAST(json_object('id', id, 'seq', seq, 'title', title, 'body', body, 'url', url,
+  'source', source, 'language', language, 'n_chars', n_chars) AS VARCHAR) AS value FROM articles""",
 )
 def keyed_messages(spark, sf):
-    return src.keyed_json(articles(spark, sf), ["id", "seq", "source", "language", "n_chars"])
+    return src.keyed_json(articles(spark, sf), ["id", "seq", "title", "body", "url", "source", "language", "n_chars"])
 
 
 @register(

@@ -188,5 +188,5 @@ SELECT seq, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS is_fake, round(greatest(p, 1
 def score_with_weights(spark, sf):
     """All articles scored with the weights after one online step."""
     weights, _ = ops.online_step(_start(spark, sf), _batch(spark, sf), lr=0.001, step=1)
-    scored = ops.score_with_weights(articles(spark, sf).select("seq", "title", "body"), materialise(weights, "weights"), "seq")
+    scored = ops.score_with_weights(articles(spark, sf).select("seq", "title", "body"), materialise(weights, "weights"))
     return rounded(scored.drop("title", "body"), "confidence", "p_fake")

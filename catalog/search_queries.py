@@ -9,7 +9,6 @@ from catalog.article_queries import _STOP, rounded
 from catalog.views import ARTICLES, SPACE, articles, table
 from newslens.functions import text
 from newslens.operators import search as ops
-from newslens.plans.storage import spread
 
 QUERY = "the thention vipa eau"
 FUZZY = "thentian eauouon the"
@@ -68,7 +67,7 @@ def index(spark, sf):
     r"""SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents) GROUP BY 1""",
 )
 def tokens(spark, sf):
-    documents = spread(table(spark, sf, "documents"), "doc_id")
+    documents = table(spark, sf, "documents")
     words = documents.select(F.explode(text.tokens(F.col("text"))).alias("term"))
     return words.groupBy("term").agg(F.count("*").alias("n"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslens.functions import text
+from newslens.plans.ordered import first_per_key
 from newslens.plans.sampling import hash_key, split_by_rank
 
 # Fixed values.
@@ -40,10 +41,8 @@ def clean_corpus(df: DataFrame) -> DataFrame:
 
 
 def dedup_title(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """First row per title in ``order``. Each task keeps one row per title before the shuffle."""
-    rest = [c for c in df.columns if c != "title"]
-    first = F.min_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy("title").agg(first.alias("_first")).select("title", "_first.*").select(*df.columns)
+    """First row per title in ``order``, which must be unique within a title."""
+    return first_per_key(df, "title", order)
 
 
 def dedup_report(before: DataFrame) -> DataFrame:
@@ -149,12 +148,16 @@ def corpus_summary(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count("*").alias("examples"),
         (F.avg("label") * 100).alias("fake_rate_pct"),
-        F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"),
+        F.countDistinct("source").alias("n_sources"),
         F.avg(F.char_length("title")).alias("mean_title_chars"),
         F.avg(F.char_length(text.or_empty(F.col("body")))).alias("mean_body_chars"),
     )
 
 
+def corpus_sources(df: DataFrame) -> DataFrame:
+    return df.select("source").distinct().orderBy("source")
+
+
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """Each class is weighted with the share of the other one."""
     return df.agg(

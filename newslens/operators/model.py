@@ -174,11 +174,15 @@ def empty_weights(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], WEIGHT_SCHEMA)
 
 
+def _hashed_terms(column: str, features: int) -> Column:
+    """Hash of every term of the text, repeats included, and the bias feature."""
+    term_hash = lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % features
+    return F.concat(F.transform(text.tokens(F.col(column)), term_hash), F.array(F.lit(features).cast("long")))
+
+
 def hashed_features(df: DataFrame, column: str = "text", features: int = FEATURES) -> DataFrame:
     """(row, feature, x): term counts per hashed term and a constant bias feature."""
-    term_hash = lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % features
-    hashed = F.concat(F.transform(text.tokens(F.col(column)), term_hash), F.array(F.lit(features).cast("long")))
-    counted = df.select("row", F.explode(text.counts(hashed)).alias("c"))
+    counted = df.select("row", F.explode(text.counts(_hashed_terms(column, features))).alias("c"))
     return counted.select("row", F.col("c.value").alias("feature"), F.col("c.n").cast("double").alias("x"))
 
 
@@ -225,11 +229,23 @@ def online_step(weights: DataFrame, batch: DataFrame, lr: float, step: int, clip
     return new, report
 
 
-def score_with_weights(df: DataFrame, weights: DataFrame, key: str = "id") -> DataFrame:
-    """Add is_fake, confidence and p_fake from the online model. ``key`` must be unique."""
-    inputs = model_input(df).select(F.col(key).alias("row"), "model_input")
-    z = margins(hashed_features(inputs, "model_input"), weights).withColumnRenamed("row", key)
-    return df.join(z, key).withColumn("_p", sigmoid(F.col("z"))).select(*df.columns, *_decide(F.col("_p")))
+def score_with_weights(df: DataFrame, weights: DataFrame, features: int = FEATURES) -> DataFrame:
+    """Add is_fake, confidence and p_fake from the online model, every row by itself.
+
+    The weights, at most ``features`` + 1 numbers, go to the tasks as one array; no row is
+    shuffled, and none is lost for want of an id.
+    """
+    table = np.zeros(features + 1)
+    for feature, w in weights.select("feature", "w").collect():
+        table[feature] = w
+    shared = df.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("double")
+    def margin(hashed: pd.Series) -> pd.Series:
+        return pd.Series([shared.value[np.asarray(h, dtype=np.int64)].sum() for h in hashed])
+
+    hashed = model_input(df).withColumn("_hashed", _hashed_terms("model_input", features))
+    return hashed.withColumn("_p", sigmoid(margin("_hashed"))).select(*df.columns, *_decide(F.col("_p")))
 
 
 # Step log ---------------------------------------------------------------------------------------

@@ -119,3 +119,14 @@ def with_halo(df: DataFrame, lookback: int, *, idx: str = "idx", block_rows: int
         .withColumn("halo", F.col("block") != F.col("_home"))
         .drop("_home")
     )
+
+
+def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The first row of every key in ``order``, which must be unique within a key.
+
+    The first place of a key is found on the narrow columns alone, with one row per key and
+    task before the shuffle; whole rows are then only filtered by it. A null key is one key.
+    """
+    place = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    first = df.groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_place"))
+    return df.join(first, F.col(key).eqNullSafe(F.col("_key")) & (place == F.col("_place")), "left_semi")

@@ -11,8 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newslens.plans.storage import broadcast_if_small
-
 PREFIX = 4
 
 
@@ -26,7 +24,8 @@ def bottom_k(df: DataFrame, key: str, k: int, tie: Sequence[str] = ()) -> DataFr
     Rows beyond the bucket that holds rank ``k`` are filtered out in the scan, so the
     final ordered limit sees about k + n/65,536 rows however large the table is.
     """
-    prefix = F.substring(key, 1, PREFIX)
+    # a null key ranks before all others
+    prefix = F.coalesce(F.substring(key, 1, PREFIX), F.lit(""))
     counts = df.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n"))
     upto = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = (
@@ -56,7 +55,7 @@ def split_by_rank(df: DataFrame, group: str, key: str, cuts: DataFrame, names: S
         *[F.coalesce(F.max(F.when(inside(c), F.col("_prefix"))), F.lit("")).alias(f"_edge{i}") for i, c in enumerate(("cut0", "cut1"))],
         *[F.max(F.when(inside(c), F.col("_before"))).alias(f"_base{i}") for i, c in enumerate(("cut0", "cut1"))],
     )
-    known = rows.join(broadcast_if_small(edges), group)
+    known = rows.join(edges, group)
     on_edge = (F.col("_prefix") == F.col("_edge0")) | (F.col("_prefix") == F.col("_edge1"))
     sure = known.filter(~on_edge).withColumn(
         "split",

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
 
@@ -14,15 +14,15 @@ _local_dirs: dict[str, str] = {}
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    Taken from ``spark.checkpoint.dir``. Only a local session, which has no other
-    machine to share with, may fall back to a temporary folder.
+    Taken from ``spark.checkpoint.dir``. Only a session that runs in one process, which has
+    no other machine to share with, may do without and gets a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         _local_dirs[app] = tempfile.mkdtemp(prefix="newslens-")
     return _local_dirs[app]
@@ -44,19 +44,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give CPU-heavy work on few input splits every core.
-
-    A small table in one row group arrives as a single task. Hash-partitioned by ``key``
-    only while there are fewer splits than cores; a large table stays as it was read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only if ``df`` is counted to hold at most ``max_rows`` rows.
-
-    Otherwise ``df`` is returned unhinted and the join shuffles.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch_path`` named, in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

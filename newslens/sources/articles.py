@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newslens.functions import text
+from newslens.plans.ordered import first_per_key
+
 RAW_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("id", "title", "body", "url", "source", "source_category", "language", "timestamp")]
     + [T.StructField("gdelt_tone", T.FloatType())]
@@ -61,6 +65,12 @@ def enrich(df: DataFrame, now: datetime | Column) -> DataFrame:
     )
 
 
+def with_ids(df: DataFrame) -> DataFrame:
+    """Give articles without an id the id of their content, so that no later step loses them."""
+    content = text.content_id(F.coalesce("url", F.lit("")), F.col("title"))
+    return df.withColumn("id", F.coalesce(F.nullif(F.col("id"), F.lit("")), content))
+
+
 def keyed_json(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Message form of articles: key is the id, value the whole row as JSON."""
     return df.select(F.col("id").alias("key"), F.to_json(F.struct(*(columns or df.columns))).alias("value"))
@@ -72,16 +82,17 @@ def publish(df: DataFrame, fmt: str, **options: str) -> None:
     writer.save() if fmt == "kafka" else writer.mode("append").save(options["path"])
 
 
-def dedup_ingest(df: DataFrame, event_time: str | None = None, delay: str = "1 hour") -> DataFrame:
+def dedup_ingest(df: DataFrame, event_time: str | None = None, delay: str = "1 hour", order: Sequence[str] = ()) -> DataFrame:
     """One row per content id.
 
-    In a batch exact over the whole input; partial aggregation keeps one row per id and
-    task before the shuffle, so an id that fills a third of the table costs no more than
-    another. On a stream give ``event_time``: ids are remembered for ``delay``.
+    In a batch exact over the whole input: the first row of an id in ``order``, which must be
+    unique within the id. On a stream give ``event_time``: ids are remembered for ``delay``.
     """
     if df.isStreaming:
         if event_time is None:
             raise ValueError("a stream needs an event-time column")
         return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["id"])
-    return df.dropDuplicates(["id"])
+    if not order:
+        raise ValueError("a batch needs an order that names the row to keep")
+    return first_per_key(df, "id", order)
 

@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 
 from newslens.operators.articles import newest
 from newslens.operators.search import Index, build_index, by_term
-from newslens.sources.corpora import is_missing
+from newslens.sources.corpora import CSV, is_missing
 
-FILE_ROWS = 5_000_000
+#: Messages keep the whole time stamp.
+MOMENT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
@@ -70,6 +71,9 @@ def latest_weights(spark: SparkSession, root: str) -> DataFrame | None:
     return read_version(spark, root)
 
 
+#: Batches of arrived articles are numbered from here; any batch of the monitor comes after them.
+ARRIVALS = -(1 << 40)
+
 # Articles ---------------------------------------------------------------------------------------
 
 
@@ -95,7 +99,7 @@ def current_articles(spark: SparkSession, root: str) -> DataFrame | None:
     if upto is None:
         return last_per_id(log, ["batch_id"]).drop("batch_id")
     base = read_version(spark, f"{root}/base", upto).drop("processed_date").withColumn("batch_id", F.lit(upto).cast("long"))
-    merged = base.unionByName(log.filter(F.col("batch_id") > upto))
+    merged = base.unionByName(log.filter((F.col("batch_id") > upto) | (F.col("batch_id") < 0)))
     return last_per_id(merged, ["batch_id"]).drop("batch_id")
 
 
@@ -109,7 +113,7 @@ def compact_articles(spark: SparkSession, root: str, upto: int) -> None:
     log = read_batches(spark, f"{root}/log").filter(F.col("batch_id") <= upto)
     if done is not None:
         base = read_version(spark, f"{root}/base", done).drop("processed_date").withColumn("batch_id", F.lit(done).cast("long"))
-        log = base.unionByName(log.filter(F.col("batch_id") > done))
+        log = base.unionByName(log.filter((F.col("batch_id") > done) | (F.col("batch_id") < 0)))
     merged = last_per_id(log, ["batch_id"]).drop("batch_id")
     dated = merged.withColumn("processed_date", F.to_date("processed_at"))
     spread = dated.repartitionByRange("processed_date", "id").sortWithinPartitions("processed_date", "processed_at")
@@ -152,19 +156,20 @@ def current_index(spark: SparkSession, root: str) -> Index | None:
 def write_drift_alerts(alerts: DataFrame, batch_id: int, root: str, fmt: str = "json", **options: str) -> None:
     """Store alerts with their batch number and send them as JSON messages."""
     write_batch(alerts, f"{root}/rows", batch_id)
-    messages = alerts.select(F.to_json(F.struct("*")).alias("value"))
+    messages = alerts.select(F.to_json(F.struct("*"), {"timestampFormat": MOMENT}).alias("value"))
     if fmt == "kafka":
         messages.write.format("kafka").options(**options).save()
     else:
         messages.write.mode("overwrite").text(f"{root}/messages/batch_id={batch_id}")
 
 
-def append_alerts(alerts: DataFrame, path: str) -> None:
-    alerts.write.mode("append").parquet(path)
+def append_alerts(alerts: DataFrame, path: str, batch_id: int) -> None:
+    """Add an evaluation's alerts to the history; the same evaluation again replaces itself."""
+    write_batch(alerts, path, batch_id)
 
 
 def recent_alerts(spark: SparkSession, path: str, limit: int = 100) -> DataFrame:
-    return newest(spark.read.parquet(path), limit, "timestamp", ("metric", "severity"))
+    return newest(read_batches(spark, path).drop("batch_id"), limit, "timestamp", ("metric", "severity"))
 
 
 # Export -----------------------------------------------------------------------------------------
@@ -175,4 +180,4 @@ def export_csv(df: DataFrame, columns: Sequence[str], path: str) -> None:
     kinds = {f.name: f.dataType for f in df.schema}
     nested = (T.StructType, T.ArrayType, T.MapType)
     shown = [F.to_json(c).alias(c) if isinstance(kinds[c], nested) else F.col(c) for c in columns]
-    df.select(*shown).write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    df.select(*shown).write.mode("overwrite").options(**CSV).csv(path)

@@ -1,9 +1,10 @@
 """The two streaming jobs: scoring, and monitoring with all sinks.
 
-The first scores raw articles with the newest published weights and stores them batch by
-batch. The second follows that store: it drops repeated articles, runs the drift monitor
-and writes articles, postings, drift alerts, reservoir and online-learning steps. Each has
-its own checkpoint; both write per-batch folders that a retry replaces.
+The first scores raw articles with the newest published weights, stores and indexes them
+batch by batch. The second follows the scored batches: it drops repeated articles, runs the
+drift monitor and writes the articles' drift columns, drift alerts, reservoir and
+online-learning steps. Each has its own checkpoint; both write per-batch folders that a
+retry replaces.
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ from newslens.functions.sequential import Settings
 from newslens.operators import model
 from newslens.operators.articles import valid
 from newslens.operators.drift import alert_payloads
-from newslens.plans.storage import materialise
+from newslens.plans.storage import discard, scratch_path
 from newslens.sources import sinks
-from newslens.sources.articles import RAW_SCHEMA, TRIGGER, dedup_ingest, enrich, read_articles
+from newslens.sources.articles import RAW_SCHEMA, TRIGGER, dedup_ingest, enrich, read_articles, with_ids
 from newslens.sources.corpora import is_missing
 from newslens.streaming.monitor import monitor_stream
 
@@ -74,7 +75,7 @@ def start_scoring(
     **options: str,
 ) -> StreamingQuery:
     """Score raw articles batch by batch. Without ``score`` the newest published weights do it."""
-    raw = valid(read_articles(spark, fmt, **options))
+    raw = with_ids(valid(read_articles(spark, fmt, **options)))
 
     def each(batch: DataFrame, batch_id: int) -> None:
         done = enrich(batch, F.current_timestamp())
@@ -82,16 +83,24 @@ def start_scoring(
             scored = score(done)
         else:
             weights = sinks.latest_weights(spark, job.at("weights"))
-            # Repeated articles would multiply in the join on id; the newest one is kept.
-            scored = model.score_with_weights(
-                sinks.last_per_id(done, ["timestamp"]), model.empty_weights(spark) if weights is None else weights
-            )
+            scored = model.score_with_weights(done, model.empty_weights(spark) if weights is None else weights)
         columns = [F.col(f.name).cast(f.dataType) for f in SCORED_SCHEMA if f.name != "batch_id"]
         sinks.write_batch(scored.select(*columns), job.at("scored"), batch_id)
+        written = spark.read.parquet(f"{job.at('scored')}/batch_id={batch_id}")
+        store_arrivals(job, written, batch_id)
 
     return _start(raw, each, job.at("checkpoints/scoring"), once)
 
 
+def store_arrivals(job: Job, scored: DataFrame, batch_id: int) -> None:
+    """Store and index every scored article, however late: the monitor forgets ids beyond its
+    watermark, the store does not depend on it. A row that the monitor writes replaces this one."""
+    number = sinks.ARRIVALS + batch_id
+    articles = scored.withColumns({"drift_score": F.lit(0.0), "drift_active": F.lit(False)})
+    sinks.upsert_articles(articles, number, job.at("articles"), ["timestamp", "processed_at"])
+    sinks.write_postings(sinks.last_per_id(articles.select("id", "title", "body", "timestamp"), ["timestamp"]), number, job.at("index"))
+
+
 def start_monitoring(spark: SparkSession, job: Job, once: bool = False) -> StreamingQuery:
     """Follow the scored articles: dedup, drift monitor, and every table that is kept.
 
@@ -104,10 +113,14 @@ def start_monitoring(spark: SparkSession, job: Job, once: bool = False) -> Strea
     watched = monitor_stream(fresh, ["processed_at", "id"], job.key, settings=job.settings)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        stored = materialise(batch, "micro-batch")
-        if stored.isEmpty():
-            return
-        write_outputs(spark, job, stored, batch_id)
+        path = scratch_path(spark, "micro-batch")
+        try:
+            batch.write.parquet(path)
+            stored = spark.read.schema(batch.schema).parquet(path)
+            if not stored.isEmpty():
+                write_outputs(spark, job, stored, batch_id)
+        finally:
+            discard(spark, path)
 
     return _start(watched, each, job.at("checkpoints/monitoring"), once)
 
@@ -117,7 +130,6 @@ def write_outputs(spark: SparkSession, job: Job, batch: DataFrame, batch_id: int
     articles = batch.withColumn("drift_score", F.col("composite_score"))
     kept = [f.name for f in SCORED_SCHEMA if f.name != "batch_id"] + ["drift_score", "drift_active"]
     sinks.upsert_articles(articles.select(*kept), batch_id, job.at("articles"), ["timestamp", "processed_at"])
-    sinks.write_postings(sinks.last_per_id(articles.select("id", "title", "body", "timestamp"), ["timestamp"]), batch_id, job.at("index"))
     alerts = alert_payloads(batch.withColumn("_batch", F.lit(batch_id)), "_batch", key=[job.key])
     sinks.write_drift_alerts(alerts, batch_id, job.at("drift"))
     learn(spark, job, batch, batch_id)

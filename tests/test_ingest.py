@@ -64,8 +64,12 @@ def test_gdelt_records(spark):
 
 
 def test_dedup_keeps_one_row_per_id(spark):
-    df = spark.createDataFrame([("a",)] * 500 + [("b",)], "id string")
-    assert sorted(r.id for r in src.dedup_ingest(df).collect()) == ["a", "b"]
+    df = spark.createDataFrame([("a", i, f"body {i}") for i in range(500, 0, -1)] + [("b", 7, "x"), (None, 9, "y"), (None, 8, "z")], "id string, pos long, body string")
+    found = src.dedup_ingest(df, order=["pos"])
+    assert sorted((r.id or "", r.pos, r.body) for r in found.collect()) == [("", 8, "z"), ("a", 1, "body 1"), ("b", 7, "x")]
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        src.dedup_ingest(df)
 
 
 def test_published_messages_decode_again(spark, tmp_path):

@@ -113,6 +113,9 @@ def test_online_steps_equal_the_loop(spark):
     assert losses[2] < losses[0]
     scored = model.score_with_weights(batch.select(F.col("row").alias("id"), F.col("text").alias("title"), F.lit("").alias("body")), weights)
     assert scored.count() == 5
+    unnamed = spark.createDataFrame([(None, "fresh words", ""), (None, "fresh words", ""), ("1", "x", None)], "id string, title string, body string")
+    scored = model.score_with_weights(unnamed, weights)
+    assert scored.count() == 3 and "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
 
 
 def test_score_with_any_model(spark):

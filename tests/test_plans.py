@@ -5,11 +5,12 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from newslens.plans.ordered import running, with_index
 from newslens.plans.sampling import bottom_k, hash_key, split_by_rank
-from newslens.plans.storage import broadcast_if_small, checkpoint_dir
+from newslens.plans.storage import checkpoint_dir, discard, scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -95,9 +96,20 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     assert checkpoint_dir(spark) == checkpoint_dir(spark)
 
 
-def test_broadcast_only_when_small(spark):
-    def plan(df):
-        return df._jdf.queryExecution().logical().toString()
+def test_only_a_single_process_may_do_without_the_setting(spark):
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "k8s://x"):
+        with pytest.raises(RuntimeError):
+            checkpoint_dir(_Session({}, master))
 
-    assert "broadcast" in plan(broadcast_if_small(spark.range(5), 5)).lower()
-    assert "broadcast" not in plan(broadcast_if_small(spark.range(6), 5)).lower()
+
+def test_bottom_k_keeps_null_keys(spark):
+    df = spark.createDataFrame([(i, None if i < 2 else f"{i:08d}") for i in range(10)], "id long, key string")
+    assert sorted(r["id"] for r in bottom_k(df, "key", 4, ["id"]).collect()) == [0, 1, 2, 3]
+
+
+def test_discard_removes_a_scratch_folder(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    discard(spark, path)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)

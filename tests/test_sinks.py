@@ -93,7 +93,7 @@ def test_alert_history(spark, tmp_path):
     path = str(tmp_path / "alerts")
     for day in range(1, 5):
         row = [("warning", "t", "m", "fake_rate", 50.0 + day, datetime(2024, 1, day))]
-        sinks.append_alerts(spark.createDataFrame(row, "severity string, title string, message string, metric string, value double, timestamp timestamp"), path)
+        sinks.append_alerts(spark.createDataFrame(row, "severity string, title string, message string, metric string, value double, timestamp timestamp"), path, day)
     assert [r.value for r in sinks.recent_alerts(spark, path, 3).collect()] == [54.0, 53.0, 52.0]
 
 

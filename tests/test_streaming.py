@@ -153,6 +153,25 @@ def test_a_restart_takes_only_new_files_and_scores_with_published_weights(spark,
     assert {r.id: r.p_fake for r in rows}["00044"] not in (0.9, 0.2)
 
 
+def test_articles_without_id_and_late_ones_are_kept(spark, tmp_path):
+    job = jobs.Job(str(tmp_path / "job"))
+    records = [{**article(1), "id": None}, {**article(2), "id": ""}, {**article(3), "id": None}, article(4)]
+    land(tmp_path / "in", 0, records)
+    for start in (lambda: jobs.start_scoring(spark, job, "json", once=True, path=str(tmp_path / "in")), lambda: jobs.start_monitoring(spark, job, once=True)):
+        query = start()
+        query.awaitTermination(300)
+        assert query.exception() is None
+    rows = sinks.current_articles(spark, job.at("articles"))
+    assert sorted(r.title for r in rows.collect()) == ["title 1", "title 2", "title 3", "title 4"]
+    # a row that the monitor never sees, for it is older than all it remembers
+    late = spark.read.parquet(f"{job.at('scored')}/batch_id=0").filter("title = 'title 4'").withColumns({"id": F.lit("late"), "title": F.lit("late one")})
+    jobs.store_arrivals(job, late, 7)
+    rows = sinks.current_articles(spark, job.at("articles"))
+    assert rows.count() == 5 and rows.filter("id = 'late'").count() == 1
+    found = search(sinks.current_index(spark, job.at("index")), rows, "late one", 1).collect()
+    assert [r.id for r in found] == ["late"]
+
+
 def test_graceful_stop(spark, tmp_path):
     land(tmp_path / "in", 0, [article(i) for i in range(3)])
     seen = []
