@@ -29,8 +29,7 @@ active AS (
 
 
 def stats(spark, sf):
-    scored = scored_events(spark, sf)
-    return global_stats(scored, scored.filter("drift_active"), NOW)
+    return global_stats(scored_events(spark, sf), alerts(spark, sf), NOW)
 
 
 def active(spark, sf):

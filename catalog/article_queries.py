@@ -40,21 +40,6 @@ def virality_24h(spark, sf):
     return rounded(ops.virality(scored_events(spark, sf), NOW, 24), "avg_confidence")
 
 
-@register(
-    "global_stats",
-    f"""WITH {SCORED}
-SELECT count(*) AS total_articles, CAST(sum(is_fake) AS BIGINT) AS fake_articles,
-  CAST(sum(1 - is_fake) AS BIGINT) AS real_articles,
-  round(sum(is_fake) * 1e0 / count(*) * 100, 2) AS fake_rate,
-  count(*) FILTER (WHERE drift_active) AS drift_events,
-  count(*) FILTER (WHERE processed_at >= {NOW_SQL} - INTERVAL 1 HOUR) AS articles_last_hour
-FROM scored""",
-)
-def global_stats(spark, sf):
-    scored = scored_events(spark, sf)
-    return ops.global_stats(scored, scored.filter("drift_active"), NOW)
-
-
 @register(
     "valid_articles",
     f"WITH {ARTICLES} SELECT seq, id, title FROM articles WHERE title IS NOT NULL AND title <> ''",

@@ -133,9 +133,3 @@ def detector_votes(spark, sf):
 def monitor_by_source(spark, sf):
     """Detectors, composite, hold and counters end to end, one sequence per source."""
     return drift.drift_state(ops.detect(sequence(spark, sf), ORDER, ["source"], keep_index=True), ORDER, ["source"])
-
-
-@register("monitor_one_sequence")
-def monitor_one_sequence(spark, sf):
-    one = sequence(spark, sf).withColumn("stream_key", F.lit("all"))
-    return drift.monitor_stats(drift.drift_state(ops.detect(one, ORDER, ["stream_key"], keep_index=True), ORDER, ["stream_key"]), ["stream_key"])

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from catalog import register
 from catalog.article_queries import rounded
-from catalog.views import SCORED, scored_events, stamp, stamp_sql
+from catalog.views import NOW, NOW_SQL, SCORED, scored_events, stamp, stamp_sql
 from newslens.functions import scores
+from newslens.operators import articles
 from newslens.operators import drift as ops
 
 ORDER = ["processed_at", "id"]
@@ -192,3 +193,17 @@ def alert_texts(spark, sf):
 )
 def drift_eval(spark, sf):
     return ops.drift_eval(state(spark, sf), 500)
+
+
+@register(
+    "global_stats",
+    f"""WITH {ALERTS}
+SELECT count(*) AS total_articles, CAST(sum(is_fake) AS BIGINT) AS fake_articles,
+  CAST(sum(1 - is_fake) AS BIGINT) AS real_articles,
+  round(sum(is_fake) * 1e0 / count(*) * 100, 2) AS fake_rate,
+  (SELECT count(*) FROM alerts) AS drift_events,
+  count(*) FILTER (WHERE processed_at >= {NOW_SQL} - INTERVAL 1 HOUR) AS articles_last_hour
+FROM scored""",
+)
+def global_stats(spark, sf):
+    return articles.global_stats(scored_events(spark, sf), alerts(spark, sf), NOW)
