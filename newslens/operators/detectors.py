@@ -33,7 +33,7 @@ from newslens.functions.sequential import (
     run_detectors,
 )
 from newslens.plans.ordered import BLOCK_ROWS, block_of, join_on, running, with_halo, with_index
-from newslens.plans.storage import materialise
+from newslens.plans.storage import materialise, scratch_path
 
 ADWIN_BUCKET_ROWS = 50
 SLICE_ROWS = 1_000_000
@@ -236,7 +236,10 @@ def detect(
         return rows.assign(changed=tests)[~rows["halo"]][[f.name for f in test_schema]]
 
     blocks = with_halo(indexed.select(*keys, "idx", "x"), KSWIN_WINDOW - 1)
-    tested = materialise(blocks.groupBy(*keys, "block").applyInPandas(test_block, test_schema), "detect-tests")
+    # one folder per slice: a slice reads its own rows only, however many slices there are
+    spark, tested, done = df.sparkSession, scratch_path(df.sparkSession, "detect-tests"), scratch_path(df.sparkSession, "detect-slices")
+    number_of = F.floor((F.col("idx") - 1) / slice_rows)
+    blocks.groupBy(*keys, "block").applyInPandas(test_block, test_schema).withColumn("slice", number_of).write.partitionBy("slice").parquet(tested)
 
     def advance(group: pd.DataFrame) -> pd.DataFrame:
         carried = group["state"].dropna()
@@ -250,22 +253,19 @@ def detect(
         last = pd.DataFrame([{"idx": -1, "adwin": False, "kswin": False, "page_hinkley": False, "state": state.dumps()}])
         return pd.concat([out, last], ignore_index=True).assign(**names)[[f.name for f in out_schema]]
 
-    votes, states = None, None
+    names = ("adwin", "kswin", "page_hinkley")
     for number in range(math.ceil(slices / slice_rows)):
-        piece = tested.filter((F.col("idx") > number * slice_rows) & (F.col("idx") <= (number + 1) * slice_rows))
-        piece = piece.select(*keys, "idx", "x", "changed", F.lit(None).cast("string").alias("state"))
-        if states is not None:
+        piece = spark.read.schema(test_schema).parquet(f"{tested}/slice={number}").withColumn("state", F.lit(None).cast("string"))
+        if number:
             # Only sequences that go on need their state.
-            alive = piece.select(*keys).distinct()
-            piece = piece.unionByName(join_on(states, alive, keys, "left_semi"))
-        done = materialise(piece.groupBy(*keys).applyInPandas(advance, out_schema), "detect-slice")
-        states = done.filter("idx = -1").select(*keys, "idx", F.lit(None).cast("double").alias("x"), F.lit(False).alias("changed"), "state")
-        found = done.filter("idx > 0").drop("state")
-        votes = found if votes is None else votes.unionByName(found)
-    names = ("adwin", "kswin", "page_hinkley")
-    if votes is None:
+            states = spark.read.schema(out_schema).parquet(f"{done}/slice={number - 1}").filter("idx = -1")
+            states = states.select(*keys, "idx", F.lit(None).cast("double").alias("x"), F.lit(False).alias("changed"), "state")
+            piece = piece.unionByName(join_on(states, piece.select(*keys).distinct(), keys, "left_semi"))
+        piece.groupBy(*keys).applyInPandas(advance, out_schema).write.parquet(f"{done}/slice={number}")
+    if not slices:
         flagged = indexed.select("*", *[F.lit(False).alias(c) for c in names])
     else:
+        votes = spark.read.schema(out_schema).parquet(f"{done}/slice=*").filter("idx > 0").drop("state")
         flagged = join_on(indexed, votes, [*keys, "idx"], "left")
     index = [F.col("idx").alias("message_index")] if keep_index else []
     return flagged.select(*df.columns, *index, *[F.coalesce(c, F.lit(False)).alias(c) for c in names])

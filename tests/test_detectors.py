@@ -259,3 +259,13 @@ def test_page_hinkley_first(spark, sequences):
         flags = seq.run_page_hinkley(seq.DetectorState(), part["p_fake"].to_numpy(), seq.Settings(ph_threshold=5.0))
         assert got["null" if pd.isna(name) else name] == np.flatnonzero(flags)[0] + 1
     assert df.withColumn("p_fake", F.lit(0.5)).transform(lambda d: ops.page_hinkley_first(d, ["t"], ["key"])).filter("first_alarm is not null").count() == 0
+
+
+def test_the_plan_does_not_grow_with_the_slices(spark, sequences):
+    _, df = sequences
+    sizes = []
+    for rows in (1000, 200):
+        found = ops.detect(df, ["t"], ["key"], slice_rows=rows)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        sizes.append((plan.count("Scan"), plan.count("Union"), plan.count("Join")))
+    assert sizes[0] == sizes[1] and sizes[0][1] == 0
