@@ -45,7 +45,8 @@ ALERTS = (
 
 
 def state(spark, sf):
-    return ops.drift_state(scored_events(spark, sf).drop("drift_active", "drift_score"), ORDER)
+    narrow = scored_events(spark, sf).select("id", "processed_at", "p_fake", "adwin", "kswin", "page_hinkley")
+    return ops.drift_state(narrow, ORDER)
 
 
 def alerts(spark, sf):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newslens.functions import scores
 from newslens.operators.articles import MAX_DRIFT, check_limit
-from newslens.plans.ordered import BLOCK_ROWS, running, with_index
+from newslens.plans.ordered import BLOCK_ROWS, join_on, running, with_index
 from newslens.plans.storage import materialise
 
 # Fixed values.
@@ -48,8 +48,17 @@ def drift_state(
     ``message_index``. A row whose composite reaches 0.5 switches drift on;
     it stays on until more than ``hold`` rows have passed since the last such row, and is
     confirmed while that last row's composite was at least 0.8.
+
+    Only key, order, votes and score are sorted and stored; other columns, bodies say, are
+    joined back to the state by key and order, which must name a row.
     """
     keys, column = list(key), F.col
+    needed = [*keys, *order, *DETECTORS.values(), value, "message_index"]
+    wide = [c for c in df.columns if c not in needed]
+    if wide:
+        narrow = drift_state(df.drop(*wide), order, keys, value=value, hold=hold, block_rows=block_rows)
+        added = [c for c in narrow.columns if c not in df.columns]
+        return join_on(narrow, df.select(*dict.fromkeys([*keys, *order]), *wide), list(dict.fromkeys([*keys, *order]))).select(*df.columns, *added)
     exact = scores.composite(*[column(c) for c in DETECTORS.values()])
     scored = df.withColumn("_composite", exact)
     if "message_index" not in df.columns:

@@ -18,7 +18,7 @@ from newslens.operators.search import Index, build_index, by_term
 from newslens.sources.corpora import CSV, is_missing
 
 #: Messages keep the whole time stamp.
-MOMENT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+MOMENT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
@@ -156,7 +156,7 @@ def current_index(spark: SparkSession, root: str) -> Index | None:
 def write_drift_alerts(alerts: DataFrame, batch_id: int, root: str, fmt: str = "json", **options: str) -> None:
     """Store alerts with their batch number and send them as JSON messages."""
     write_batch(alerts, f"{root}/rows", batch_id)
-    messages = alerts.select(F.to_json(F.struct("*"), {"timestampFormat": MOMENT}).alias("value"))
+    messages = alerts.select(F.to_json(F.struct("*"), {"timestampFormat": f"{MOMENT}XXX", "timestampNTZFormat": MOMENT}).alias("value"))
     if fmt == "kafka":
         messages.write.format("kafka").options(**options).save()
     else:
