@@ -10,6 +10,7 @@ sum into a probability. All of it is fitted on a bounded sample on the driver.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -98,7 +99,7 @@ def copy_groups(words: list[list[str]], seeds: int = 6, shingle: int = 4) -> lis
     return [root(i) for i in range(len(words))]
 
 
-def learn_words(words: list[set[str]], labels: list[int], groups: list[int]) -> dict[str, float]:
+def learn_words(words: list[list[str]], labels: list[int], groups: list[int]) -> dict[str, float]:
     """Words with their smoothed log ratio of frequency in toxic and other groups of copies."""
     seen: dict[int, set] = {}
     toxic: dict[int, int] = {}
@@ -207,8 +208,9 @@ def fit(sample: list[tuple[str, int]]) -> Model:
         share = float(y.mean()) if len(y) else 0.0
         return Model({}, 0.0, [], np.array([0.0]), np.array([share]))
     texts, labels = [t for t, _ in sample], [label for _, label in sample]
-    words = [words_of(t) for t in texts]
-    groups, words = copy_groups(words), [set(w) for w in words]
+    # each word is held once, however many texts it is in
+    words = [[sys.intern(w) for w in words_of(t)] for t in texts]
+    groups, words = copy_groups(words), [list(set(w)) for w in words]
     table = lambda learned: np.array([features(t, learned) for t in texts], np.float64)
     margin = np.zeros(len(y))
     # copies stay in one fold
