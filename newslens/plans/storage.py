@@ -39,7 +39,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     recomputation, and stays columnar so later reads keep column pruning and
     filter push-down. Survives executor loss.
     """
-    path = scratch_path(df.sparkSession, label)
+    return stored(df, scratch_path(df.sparkSession, label))
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back; with ``scratch_path`` and ``discard`` for a
+    table that its user can tell the end of."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
