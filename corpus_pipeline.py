@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from newslens.llm import packing, quality_net, quality_rules, simhash, surrogates
 from newslens.llm.queries import SURROGATE_KEY, quality_model, vocabulary
-from newslens.plans.storage import materialise
+from newslens.plans.storage import discard, scratch_path, stored
 
 
 def with_text(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -70,7 +70,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        docs = stored(stage(spark, docs, sf_dir), path)
+        if last:
+            discard(spark, last)  # the stage that read it is written
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from newslens.plans.storage import materialise
+from newslens.plans.storage import discard, scratch_path, stored
 
 ROUNDS = 60
 
@@ -35,11 +35,14 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     nodes of different ones never come together.
     """
     stars = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    before = None
+    before, path = None, None
     for _ in range(rounds or ROUNDS):
         seen = Observation()
         digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        stars = materialise(_star(_star(stars, True), False).distinct().observe(seen, F.count("*").alias("n"), digest.alias("sum")), "stars")
+        last, path = path, scratch_path(edges.sparkSession, "stars")
+        stars = stored(_star(_star(stars, True), False).distinct().observe(seen, F.count("*").alias("n"), digest.alias("sum")), path)
+        if last:
+            discard(edges.sparkSession, last)
         state = seen.get["n"], seen.get["sum"]
         if state[0] == 0 or state == before:
             break
