@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from catalog import register
 from catalog.article_queries import _STOP, rounded
-from catalog.views import ARTICLES, SPACE, articles, table
+from catalog.views import ARTICLES, SPACE, articles, stamp, stamp_sql, table
 from newslens.functions import text
 from newslens.operators import search as ops
+from newslens.plans.storage import scratch_path
 
 QUERY = "the thention vipa eau"
 FUZZY = "thentian eauouon the"
@@ -16,6 +17,7 @@ FUZZY = "thentian eauouon the"
 DOCS = (
     ARTICLES
     + r""", docs AS (SELECT CAST(seq AS VARCHAR) AS id, title, body, source, language, url,
+    TIMESTAMP '2023-11-14 22:13:20' + to_hours(seq) AS processed_at,
     CASE WHEN (n_chars % 97) / 97.0e0 > 0.5 THEN 1 ELSE 0 END AS is_fake,
     greatest((n_chars % 97) / 97.0e0, 1 - (n_chars % 97) / 97.0e0) AS confidence, (n_chars % 97) / 97.0e0 AS p_fake FROM articles),
 f AS (SELECT id, 'title' AS field, regexp_extract_all(lower(title), '[\p{L}\p{N}]+') AS t FROM docs
@@ -30,7 +32,7 @@ def _weights(query: str, fuzzy: bool) -> str:
     one capital, which lower-cased terms never hold."""
     parts = []
     for word in query.split():
-        k = ops.allowed_edits(word) if fuzzy else 0
+        k = 0 if not fuzzy or len(word) <= 2 else 1 if len(word) <= 5 else 2
         distance = f"levenshtein(translate(term, 'ßäçèéêíñóöü', 'ABCDEFGHIJK'), '{word}')"
         parts.append(f"CASE WHEN {distance} <= {k} THEN 1 - {distance} * 1e0 / least(length(term), {len(word)}) ELSE 0 END")
     return " + ".join(parts)
@@ -54,12 +56,21 @@ def docs(spark, sf):
     p = (F.col("n_chars") % 97) / 97.0
     return articles(spark, sf).select(
         F.col("seq").cast("string").alias("id"), "title", "body", "source", "language", "url",
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("seq") * 3600).alias("processed_at"),
         F.when(p > 0.5, 1).otherwise(0).alias("is_fake"), F.greatest(p, 1 - p).alias("confidence"), p.alias("p_fake"),
     )
 
 
+_stored: dict[tuple[str, str], ops.Index] = {}
+
+
 def index(spark, sf):
-    return ops.build_index(docs(spark, sf).select("id", "title", "body"))
+    """The stored index of the tables, written by the first query of a session that needs it."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _stored:
+        built = ops.build_index(docs(spark, sf).select("id", "title", "body"))
+        _stored[key] = ops.store_index(built, scratch_path(spark, "index"))
+    return _stored[key]
 
 
 @register(
@@ -80,11 +91,12 @@ def postings(spark, sf):
 @register(
     "search",
     f"""WITH {_scored(QUERY, False)}, best AS (SELECT * FROM scored ORDER BY score DESC, id LIMIT 20)
-SELECT id, title, source, language, is_fake, round(confidence, 6) AS confidence, round(p_fake, 6) AS p_fake, url, body, score
+SELECT id, title, source, language, is_fake, round(confidence, 6) AS confidence, round(p_fake, 6) AS p_fake, url, body, score, {stamp_sql("processed_at")}
 FROM best JOIN docs USING (id)""",
 )
 def search(spark, sf):
-    return rounded(ops.search(index(spark, sf), docs(spark, sf), QUERY, 20), "confidence", "p_fake")
+    found = ops.search(index(spark, sf), docs(spark, sf), QUERY, 20)
+    return rounded(found.withColumn("processed_at", stamp("processed_at")), "confidence", "p_fake")
 
 
 @register("search_scores", f"WITH {_scored(QUERY, False)} SELECT id, score FROM scored")
@@ -100,12 +112,12 @@ def search_total(spark, sf):
 @register(
     "search_fuzzy",
     f"""WITH {_scored(FUZZY, True)}, best AS (SELECT s.* FROM scored s JOIN docs d USING (id) WHERE d.is_fake = 1 ORDER BY score DESC, id LIMIT 50)
-SELECT id, title, source, language, is_fake, round(confidence, 6) AS confidence, round(p_fake, 6) AS p_fake, url, body, score
+SELECT id, title, source, language, is_fake, round(confidence, 6) AS confidence, round(p_fake, 6) AS p_fake, url, body, score, {stamp_sql("processed_at")}
 FROM best JOIN docs USING (id)""",
 )
 def search_fuzzy(spark, sf):
     found = ops.search(index(spark, sf), docs(spark, sf), FUZZY, 50, fuzzy=True, is_fake=1)
-    return rounded(found, "confidence", "p_fake")
+    return rounded(found.withColumn("processed_at", stamp("processed_at")), "confidence", "p_fake")
 
 
 @register("search_fuzzy_scores", f"WITH {_scored(FUZZY, True)} SELECT id, score FROM scored")

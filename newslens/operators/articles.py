@@ -63,7 +63,7 @@ def filter_articles(
         conditions.append(F.col("confidence") >= min_confidence)
     for condition in conditions:
         df = df.filter(condition)
-    return df.select(*[c for c in ARTICLE_COLUMNS if c in df.columns])
+    return df.select(*ARTICLE_COLUMNS)
 
 
 def newest(df: DataFrame, limit: int, column: str = "processed_at", tie: Sequence[str] = ("id",)) -> DataFrame:
@@ -76,8 +76,8 @@ def recent(df: DataFrame, limit: int = 50, fake_only: bool = False) -> DataFrame
 
 
 def latest_table(df: DataFrame) -> DataFrame:
-    """Newest first, without the hidden columns, the leading columns in fixed order."""
-    lead = [c for c in LATEST_ORDER if c in df.columns]
+    """Newest first, without the hidden columns, the leading columns in fixed order, then any others."""
+    lead = list(LATEST_ORDER)
     rest = [c for c in df.columns if c not in LATEST_ORDER and c not in LATEST_HIDDEN]
     return df.select(*lead, *rest).orderBy(F.col("processed_at").desc(), *[c for c in ("id", "title") if c in rest + lead])
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from newslens.functions import text
 from newslens.operators.articles import MAX_SEARCH, check_limit, page_metrics, word_frequencies
+from newslens.plans.storage import stored
 
 # Fixed values.
 FIELD_BOOST = {"title": 3.0, "body": 1.0}
@@ -21,10 +22,29 @@ RESULT_WORDS = 15
 
 @dataclass(frozen=True)
 class Index:
-    """``postings`` (id, field, term, tf, dl) and ``lengths`` (id, field, dl) of non-empty fields."""
+    """``postings`` (id, field, term, tf, dl) and ``lengths`` (id, field, dl) of non-empty fields;
+    of a stored index also its dictionary ``terms`` (field, term, df) and ``stats`` (field, docs,
+    avg_dl), which are worked out from the others where they are missing."""
 
     postings: DataFrame
     lengths: DataFrame
+    terms: DataFrame | None = None
+    stats: DataFrame | None = None
+
+    def dictionary(self) -> DataFrame:
+        return dictionary(self.postings) if self.terms is None else self.terms
+
+    def field_stats(self) -> DataFrame:
+        """One row per field of FIELD_BOOST."""
+        return field_stats(self.lengths) if self.stats is None else self.stats
+
+
+def dictionary(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("field", "term").agg(F.count("*").alias("df"))
+
+
+def field_stats(lengths: DataFrame) -> DataFrame:
+    return lengths.groupBy("field").agg(F.count("*").alias("docs"), F.avg("dl").alias("avg_dl"))
 
 
 def field_tokens(df: DataFrame) -> DataFrame:
@@ -51,6 +71,16 @@ def by_term(postings: DataFrame) -> DataFrame:
     return postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id")
 
 
+def store_index(index: Index, path: str) -> Index:
+    """Write an index and read it back: postings clustered by term, dictionary, lengths, statistics."""
+    return Index(
+        stored(by_term(index.postings), f"{path}/postings"),
+        stored(index.lengths, f"{path}/lengths"),
+        stored(dictionary(index.postings).repartitionByRange("term").sortWithinPartitions("term"), f"{path}/terms"),
+        stored(field_stats(index.lengths), f"{path}/stats"),
+    )
+
+
 def query_terms(df: DataFrame, query: str) -> Counter:
     """Terms of a query and how often each occurs, tokenised like the articles."""
     if len(query) < MIN_QUERY:
@@ -63,16 +93,16 @@ def allowed_edits(term: str) -> int:
     return 0 if len(term) <= 2 else 1 if len(term) <= 5 else 2
 
 
-def _matches(postings: DataFrame, terms: Counter, fuzzy: bool) -> DataFrame:
-    """Postings of the query terms with a ``weight``: the term's count in the query, for a
-    fuzzy match lowered by its share of edits. The query is a handful of literals, so the
-    match is a filter inside the scan and no join."""
+def _matched_terms(terms_table: DataFrame, terms: Counter, fuzzy: bool) -> DataFrame:
+    """Dictionary entries that the query matches, with a ``weight``: the term's count in the
+    query, for a fuzzy match lowered by its share of edits. Edits are counted on distinct
+    terms only. The query is a handful of literals, so the match is a filter inside the scan."""
     term = F.col("term")
     if not fuzzy:
         weight = F.lit(0.0)
         for word, count in terms.items():
             weight = F.when(term == word, F.lit(float(count))).otherwise(weight)
-        return postings.filter(term.isin(*terms)).withColumn("weight", weight)
+        return terms_table.filter(term.isin(*terms)).withColumn("weight", weight)
 
     def weight_of(word: str, count: int) -> Column:
         most = allowed_edits(word)
@@ -84,7 +114,16 @@ def _matches(postings: DataFrame, terms: Counter, fuzzy: bool) -> DataFrame:
     weight = F.lit(0.0)
     for word, count in terms.items():
         weight = weight + weight_of(word, count)
-    return postings.withColumn("weight", weight).filter(F.col("weight") > 0)
+    return terms_table.withColumn("weight", weight).filter(F.col("weight") > 0)
+
+
+def _hits(index: Index, terms: Counter, fuzzy: bool) -> DataFrame:
+    """Postings of the matched terms with weight and df."""
+    matched = _matched_terms(index.dictionary(), terms, fuzzy)
+    if fuzzy:
+        return index.postings.join(matched, ["field", "term"])
+    # at most two rows per query term; the filter on the literals prunes the postings' row groups
+    return index.postings.filter(F.col("term").isin(*terms)).join(F.broadcast(matched), ["field", "term"])
 
 
 def score_hits(index: Index, query: str, fuzzy: bool = False) -> DataFrame:
@@ -93,19 +132,13 @@ def score_hits(index: Index, query: str, fuzzy: bool = False) -> DataFrame:
     terms = query_terms(index.postings, query)
     if not terms:
         return index.postings.select("id", F.lit(0.0).alias("score")).limit(0)
-    hits = _matches(index.postings, terms, fuzzy)
-    # One row per field of FIELD_BOOST.
-    fields = F.broadcast(index.lengths.groupBy("field").agg(F.count("*").alias("docs"), F.avg("dl").alias("avg_dl")))
-    frequency = hits.groupBy("field", "term").agg(F.count("*").alias("df"))
-    if not fuzzy:
-        frequency = F.broadcast(frequency)  # at most two rows per query term
+    fields = F.broadcast(index.field_stats())  # one row per field of FIELD_BOOST
     c = F.col
     idf = F.log(1 + (c("docs") - c("df") + 0.5) / (c("df") + 0.5))
     saturation = c("tf") * (K1 + 1) / (c("tf") + K1 * (1 - B + B * c("dl") / c("avg_dl")))
     part = c("weight") * idf * saturation
     sums = [F.sum(F.when(c("field") == field, part)) * boost for field, boost in FIELD_BOOST.items()]
-    matched = hits.join(frequency, ["field", "term"]).join(fields, "field")
-    return matched.groupBy("id").agg(F.greatest(*sums).alias("score"))
+    return _hits(index, terms, fuzzy).join(fields, "field").groupBy("id").agg(F.greatest(*sums).alias("score"))
 
 
 def search(
@@ -124,15 +157,17 @@ def search(
     if is_fake is not None:
         scored = scored.join(articles.filter(F.col("is_fake") == is_fake).select("id"), "id", "left_semi")
     best = scored.orderBy(F.desc("score"), "id").limit(limit)
-    shown = articles.select(*[c for c in RESULT_COLUMNS if c in articles.columns])
-    # The result has at most 100 rows.
-    return shown.join(F.broadcast(best), "id").orderBy(F.desc("score"), "id")
+    found = [tuple(r) for r in best.select("id", "score").collect()]  # at most 100 rows
+    session = articles.sparkSession
+    ranked = session.createDataFrame(found, best.select("id", "score").schema)
+    shown = articles.select(*RESULT_COLUMNS).filter(F.col("id").isin([i for i, _ in found]))
+    return shown.join(F.broadcast(ranked), "id").orderBy(F.desc("score"), "id")
 
 
 def total_hits(index: Index, query: str, fuzzy: bool = False) -> DataFrame:
     """Exact number of matching articles."""
     terms = query_terms(index.postings, query)
-    return _matches(index.postings, terms, fuzzy).agg(F.countDistinct("id").alias("total"))
+    return _hits(index, terms, fuzzy).agg(F.countDistinct("id").alias("total"))
 
 
 def ranked_scores(results: DataFrame) -> DataFrame:

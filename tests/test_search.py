@@ -3,10 +3,13 @@
 import math
 import re
 from collections import Counter
+from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from newslens.operators import search as ops
+from newslens.plans.storage import scratch_path
 
 DOCS = [
     ("1", "Fake news spreads", "the fake story about news and more news", 1),
@@ -20,8 +23,9 @@ DOCS = [
 
 @pytest.fixture(scope="module")
 def articles(spark):
-    rows = [(i, t, b, f, 0.5, 0.9) for i, t, b, f in DOCS]
-    return spark.createDataFrame(rows, "id string, title string, body string, is_fake int, p_fake double, confidence double")
+    rows = [(i, t, b, f, 0.5, 0.9, "s", "en", "u", datetime(2024, 1, 1)) for i, t, b, f in DOCS]
+    columns = "id string, title string, body string, is_fake int, p_fake double, confidence double, source string, language string, url string"
+    return spark.createDataFrame(rows, columns + ", processed_at timestamp")
 
 
 def tokens(s):
@@ -89,6 +93,17 @@ def test_filter_limit_total_and_order(articles):
     assert [r["rank"] for r in ops.ranked_scores(ops.search(index, articles, "news")).orderBy("rank").collect()] == [1, 2, 3]
 
 
+def test_a_stored_index_finds_the_same(spark, articles):
+    index = ops.build_index(articles)
+    kept = ops.store_index(index, scratch_path(spark, "test-index"))
+    for query, fuzzy in (("fake news", False), ("fakes nws", True), ("absent", False)):
+        want = sorted(tuple(r) for r in ops.score_hits(index, query, fuzzy).collect())
+        assert sorted(tuple(r) for r in ops.score_hits(kept, query, fuzzy).collect()) == want
+    assert ops.search(kept, articles, "fake news", 3).collect() == ops.search(index, articles, "fake news", 3).collect()
+    with pytest.raises(AnalysisException):
+        ops.search(kept, articles.drop("url"), "fake news")
+
+
 def test_limits(articles):
     index = ops.build_index(articles)
     with pytest.raises(ValueError):
@@ -97,9 +112,9 @@ def test_limits(articles):
         ops.search(index, articles, "fake", 101)
 
 
-def test_stored_postings_are_pruned_by_term(spark, articles, tmp_path):
-    path = str(tmp_path / "postings")
-    ops.by_term(ops.build_index(articles).postings).write.parquet(path)
-    stored = spark.read.parquet(path)
-    hits = ops._matches(stored, Counter({"fake": 1}), False)
-    assert "In(term" in hits._jdf.queryExecution().executedPlan().toString() or "EqualTo(term" in hits._jdf.queryExecution().executedPlan().toString()
+def test_stored_postings_are_pruned_by_term(spark, articles):
+    kept = ops.store_index(ops.build_index(articles), scratch_path(spark, "test-index"))
+    plan = ops._hits(kept, Counter({"fake": 1}), False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EqualTo(term,fake)") + plan.count("In(term") >= 2  # postings and dictionary
+    fuzzy = ops._hits(kept, Counter({"fake": 1}), True)._jdf.queryExecution().executedPlan().toString()
+    assert fuzzy.count("levenshtein") and "terms" in fuzzy
