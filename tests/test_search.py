@@ -115,6 +115,7 @@ def test_limits(articles):
 def test_stored_postings_are_pruned_by_term(spark, articles):
     kept = ops.store_index(ops.build_index(articles), scratch_path(spark, "test-index"))
     plan = ops._hits(kept, Counter({"fake": 1}), False)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("EqualTo(term,fake)") + plan.count("In(term") >= 2  # postings and dictionary
+    filters = [line for line in plan.split("\n") if "Filter" in line and re.search(r"term#\d+ = fake|term#\d+ IN \(fake", line)]
+    assert len(filters) >= 2, plan  # postings and dictionary
     fuzzy = ops._hits(kept, Counter({"fake": 1}), True)._jdf.queryExecution().executedPlan().toString()
-    assert fuzzy.count("levenshtein") and "terms" in fuzzy
+    assert "levenshtein" in fuzzy
