@@ -44,6 +44,38 @@ def select_model(spark, sf):
     return ops.select_model(parts.filter("split = 'train'"), parts.filter("split = 'val'"), grid).history
 
 
+@register("scored_once", f"WITH {ARTICLES} SELECT seq, true AS in_range, true AS consistent FROM articles")
+def scored_once(spark, sf):
+    """One decision per article, and the decision that follows from p_fake."""
+    p, fake = F.col("p_fake"), F.col("is_fake") == 1
+    sure = F.when(fake, p).otherwise(1 - p)
+    consistent = (fake == (p > 0.5)) & (F.abs(F.col("confidence") - sure) < 1e-12)
+    return score_articles(spark, sf).select("seq", ((p >= 0) & (p <= 1)).alias("in_range"), consistent.alias("consistent"))
+
+
+@register("selection_rules", "SELECT true AS contiguous, true AS stops_when_good, true AS best_is_first_highest, true AS in_range")
+def selection_rules(spark, sf):
+    """The candidates are numbered in order, the search ends with the first that is good enough
+    or the last, and the best is the first with the highest F1."""
+    history = materialise(select_model(spark, sf), "history")
+    good = F.col("val_f1") >= ops.GOOD_ENOUGH_F1
+    facts = history.agg(
+        (F.max("epoch") == F.count("*")).alias("numbered"), (F.countDistinct("epoch") == F.count("*")).alias("apart"),
+        F.min(F.when(good, F.col("epoch"))).alias("first_good"), F.max("epoch").alias("last"), F.max("val_f1").alias("highest"),
+        F.min(F.least("train_f1", "val_f1", "val_auc")).alias("least"), F.max(F.greatest("train_f1", "val_f1", "val_auc")).alias("most"),
+    )
+    first = history.join(facts, F.col("val_f1") == F.col("highest")).agg(F.min("epoch").alias("first_highest"))
+    best = ops.best_epoch(history).select(F.col("epoch").alias("best"))
+    one = lambda df: df.withColumn("_one", F.lit(1))
+    whole = one(facts).join(one(first), "_one").join(one(best), "_one")
+    return whole.select(
+        (F.col("numbered") & F.col("apart")).alias("contiguous"),
+        F.coalesce(F.col("first_good") == F.col("last"), F.col("last") == 3).alias("stops_when_good"),
+        (F.col("best") == F.col("first_highest")).alias("best_is_first_highest"),
+        ((F.col("least") >= 0) & (F.col("most") <= 1)).alias("in_range"),
+    )
+
+
 @register(
     "best_epoch",
     f"""WITH {LABELLED}, h AS (SELECT CAST(substring(source, 4) AS INTEGER) AS epoch, round(avg(CASE WHEN label = prediction THEN 1 ELSE 0 END), 6) AS val_f1
