@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.llm import packing, quality_net, quality_rules, simhash, surrogates
+from newslens.llm.common import unused
 from newslens.llm.queries import SURROGATE_KEY, quality_model, vocabulary
 from newslens.plans.storage import discard, scratch_path, stored
 
@@ -24,14 +25,16 @@ def with_text(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep, without their failing lines."""
-    judged = quality_rules.apply_rules(docs).filter("_rules.kept")
-    return with_text(judged.withColumn("text", F.col("_rules.cleaned")), docs.columns)
+    into = unused(docs.columns, "_rules")
+    judged = quality_rules.apply_rules(docs, into=into).filter(f"{into}.kept")
+    return with_text(judged.withColumn("text", F.col(f"{into}.cleaned")), docs.columns)
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network, fitted on the labels of the tables, gives 0.5 or more."""
-    scored = quality_net.score(docs, quality_model(spark, sf_dir), docs.columns)
-    return scored.filter("score >= 0.5").select(*docs.columns)
+    into = unused(docs.columns, "score")
+    scored = quality_net.score(docs, quality_model(spark, sf_dir), docs.columns, into=into)
+    return scored.filter(F.col(into) >= 0.5).select(*docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +52,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by surrogates."""
     others = [c for c in docs.columns if c != "text"]
-    return with_text(surrogates.pseudonymise(docs, SURROGATE_KEY, others), docs.columns)
+    done = surrogates.pseudonymise(docs, SURROGATE_KEY, others, into=unused(docs.columns, "entities"))
+    return with_text(done, docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

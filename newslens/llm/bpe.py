@@ -33,8 +33,8 @@ END = "</w>"
 SPACES = regex.compile(f"[{SPACE}]+")
 SEPARATORS = regex.compile("[\\x1c-\\x1f]")
 NONE = np.iinfo(np.int64).max
-CACHE_WORDS = 1_000_000
-CACHE_SYMBOLS = 8_000_000
+CACHE_WORDS = 600_000
+CACHE_SYMBOLS = 6_000_000
 
 
 def byte_letters() -> list[str]:
@@ -120,7 +120,8 @@ def grown(held: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
 
 
 class Coder:
-    """Encodes and decodes lists of texts; keeps the ids of words it has met, up to a bound."""
+    """Encodes and decodes lists of texts; keeps the ids of words it has met, up to a bound. Beyond
+    it the words stay that were met most often."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
@@ -132,11 +133,30 @@ class Coder:
         self.number: dict[str | tuple[str], int] = {}
         self.flat, self.starts, self.lengths = (np.zeros(1 << 12, np.int32) for _ in range(3))
         self.used = self.words_held = 0
+        self.met = np.zeros(0, np.int64)  # how often each word held was met
         for token, value in self.vocabulary.special.items():
             self.number[(token,)] = len(self.number)
         values = np.array(list(self.vocabulary.special.values()), np.int64)
         self._append(values, np.ones(len(values), np.int64))
 
+    def _forget(self) -> None:
+        """Keep the words met most often, specials always, to half the bounds."""
+        met, held = self.met, np.arange(self.words_held)
+        least = 1
+        fixed = held < len(self.vocabulary.special)
+        while True:
+            kept = fixed | (met > least)
+            if kept.sum() <= CACHE_WORDS // 2 + fixed.sum() and self.lengths[: self.words_held][kept].sum() <= CACHE_SYMBOLS // 2 + fixed.sum():
+                break
+            least *= 2
+        place = np.cumsum(kept) - 1
+        self.number = {w: int(place[i]) for w, i in self.number.items() if kept[i]}
+        starts, lengths = self.starts[: self.words_held][kept], self.lengths[: self.words_held][kept]
+        ends = np.cumsum(lengths, dtype=np.int64)
+        flat = self.flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])] if len(ends) else self.flat[:0]
+        self.flat, self.starts, self.lengths = flat, (ends - lengths).astype(np.int32), lengths
+        self.used, self.words_held, self.met = len(flat), int(kept.sum()), met[kept] // 2
+
     def _append(self, flat: np.ndarray, lengths: np.ndarray) -> None:
         self.starts = grown(self.starts, self.words_held, self.used + np.cumsum(lengths) - lengths)
         self.lengths = grown(self.lengths, self.words_held, lengths)
@@ -180,7 +200,7 @@ class Coder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one flat array, and the number of ids of each; null counts as empty."""
         if len(self.number) > CACHE_WORDS or self.used > CACHE_SYMBOLS:
-            self._clear()
+            self._forget()
         words = [self.words(t) if t else [] for t in texts]
         every: list = []
         for x in words:
@@ -189,6 +209,9 @@ class Coder:
         if len(missing := np.flatnonzero(at < 0).tolist()):
             self._learn({every[i] for i in missing})
             at[missing] = [self.number[every[i]] for i in missing]
+        met = np.bincount(at, minlength=self.words_held)
+        met[: len(self.met)] += self.met
+        self.met = met
         lengths = self.lengths[at]
         ends = np.cumsum(lengths, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0

@@ -19,6 +19,14 @@ def schema_of(ddl: str) -> StructType:
     return _parse_datatype_string(ddl)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores after it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; a null id is not held out."""
     rest = F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus

@@ -28,9 +28,10 @@ PLACES = 32  # filter positions of a segment
 SEGMENTS = 8  # segments of a chunk; the next chunk starts at its last one
 LAGS = range(2, 25)
 EPOCHS = 8
+MIN_STEPS = 160  # small samples are gone through more often
 BATCH = 64
 RATE = 0.01
-BLOCK = 1 << 19
+BLOCK = 1 << 16
 SEED = 11
 
 
@@ -171,7 +172,9 @@ def fit(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = SEED) -
     names = list(net.__dataclass_fields__)
     first = {n: np.zeros_like(getattr(net, n)) for n in names}
     second = {n: np.zeros_like(getattr(net, n)) for n in names}
-    steps = max(1, epochs * -(-len(sample) // BATCH))
+    batches = -(-len(sample) // BATCH)
+    epochs = max(epochs, -(-MIN_STEPS // batches))
+    steps = epochs * batches
     step = 0
     for _ in range(epochs):
         order = rng.permutation(len(sample))
@@ -189,8 +192,8 @@ def fit(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = SEED) -
     return net
 
 
-def score(df: DataFrame, net: Network, columns: list[str], text: str = "text") -> DataFrame:
-    """``columns`` of ``df`` with the score (0 to 1) of the whole text.
+def score(df: DataFrame, net: Network, columns: list[str], text: str = "text", into: str = "score") -> DataFrame:
+    """``columns`` of ``df`` with the score (0 to 1) of the whole text as column ``into``.
 
     Null counts as empty; the empty text has a score of its own, the same for all. Rows are
     independent, repeated rows give repeated scores; no rows give no rows.
@@ -202,4 +205,4 @@ def score(df: DataFrame, net: Network, columns: list[str], text: str = "text") -
         return lambda *values: [*values[:-1], known.score([t or "" for t in values[-1]])]
 
     kinds = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in columns)
-    return map_texts(df, [*columns, text], kinds + "score double", make)
+    return map_texts(df, [*columns, text], kinds + f"`{into}` double", make)

@@ -68,25 +68,25 @@ def covered_words(starts: Column) -> Column:
     return F.aggregate(F.transform(starts, reach), F.lit(0), lambda total, n: total + n)
 
 
-def apply_rules(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with the struct column ``_rules``: n_words, word_chars, n_symbols, n_dup_lines,
+def apply_rules(df: DataFrame, text: str = "text", into: str = "_rules") -> DataFrame:
+    """``df`` with the struct column ``into``: n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, lost_chars, cleaned (the text without failing lines), base_failed, kept.
 
     A null text counts as empty; empty and wordless texts fail for want of words. Rows are
     judged one by one, so repeated rows get the same verdict; other columns pass through.
     Should the table have a column of that name already, it is replaced.
     """
-    r = lambda name: F.col(f"_rules.{name}")
+    r = lambda name: F.col(f"{into}.{name}")
     # each step is used several times by the next one, which keeps Spark from folding it into a lambda
     body = F.coalesce(F.col(text), F.lit(""))
     cut = lambda line: F.struct(line.alias("s"), F.lower(line).alias("low"), F.split(line, GAP).alias("parts"))
-    staged = df.withColumn("_rules", F.struct(F.transform(F.split(body, "\n"), cut).alias("lines"), F.lit(0).alias("_")))
+    staged = df.withColumn(into, F.struct(F.transform(F.split(body, "\n"), cut).alias("lines"), F.lit(0).alias("_")))
     words = F.array_remove(F.flatten(F.transform(r("lines"), lambda line: line["parts"])), "")
-    staged = staged.withColumn("_rules", F.struct(r("lines").alias("lines"), words.alias("words")))
+    staged = staged.withColumn(into, F.struct(r("lines").alias("lines"), words.alias("words")))
     positions = F.when(F.size(r("words")) > 2, F.sequence(F.lit(0), F.size(r("words")) - 3)).otherwise(F.array().cast("array<int>"))
     three = lambda i: [F.get(r("words"), i + k) for k in range(3)]
     window = lambda i: F.struct(F.xxhash64(*three(i)).alias("hash"), i.alias("i"))
-    staged = staged.withColumn("_rules", F.struct(
+    staged = staged.withColumn(into, F.struct(
         r("words").alias("words"), F.transform(r("lines"), line_facts).alias("facts"),
         F.sort_array(F.transform(positions, window)).alias("windows"),
     ))
@@ -95,13 +95,13 @@ def apply_rules(df: DataFrame, text: str = "text") -> DataFrame:
     beside = lambda x, j: F.coalesce(equal(x, F.get(r("windows"), j)), F.lit(False))
     twice = F.filter(r("windows"), lambda x, j: beside(x, j - 1) | beside(x, j + 1))
     verdict = lambda fact: F.struct(fact["s"].alias("s"), fact["solid"].alias("solid"), fact["symbols"].alias("symbols"), line_fails(fact).alias("fails"))
-    staged = staged.withColumn("_rules", F.struct(
+    staged = staged.withColumn(into, F.struct(
         F.size(r("words")).alias("n_words"), F.transform(r("facts"), verdict).alias("facts"),
         F.sort_array(F.transform(twice, lambda x: x["i"])).alias("starts"),
     ))
     total = lambda value: F.aggregate(r("facts"), F.lit(0).cast("bigint"), lambda n, fact: n + value(fact))
     full = F.transform(F.filter(r("facts"), lambda fact: fact["solid"] > 0), lambda fact: fact["s"])
-    staged = staged.withColumn("_rules", F.struct(
+    staged = staged.withColumn(into, F.struct(
         r("n_words").cast("bigint").alias("n_words"), total(lambda fact: fact["solid"]).alias("word_chars"),
         total(lambda fact: fact["symbols"]).alias("n_symbols"),
         (F.size(full) - F.size(F.array_distinct(full))).cast("bigint").alias("n_dup_lines"),
@@ -113,5 +113,5 @@ def apply_rules(df: DataFrame, text: str = "text") -> DataFrame:
     kept = ~base_failed & (r("lost_chars") * 100 <= r("word_chars") * MAX_LOST)
     # a filter on the verdict must not be pushed below here, where it would be worked out once for
     # itself and once for the result; Spark pushes none through a generator
-    verdict = F.explode_outer(F.array(F.struct("_rules.*", base_failed.alias("base_failed"), kept.alias("kept"))))
-    return staged.select(*[c for c in staged.columns if c != "_rules"], verdict.alias("_rules"))
+    verdict = F.explode_outer(F.array(F.struct(f"{into}.*", base_failed.alias("base_failed"), kept.alias("kept"))))
+    return staged.select(*[c for c in staged.columns if c != into], verdict.alias(into))

@@ -95,11 +95,11 @@ def letters(key: bytes, kind: str, value: str, fixed: Callable[[int], bool] = la
     """Letters and digits replaced by others of their class; case, other signs and ``fixed`` places stay.
     Values that differ only in case get surrogates that do, too."""
     low = [c.lower() if len(c.lower()) == 1 else c for c in value]
-    places = [i for i, c in enumerate(low) if c in CLASS_OF and not fixed(i)]
-    lead = {i for i in places if low[i] in "123456789" and (i == 0 or low[i - 1] not in CLASSES[0])}
-    skip = {i for i in places if low[i] == "0" and (i == 0 or low[i - 1] not in CLASSES[0])}  # a leading zero stays one
-    places = [i for i in places if i not in skip]
-    shape = "".join("abcdefg"[CLASS_OF[low[i]]] if i in set(places) else low[i] for i in range(len(low))) + "".join(f",{i}" for i in sorted(lead))
+    first_digit = lambda i: low[i].isdigit() and (i == 0 or low[i - 1] not in CLASSES[0])
+    # a leading zero stays one, and no other digit becomes one
+    places = [i for i, c in enumerate(low) if c in CLASS_OF and not fixed(i) and not (c == "0" and first_digit(i))]
+    lead, chosen = {i for i in places if first_digit(i)}, set(places)
+    shape = "".join("abcdefg"[CLASS_OF[c]] if i in chosen else c for i, c in enumerate(low)) + "".join(f",{i}" for i in sorted(lead))
     x, n = 0, 1
     for i in places:
         own = CLASSES[CLASS_OF[low[i]]][1 if i in lead else 0 :]
@@ -219,8 +219,8 @@ def replace(text: str | None, make: Callable[[str, str], str]) -> tuple[str | No
     return "".join([*parts, text[at:]]) if entities else text, entities
 
 
-def pseudonymise(df: DataFrame, key: str, columns: list[str], text: str = "text") -> DataFrame:
-    """``columns`` of ``df`` with the text, its entities replaced, and the entities (kind, start,
+def pseudonymise(df: DataFrame, key: str, columns: list[str], text: str = "text", into: str = "entities") -> DataFrame:
+    """``columns`` of ``df`` with the text, its entities replaced, and as column ``into`` the entities (kind, start,
     end in code points of the old text, surrogate).
 
     Null stays null and has no entities, like the empty text. Rows are independent: copies
@@ -239,7 +239,7 @@ def pseudonymise(df: DataFrame, key: str, columns: list[str], text: str = "text"
         return work
 
     kinds = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in columns)
-    return map_texts(df, [*columns, text], kinds + f"`{text}` string, entities array<struct<kind:string,start:int,end:int,surrogate:string>>", make)
+    return map_texts(df, [*columns, text], kinds + f"`{text}` string, `{into}` array<struct<kind:string,start:int,end:int,surrogate:string>>", make)
 
 
 def collisions(pairs: DataFrame) -> DataFrame:

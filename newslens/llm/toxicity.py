@@ -226,8 +226,8 @@ def fit(sample: list[tuple[str, int]]) -> Model:
     return Model(learned, *boost(x, y), *isotonic(margin, y))
 
 
-def score(df: DataFrame, model: Model, columns: list[str], text: str = "text") -> DataFrame:
-    """``columns`` of ``df`` with the score (0 to 1) of the whole text.
+def score(df: DataFrame, model: Model, columns: list[str], text: str = "text", into: str = "score") -> DataFrame:
+    """``columns`` of ``df`` with the score (0 to 1) of the whole text as column ``into``.
 
     Null counts as empty. Rows are independent, repeated rows give repeated scores; no rows
     give no rows.
@@ -239,4 +239,4 @@ def score(df: DataFrame, model: Model, columns: list[str], text: str = "text") -
         return lambda *values: [*values[:-1], known.score(values[-1])]
 
     kinds = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in columns)
-    return map_texts(df, [*columns, text], kinds + "score double", make)
+    return map_texts(df, [*columns, text], kinds + f"`{into}` double", make)

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -10,7 +11,7 @@ from newslens.llm import simhash, surrogates
 from test_rules import plain as plain_rules
 from test_simhash import brute
 
-COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, extra string"
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score string, _rules string, entities string, fp string, row string"
 FUNCTIONS = dict(corpus_pipeline.STAGES)
 
 
@@ -24,7 +25,7 @@ def docs(spark):
     first = prose(1)
     rows = [(1, first), (2, first), (3, first.replace("rain", "snow", 1)), (4, prose(4)), (5, prose(5) + "\nMail ann@example.com or 10.0.0.1.")]
     rows += [(6, None), (7, ""), (8, "too short."), (9, "| a | b | c\n" * 50), (10, "same same " * 80), (11, prose(11) + "\nAll rights reserved."), (4, prose(44)), (None, prose(12)), (13, prose(13, 9000))]
-    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x") for i, t in rows], COLUMNS).repartition(2)
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x", "r", "e", "f", "w") for i, t in rows], COLUMNS).repartition(2)
 
 
 def test_rules_stage(spark, docs):
@@ -34,12 +35,13 @@ def test_rules_stage(spark, docs):
     assert sorted((r.doc_id or 0) for r in rows) == [0, 1, 2, 3, 4, 4, 5, 11, 13]
     assert all(not plain_rules(r.text)[-1] and r.n_chars == len(r.text) for r in rows if r.doc_id != 13)
     assert next(r.text for r in rows if r.doc_id == 11) == prose(11)
+    assert {(r.score, r._rules, r.entities) for r in rows} == {("x", "r", "e")}
     assert FUNCTIONS["quality_rules"](spark, docs.limit(0), "").count() == 0
 
 
 def test_classifier_stage(spark):
     sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("score", F.lit("s"))
     kept = FUNCTIONS["quality_classifier"](spark, docs, sf)
     assert kept.dtypes == docs.dtypes
     good = spark.read.parquet(f"{sf}/labels.parquet").join(docs, "doc_id").filter("quality = 1")
