@@ -60,12 +60,12 @@ def _advance(rows: pd.DataFrame, x: np.ndarray, detectors: DetectorState, monito
         adwin=adwin,
         kswin=kswin,
         page_hinkley=page_hinkley,
-        composite_score=np.round(composite, 4),
+        composite_score=composite,
         drift_active=active,
         drift_confirmed=active & (last_sure[1:] == hit),
         is_edge=edge,
         recommended_lr=np.where(active, scores.LR_DRIFT, scores.LR_BASE),
-        confidence_mean_last100=np.round(means, 4),
+        confidence_mean_last100=means,
         total_drift_events=events,
     )
 
@@ -93,4 +93,6 @@ def monitor_stream(
         state.update((detectors.dumps(), json.dumps(monitor)))
         yield result[[f.name for f in out]]
 
-    return prepared.groupBy(key).applyInPandasWithState(advance, out, STATE, "append", GroupStateTimeout.NoTimeout)
+    watched = prepared.groupBy(key).applyInPandasWithState(advance, out, STATE, "append", GroupStateTimeout.NoTimeout)
+    # rounded where the batch form rounds, so that exact halves go the same way
+    return watched.withColumns({c: F.round(c, 4) for c in ("composite_score", "confidence_mean_last100")})
