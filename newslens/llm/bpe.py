@@ -33,8 +33,9 @@ END = "</w>"
 SPACES = regex.compile(f"[{SPACE}]+")
 SEPARATORS = regex.compile("[\\x1c-\\x1f]")
 NONE = np.iinfo(np.int64).max
-CACHE_WORDS = 600_000
-CACHE_SYMBOLS = 6_000_000
+SPOT_BITS = 20
+CACHE_WORDS = 800_000
+CACHE_SYMBOLS = 8_000_000
 
 
 def byte_letters() -> list[str]:
@@ -44,6 +45,10 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
+def spot(pairs: np.ndarray) -> np.ndarray:
+    return (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SPOT_BITS)
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     tokens: tuple[str, ...]
@@ -53,6 +58,7 @@ class Vocabulary:
     keys: np.ndarray  # sorted pair keys: left id * number of tokens + right id
     ranks: np.ndarray
     merged: np.ndarray
+    occupied: np.ndarray  # whether any key falls on a spot: most unknown pairs need no search
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -69,10 +75,12 @@ class Vocabulary:
         keys = np.array([ids[a] * size + ids[b] for a, b in pairs], np.int64)
         merged = np.array([ids[a + b] for a, b in pairs], np.int64)
         order = np.argsort(keys, kind="stable")
+        occupied = np.zeros(1 << SPOT_BITS, bool)
+        occupied[spot(keys)] = True
         return cls(
             tuple(tokens), special,
             np.array([ids[x] for x in letters], np.int64), np.array([ids[x + END] for x in letters], np.int64),
-            keys[order], order.astype(np.int64), merged[order],
+            keys[order], order.astype(np.int64), merged[order], occupied,
         )
 
     def merge(self, symbols: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,10 +91,13 @@ class Vocabulary:
             rank, made = np.full(len(symbols), NONE), None
             if len(symbols) > 1:
                 pair = symbols[:-1] * size + symbols[1:]
-                at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-                known = (self.keys[at] == pair) & (words[:-1] == words[1:])
-                rank[:-1][known] = self.ranks[at[known]]
-                made = self.merged[at]
+                maybe = np.flatnonzero(self.occupied[spot(pair)] & (words[:-1] == words[1:]))
+                at = np.minimum(np.searchsorted(self.keys, pair[maybe]), len(self.keys) - 1)
+                known = self.keys[at] == pair[maybe]
+                maybe, at = maybe[known], at[known]
+                rank[maybe] = self.ranks[at]
+                made = np.zeros(len(pair), np.int64)
+                made[maybe] = self.merged[at]
             starts = np.flatnonzero(np.r_[True, words[1:] != words[:-1]])
             lengths = np.diff(np.r_[starts, len(symbols)])
             lowest = np.repeat(np.minimum.reduceat(rank, starts), lengths)
@@ -185,16 +196,25 @@ class Coder:
     def _learn(self, stretches: set) -> None:
         new = list(stretches)
         words = [WORD.findall(x) for x in new]
-        raw = [w.encode("utf-8") for x in words for w in x]
+        # the words of the stretches, each once
+        place: dict[str, int] = {}
+        every = [place.setdefault(w, len(place)) for x in words for w in x]
+        raw = [w.encode("utf-8") for w in place]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
         octets = np.frombuffer(b"".join(raw), np.uint8)
         symbols = self.vocabulary.inner[octets]
         ends = np.cumsum(lengths) - 1
         symbols[ends] = self.vocabulary.last[octets[ends]]
         ids, owner = self.vocabulary.merge(symbols, np.repeat(np.arange(len(raw)), lengths))
+        counts = np.bincount(owner, minlength=len(raw))
+        begins = np.cumsum(counts) - counts
+        at = np.array(every, np.int64)
+        lengths = counts[at]
+        ends = np.cumsum(lengths)
+        ids = ids[np.repeat(begins[at] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
         stretch = np.repeat(np.arange(len(new)), [len(x) for x in words])
         known = self.words_held
-        self._append(ids, np.bincount(stretch[owner], minlength=len(new)))
+        self._append(ids, np.bincount(stretch, lengths, len(new)).astype(np.int64))
         self.number.update(zip(new, range(known, known + len(new)), strict=True))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
