@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newslens.plans.storage import discard, scratch_path, stored
 
 ROUNDS = 60
+FILE_ROWS = 500_000
 
 
 def _star(edges: DataFrame, whole: bool) -> DataFrame:
@@ -24,7 +25,7 @@ def _star(edges: DataFrame, whole: bool) -> DataFrame:
 
 
 def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
-    """node and component (its smallest node) of every node of the edges (a, b).
+    """node and component (its smallest node) of every node of the edges (a, b), a stored table.
 
     Each round hangs every node's larger neighbours on its smallest one, then its smaller ones;
     stars around the smallest nodes remain after a number of rounds that grows with the
@@ -35,18 +36,18 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     nodes of different ones never come together.
     """
     stars = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    before, path = None, None
+    before, path, rows = None, None, edges.count()
     for _ in range(rounds or ROUNDS):
-        seen = Observation()
-        digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         last, path = path, scratch_path(edges.sparkSession, "stars")
-        stars = stored(_star(_star(stars, True), False).distinct().observe(seen, F.count("*").alias("n"), digest.alias("sum")), path)
+        # few edges need few files, whatever the number of shuffle partitions
+        stars = stored(_star(_star(stars, True), False).distinct().coalesce(-(-rows // FILE_ROWS) or 1), path)
         if last:
             discard(edges.sparkSession, last)
-        state = seen.get["n"], seen.get["sum"]
+        # two numbers; not by an Observation, which a session cannot run Spark ML beside
+        state = tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state[0] == 0 or state == before:
             break
-        before = state
+        before, rows = state, state[0]
     else:
         if not rounds:
             raise RuntimeError(f"no end after {ROUNDS} rounds")

@@ -170,7 +170,6 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     labels = labels.withColumn("class", F.col("fp"))
     links = None
     if max_bits >= 2:
-        labels = materialise(labels, "simhash-distinct")
         links = materialise(certain_links(labels), "simhash-certain")
         merged = components(links, MERGE_ROUNDS).withColumnRenamed("node", "fp")
         labels = labels.join(merged, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
