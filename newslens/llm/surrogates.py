@@ -30,7 +30,7 @@ KINDS = ("email", "iban", "card", "ssn", "ip", "phone", "person")
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = re.compile(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-CARD = re.compile(r"(?<![0-9A-Za-z.])[1-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])")
+CARD = re.compile(r"(?<![0-9A-Za-z.])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])")
 SSN = re.compile(r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])")
 PHONE = re.compile(r"(?<![\w.+])(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{2,4}[ .\-])[0-9]{3,4}[ .\-][0-9]{3,4}(?![0-9A-Za-z])")
 PHONE_PLAIN = re.compile(r"(?<![\w.+])\+[0-9]{1,3}(?:[ .\-]?[0-9]){8,12}(?![0-9A-Za-z])")

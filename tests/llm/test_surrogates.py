@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -65,6 +66,26 @@ def test_detection():
     assert s.detect("Nothing here but 12 words, 3.14 and 2024-01-30.") == []
 
 
+def test_card_numbers_may_begin_with_zero():
+    for value in ("0007687199101951", "0000000000000000", "0810992847249404", "0810 9928 4724 9404", "4785380592391139"):
+        new, entities = s.replace(f"Card {value}, thanks", lambda k, v: s.surrogate(KEY, k, v))
+        assert [e[0] for e in entities] == ["card"] and value not in new
+        assert re.fullmatch(r"Card [0-9](?: ?[0-9]){15}, thanks", new) and s.luhn(re.sub(r"\D", "", new)) == s.luhn(value.replace(" ", ""))
+
+
+def test_planted_forms_are_gone_by_patterns_of_their_own(spark):
+    planted = [r"(?<![0-9A-Za-z.])[0-9]{16}(?![0-9A-Za-z])", r"\+1 \([0-9]{3}\) 555-[0-9]{4}", r"[a-z0-9.]+@[a-z0-9.]+\.[a-z]{2,}", r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"]
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect() if r.text]
+    seen = 0
+    for text in texts:
+        values = {v for p in planted for v in re.findall(p, text)}
+        if values:
+            new = s.replace(text, lambda k, v: s.surrogate(KEY, k, v))[0]
+            assert not [v for v in values if v in new]
+            seen += len(values)
+    assert seen > 300
+
+
 def test_rows(spark):
     long = "x " * 50000 + "ann@example.com"
     rows = [(1, None, "a"), (2, "", "a"), (3, "ann@example.com 10.0.0.1", "a"), (3, "ann@example.com 10.0.0.1", "a"), (None, long, "a")]
