@@ -28,7 +28,7 @@ from newslens.llm.common import schema_of
 from newslens.plans.storage import materialise
 
 K = 20
-ERROR = 1.9
+ERROR = 2.5
 FIRST_LOOK = 4  # times as many estimates as results give the bar
 SAMPLE = 4096
 ROW_BLOCK = 8192
