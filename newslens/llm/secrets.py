@@ -25,9 +25,12 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 TOKEN = re.compile(
     r"""(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<name>[A-Za-z_$][A-Za-z0-9_$.\-]*)"""
-    r"""|(?P<op>:=|=>|==|!=|<=|>=|[=:+])|(?P<other>[^\s"'`=:+]+|["'`])"""
+    r"""|(?P<op>:=|=>|==|!=|<=|>=|[=:+])|(?P<other>[^\WA-Za-z_][\w$.\-]*|\S)"""
 )
-BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>]+""")
+#: A value without quotes; the next parameter of a query string is not part of it.
+BARE = re.compile(r"""(?:[^\s"'`,;(){}\[\]<>&]|&(?![A-Za-z_][A-Za-z0-9_.\-]*=))+""")
+#: Words that may stand before another one in a type.
+QUALIFIERS = frozenset("const mut dyn static readonly unsigned signed long short final".split())
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 #: How sensitive a name is, by its parts; names that only speak about a secret weigh less.
 SENSITIVE = {
@@ -73,36 +76,104 @@ def strength(literal: str) -> float:
     return min(1.0, entropy * n / FULL_BITS) * (0.5 if classes < 2 else 1.0)
 
 
+def targets(words: list[tuple[str, str]], end: int) -> list[str]:
+    """Names that what stands before token ``end`` gives a value to; ``words`` are (kind, token)."""
+    at = end - 1
+    if at > 0 and words[at][1] in ("?", "!"):  # optional and definite members
+        at -= 1
+    if at < 0:
+        return []
+    kind, word = words[at]
+    if kind != "other":
+        return [word] if kind == "name" else [word[1:-1]] if kind == "text" else []
+    if word != "]" or not at:
+        return []
+    kind, word = words[at - 1]
+    inner = [] if word == "[" else [word[1:-1]] if kind == "text" else [word] if kind == "name" else []
+    begin = at - 1 if word == "[" else at - 2
+    if begin > 0 and words[begin][1] == ":":  # a symbol
+        begin -= 1
+    if begin < 0 or words[begin][1] != "[":
+        return []
+    if kind != "text" and begin and words[begin - 1][0] == "name":  # an array, or an entry under a variable's value
+        inner.append(words[begin - 1][1])
+    return inner
+
+
+def is_type(words: list[tuple[str, str]]) -> bool:
+    """Whether the tokens can be a type, as between ``name:`` and ``=``."""
+    if len(words) == 1:
+        return words[0][0] in ("name", "text")
+    depth, word_before = 0, False
+    for i, (kind, word) in enumerate(words):
+        if word in ("[", "<", "("):
+            depth += 1
+        elif word in ("]", ">", ")"):
+            depth -= 1
+            if depth < 0:
+                return False
+        elif depth == 0:
+            if kind == "name":
+                if word_before:
+                    return False
+                word_before = word not in QUALIFIERS and (i == 0 or words[i - 1][1] != "'")
+            elif word in ("|", "&", "*", "?", ".", "!", "'"):
+                word_before = False
+            else:
+                return False
+    return depth == 0 and bool(words)
+
+
 def assignments(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
-    """(name, literals as (start, end), names referred to) of each assignment, in text order."""
+    """(name, literals as (start, end), names referred to) of each assignment, in text order.
+
+    A name may be a subscript's, or have its type between itself and the equals sign. What
+    could be a type or the name itself counts as both.
+    """
     found, at = [], 0
     for line in text.split("\n"):
         if "=" in line or ":" in line:
             tokens = [(m.lastgroup, m.start(), m.end()) for m in TOKEN.finditer(line)]
-            for i in range(len(tokens) - 2):
-                kind, a, b = tokens[i]
-                op = line[tokens[i + 1][1] : tokens[i + 1][2]]
-                if kind not in ("name", "text") or op not in ("=", ":", ":=", "=>"):
+            words = [(kind, line[a:b]) for kind, a, b in tokens]
+            ops = [i for i, (kind, _) in enumerate(words) if kind == "op"]
+            typed: dict[int, int] = {}  # the place of = by that of its colon
+            for colon, sign in zip(ops, ops[1:]):
+                if words[colon][1] == ":" and words[sign][1] == "=" and sign + 1 < len(tokens) and is_type(words[colon + 1 : sign]):
+                    # not the padding of a bare value
+                    if words[sign + 1][0] == "text" or tokens[sign - 1][2] < tokens[sign][1] < tokens[sign][2] < tokens[sign + 1][1]:
+                        typed[colon] = sign
+            declared = {sign: colon for colon, sign in typed.items()}
+            run, last = range(0), 0  # the bare value matched last, and its last token
+            for i in ops:
+                if words[i][1] not in ("=", ":", ":=", "=>") or i + 1 == len(tokens) or i in typed:
+                    continue
+                given = targets(words, i)
+                if i in declared:
+                    given += targets(words, declared[i])
+                elif i > 1 and words[i - 1] == ("name", "string") and words[i - 2][0] == "name":
+                    given.append(words[i - 2][1])
+                if not given:
                     continue
-                name = line[a:b] if kind == "name" else line[a + 1 : b - 1]
-                literals, names, j = [], [], i + 2
+                literals, names, j = [], [], i + 1
                 while j < len(tokens):
                     kind, a, b = tokens[j]
                     if kind == "text":
                         literals.append((at + a + 1, at + b - 1))
-                    elif kind in ("name", "other") and (bare := BARE.match(line, a)):
-                        end = bare.end()
-                        (names.append(line[a:end]) if kind == "name" else None)
-                        literals.append((at + a, at + end))
-                        while j + 1 < len(tokens) and tokens[j + 1][1] < end:
-                            j += 1
+                    elif kind in ("name", "other") and (a in run or (bare := BARE.match(line, a))):
+                        if a not in run:
+                            run, last = range(a, bare.end()), j
+                            while last + 1 < len(tokens) and tokens[last + 1][1] < run.stop:
+                                last += 1
+                        (names.append(line[a : run.stop]) if kind == "name" else None)
+                        literals.append((at + a, at + run.stop))
+                        j = last
                     else:
                         break
-                    if j + 1 < len(tokens) and line[tokens[j + 1][1] : tokens[j + 1][2]] == "+":
+                    if j + 1 < len(tokens) and words[j + 1][1] == "+":
                         j += 2
                     else:
                         break
-                found.append((name, literals, names))
+                found += [(name, literals, names) for name in given]
         at += len(line) + 1
     return found
 

@@ -45,6 +45,20 @@ def test_names_decide_and_constants_propagate():
     assert found("prose: with a colon, and x = y = z; nothing here") == []
 
 
+def test_names_after_punctuation_with_types_and_in_subscripts():
+    value = "kT9-xx81Qq_z"
+    for line in (
+        'connect(auth_key="{}")', '{{pwd: "{}"}}', 'f(a, b,passphrase="{}")', "x;pwd='{}'", '[pwd="{}"]', "run --passphrase={} now", "https://h/?a=b&pwd={}",
+        'pwd: str = "{}"', 'const pwd: string = "{}"', 'pwd:string="{}"', 'pwd: Optional[str] = "{}"', 'pwd: str | None = "{}"', 'pwd: &\'static str = "{}"', 'pwd?: string = "{}"', 'f(x: int, pwd: Dict[str, str] = "{}")', 'var pwd string = "{}"',
+        'cfg["pwd"] = "{}"', "$cfg['db']['pwd'] = '{}'", 'cfg[:pwd] = "{}"', 'char pwd[16] = "{}"', 'char pwd[] = "{}"', 'cfg["pwd"]: str = "{}"', 'error: pwd = "{}"', "pwd: SecretStr = '{}'",
+    ):
+        assert found(line.format(value)) == [value], line
+    assert found(f'x: str = "{value}"\nclient_credentials = x') == [value]
+    assert found(f'title: str = "{value}"\nf(title="{value}", b)\ncfg["title"] = "{value}"\npwd["title"] = "{value}"') == []
+    assert found("pwd: Zm9vYmFyOnNlY3JldDE=") == ["Zm9vYmFyOnNlY3JldDE="]
+    assert found(f"pwd={value}&pin=1&user=someone") == [value]
+
+
 def test_query_over_whole_texts(spark):
     from newslens.llm.queries import QUERIES
 
