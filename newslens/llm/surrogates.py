@@ -46,6 +46,9 @@ FIRST = {name: group for group, names in NAMES.items() for name in names}
 TITLES = r"Mr|Mrs|Ms|Miss|Dr|Prof|Sir|Herr|Frau|Señora|Señor|Sra|Sr|Don|Doña|Monsieur|Madame|Mme|Mlle|Mr\.|г-н|г-жа"
 WORD = r"(?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+|[А-ЯЁ][а-яё]+)"
 PERSON = re.compile(rf"(?<!\w)(?:(?:{TITLES})\.? +((?:{WORD}[ \-]){{0,2}}{WORD})|((?:{'|'.join(sorted(FIRST))})(?:[ \-]{WORD}){{1,2}}))(?!\w)")
+#: A word that may be a short mention of a person, and words that never are, though a title or first name may stand before them.
+MENTION = re.compile(rf"(?<!\w)(?:{WORD}|[A-ZÀ-ÖØ-Þ]{{2,}}|[А-ЯЁ]{{2,}})(?!\w)")
+FUNCTION_WORDS = frozenset("The This That These Those He She It We You They His Her Its Our Your Their And Or But If In On At By For From Of To With As Is Was Are Not No Der Die Das Ein Eine Und Er Sie Es Wir Ihr Im Am Le La Les Un Une Et Il Elle Nous Vous Ils El Los Las Una Uno Y En De Du Des Del Él Ella И Он Она Они Мы Вы В Не Но На С По".split())
 #: Letters that stand in for one another.
 CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòùâêîôûäëïöü", "ñçß", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ")
 CLASS_OF = {c: k for k, letters in enumerate(CLASSES) for c in letters}
@@ -152,7 +155,10 @@ def _ip(key: bytes, value: str) -> str:
 
 
 def _name(key: bytes, word: str) -> str:
-    """A first name of the list's gender and script, or letters for letters, but no name of a list."""
+    """A first name of the list's gender and script, or letters for letters, but no name of a list.
+    A word in capitals gets the surrogate of the usual form, in capitals."""
+    if len(word) > 1 and word.isupper():
+        return _name(key, word.capitalize()).upper()
     if word in FIRST:
         names = NAMES[FIRST[word]]
         return names[moved(key, f"first\0{FIRST[word]}", names.index(word), len(names))]
@@ -185,7 +191,8 @@ def surrogate(key: bytes, kind: str, value: str) -> str:
 
 
 def detect(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the entities, in order and apart; of overlapping finds the kind listed first stays."""
+    """(start, end, kind) of the entities, in order and apart; of overlapping finds the kind listed first stays.
+    Words of the persons' names are found wherever else the text has them, too."""
     found: list[tuple[int, int, str]] = []
     if "@" in text:
         found += [(m.start(), m.end(), "email") for m in EMAIL.finditer(text)]
@@ -200,7 +207,23 @@ def detect(text: str) -> list[tuple[int, int, str]]:
     for a, b, kind in found:
         if all(b <= c or d <= a for c, d, _ in kept):
             kept.append((a, b, kind))
-    return sorted(kept)
+    kept.sort()
+    return sorted(kept + mentions(text, kept))
+
+
+def mentions(text: str, kept: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Words of the names in ``kept``, as they are or in capitals, where they stand outside of its spans."""
+    parts = {w for a, b, kind in kept if kind == "person" for w in re.split(r"[ \-]", text[a:b])} - FUNCTION_WORDS
+    parts |= {w.upper() for w in parts}
+    if not parts:
+        return []
+    found, at = [], 0
+    for m in MENTION.finditer(text):
+        while at < len(kept) and kept[at][1] <= m.start():
+            at += 1
+        if m[0] in parts and (at == len(kept) or m.end() <= kept[at][0]):
+            found.append((m.start(), m.end(), "person"))
+    return found
 
 
 DIGIT = re.compile(r"[0-9]{2}|[0-9]\.")

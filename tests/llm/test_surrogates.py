@@ -86,6 +86,18 @@ def test_planted_forms_are_gone_by_patterns_of_their_own(spark):
     assert seen > 300
 
 
+def test_short_mentions_of_detected_persons_are_replaced_alike():
+    make = lambda k, v: s.surrogate(KEY, k, v)
+    new, entities = s.replace("Maria Schmidt called. Schmidt's car, SCHMIDT! Maria left; Mariana and Schmidtke, schmidt@Schmidt.de stay.", make)
+    first, last = make("person", "Maria"), make("person", "Schmidt")
+    assert new.startswith(f"{first} {last} called. {last}'s car, {last.upper()}! {first} left; Mariana and Schmidtke, ") and new.endswith(" stay.")
+    assert [e[0] for e in entities] == ["person"] * 4 + ["email"]
+    assert "Novak" not in s.replace("Novak won. Dr. Novak-Weiss thanked Novak, Weiss thanked no one.", make)[0]
+    assert s.replace("Анна Петрова пришла. Петрова ушла.", make)[0].count(make("person", "Петрова")) == 2
+    assert s.replace("Anna The end. The day of Schmidt.", make)[0].endswith(" end. The day of Schmidt.")
+    assert s.replace("Schmidt said no.", make)[0] == "Schmidt said no."
+
+
 def test_rows(spark):
     long = "x " * 50000 + "ann@example.com"
     rows = [(1, None, "a"), (2, "", "a"), (3, "ann@example.com 10.0.0.1", "a"), (3, "ann@example.com 10.0.0.1", "a"), (None, long, "a")]
