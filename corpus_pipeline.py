@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.llm import packing, quality_net, quality_rules, simhash, surrogates
-from newslens.llm.common import unused
+from newslens.llm.common import map_texts, unused
 from newslens.llm.queries import SURROGATE_KEY, quality_model, vocabulary
-from newslens.plans.storage import discard, scratch_path, stored
+from newslens.plans.storage import discard, materialise, scratch_path, stored
 
 
 def with_text(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -38,15 +38,28 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id; of rows with one id
-    the smallest by their values. Documents without id are all kept if their group has no id."""
-    groups = simhash.near_duplicates(docs, words=4, max_bits=4)
-    gone = groups.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
-    twice = groups.groupBy("doc_id").count().filter(F.col("count") > 1).select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    once = kept.join(twice, "doc_id", "left_anti")
-    rest = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row"))
-    return once.select(*docs.columns).unionByName(rest.select("doc_id", "row.*").select(*docs.columns))
+    """Of each group of near-duplicates one row: that of the smallest id, of rows with one id the
+    smallest by their values. A group without any id keeps its smallest row; groups with the same
+    smallest id count as one.
+
+    Rows whose id no other row has are told by it. For the others, and those without id, the
+    fingerprint is worked out again beside the row.
+    """
+    groups = materialise(simhash.grouped(docs, words=4, max_bits=4), "pipeline-groups")
+    twice = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    gone = groups.filter("doc_id <> component_id").select("doc_id").unionByName(twice)
+    once = docs.filter("doc_id is not null").join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rest = docs.join(twice, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    columns = ["doc_id", *[c for c in docs.columns if c not in ("doc_id", "text")], "text"]
+    ddl = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+    marked = map_texts(rest, columns, f"{ddl}, `{(fp := unused(columns, '_fp'))}` bigint", lambda: lambda *v: [*v, [simhash.fingerprint(t, 4) for t in v[-1]]])
+    row = F.min(F.struct(*["doc_id", *[c for c in docs.columns if c != "doc_id"]])).alias("row")
+    # one row of each id and fingerprint before the join, so that copies do not meet in it
+    rows = marked.groupBy(F.col("doc_id").alias("id"), F.col(fp).alias("fp")).agg(row)
+    first = rows.join(groups.select("fp", "component_id", "class").distinct(), "fp").filter(F.col("id").eqNullSafe(F.col("component_id")))
+    of_group = F.when(F.col("component_id").isNull(), F.col("class"))
+    kept = first.groupBy("component_id", of_group.alias("class")).agg(F.min("row").alias("row"))
+    return once.unionByName(kept.select("row.*").select(*docs.columns))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

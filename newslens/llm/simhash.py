@@ -161,12 +161,17 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     one id are separate members; a null id counts for the component only if it has no other.
     No rows give no rows. Intermediate tables go to the shared folder of the session.
     """
+    return grouped(df, doc_id, text, words, max_bits).drop("class")
+
+
+def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """``near_duplicates`` with class, the group's smallest fingerprint, which tells groups without an id apart."""
     if not 0 <= max_bits <= 4:
         raise ValueError("the keys are made for at most 4 differing bits")
     marked = materialise(fingerprints(df, doc_id, text, words), "simhash")
     labels = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     if max_bits == 0:
-        return marked.join(labels, "fp").select("doc_id", "fp", F.col("first").alias("component_id"))
+        return marked.join(labels, "fp").select("doc_id", "fp", F.col("first").alias("component_id"), F.col("fp").alias("class"))
     labels = labels.withColumn("class", F.col("fp"))
     links = None
     if max_bits >= 2:
@@ -183,5 +188,5 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         found = found.unionByName(links).unionByName(inside)
     whole = components(materialise(found.distinct(), "simhash-links")).withColumnRenamed("node", "fp")
     labels = labels.join(whole, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
-    named = labels.join(labels.groupBy("class").agg(F.min("first").alias("component_id")), "class").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = labels.join(labels.groupBy("class").agg(F.min("first").alias("component_id")), "class").select("fp", "component_id", "class")
+    return marked.join(named, "fp").select("doc_id", "fp", "component_id", "class")

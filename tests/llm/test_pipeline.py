@@ -58,6 +58,16 @@ def test_dedup_stage(spark, docs):
     assert FUNCTIONS["simhash_near_dedup"](spark, docs.limit(0), "").count() == 0
 
 
+def test_dedup_stage_decides_by_row(spark):
+    near = prose(1).replace("rain", "snow", 1)
+    rows = [(10, prose(1)), (500, prose(1)), (500, prose(2)), (500, prose(2)), (None, near), (None, prose(3)), (None, prose(3)), (None, prose(4)), (600, prose(5)), (600, prose(5) + " "), (700, prose(6))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "x", "r", "e", "f", "w") for i, t in rows], COLUMNS).repartition(3)
+    kept = FUNCTIONS["simhash_near_dedup"](spark, docs, "")
+    assert kept.dtypes == docs.dtypes
+    want = [(10, prose(1)), (500, prose(2)), (None, prose(3)), (None, prose(4)), (600, prose(5)), (700, prose(6))]
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted((i or 0, t) for i, t in want)
+
+
 def test_pii_stage(spark, docs):
     done = FUNCTIONS["pii_surrogates"](spark, docs, "")
     assert done.dtypes == docs.dtypes and done.count() == docs.count()
