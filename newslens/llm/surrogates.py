@@ -34,6 +34,10 @@ CARD = re.compile(r"(?<![0-9A-Za-z.])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])"
 SSN = re.compile(r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])")
 PHONE = re.compile(r"(?<![\w.+])(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{2,4}[ .\-])[0-9]{3,4}[ .\-][0-9]{3,4}(?![0-9A-Za-z])")
 PHONE_PLAIN = re.compile(r"(?<![\w.+])\+[0-9]{1,3}(?:[ .\-]?[0-9]){8,12}(?![0-9A-Za-z])")
+#: National forms: groups of two digits, and one long group after the prefix.
+PHONE_PREFIX = r"(?<![\w.+])(?:\(0[0-9]{1,4}\) ?|0[0-9]{1,4}[ .\-/])"
+PHONE_PAIRS = re.compile(rf"{PHONE_PREFIX}[0-9]{{2}}(?:[ .\-][0-9]{{2}}){{2,4}}(?![0-9A-Za-z])")
+PHONE_LONG = re.compile(rf"{PHONE_PREFIX.replace(' .', ' ')}[0-9]{{5,8}}(?![0-9A-Za-z])")
 IP = re.compile(rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])")
 #: First names by gender and script.
 NAMES = {
@@ -197,7 +201,7 @@ def detect(text: str) -> list[tuple[int, int, str]]:
     if "@" in text:
         found += [(m.start(), m.end(), "email") for m in EMAIL.finditer(text)]
     if DIGIT.search(text):
-        for kind, pattern in (("iban", IBAN), ("card", CARD), ("ssn", SSN), ("phone", PHONE), ("phone", PHONE_PLAIN), ("ip", IP)):
+        for kind, pattern in (("iban", IBAN), ("card", CARD), ("ssn", SSN), ("phone", PHONE), ("phone", PHONE_PLAIN), ("phone", PHONE_PAIRS), ("phone", PHONE_LONG), ("ip", IP)):
             found += [(m.start(), m.end(), kind) for m in pattern.finditer(text)]
     for m in PERSON.finditer(text):
         at = 1 if m[1] else 2

@@ -98,6 +98,16 @@ def test_short_mentions_of_detected_persons_are_replaced_alike():
     assert s.replace("Schmidt said no.", make)[0] == "Schmidt said no."
 
 
+def test_national_phone_numbers():
+    for value in ("06 12 34 56 78", "06.12.34.56.78", "06-12-34-56-78", "030 1234567", "030/1234567", "(030) 1234567", "0171-12345678", "030 12 34 56 78"):
+        new, entities = s.replace(f"Tel. {value}, bis 12 Uhr", lambda k, v: s.surrogate(KEY, k, v))
+        assert [(e[0], e[3]) for e in entities] == [("phone", value)] and value not in new
+        assert [c if not c.isalnum() else c.isdigit() for c in entities[0][4]] == [c if not c.isalnum() else c.isdigit() for c in value]
+        assert [k for _, _, k in s.detect(f"x {entities[0][4]} y")] == ["phone"]
+    assert s.surrogate(KEY, "phone", "030 1234567") == s.surrogate(KEY, "phone", "030/1234567").replace("/", " ")
+    assert s.detect("On 01.02.2024, 08:30, 0.12345678 and 100 200000 of 0 1234567.") == []
+
+
 def test_rows(spark):
     long = "x " * 50000 + "ann@example.com"
     rows = [(1, None, "a"), (2, "", "a"), (3, "ann@example.com 10.0.0.1", "a"), (3, "ann@example.com 10.0.0.1", "a"), (None, long, "a")]
