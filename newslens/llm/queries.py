@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import ann, bpe, language, packing, quality_net, quality_rules, secrets, simhash, surrogates, toxicity
+from newslens.llm import ann, bpe, language, odd_sketch, packing, quality_net, quality_rules, repair, secrets, simhash, surrogates, toxicity, whitening
 from newslens.llm.common import held_out, labelled_sample
+from newslens.plans.ordered import join_on
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,6 +103,29 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+@register
+def op11_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+@register
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations")
+    planned, rows = repair.repair(repair.damaged(talks))
+    found = join_on(planned, repair.digests(rows), ["conv_id"])
+    every = join_on(talks.select("conv_id").distinct(), found, ["conv_id"], "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 ORACLES["op9_quality_rules"] = r"""
 WITH texts AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents
