@@ -18,12 +18,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslens.llm.common import map_texts
+from newslens.llm.common import map_texts, unused
 
 ORDER = 3
 START = b"\n" * ORDER
 DOCS_PER_LANGUAGE = 300
 SLOT_BITS = 20
+#: Bytes that are looked up at once.
+STRETCH = 1 << 18
 UNDETERMINED = "und"
 
 
@@ -98,10 +100,15 @@ class Model:
         counted = np.ones(len(octets), bool)
         for lead in range(ORDER):
             counted[begins + lead] = False
-        bits = self.cost(ORDER, grams(octets, ORDER)[counted])
-        upto = np.concatenate([np.zeros((1, bits.shape[1])), np.cumsum(bits, axis=0, dtype=np.float64)])
+        found = grams(octets, ORDER)[counted]
         ends = np.cumsum(sizes - ORDER)
-        return upto[ends] - upto[ends - (sizes - ORDER)]
+        starts = ends - (sizes - ORDER)
+        total = np.zeros((len(texts), len(self.languages)))
+        for at in range(0, len(found), STRETCH):
+            upto = np.concatenate([np.zeros((1, len(self.languages))), np.cumsum(self.cost(ORDER, found[at : at + STRETCH]), axis=0, dtype=np.float64)])
+            some = slice(np.searchsorted(ends, at, "right"), np.searchsorted(starts, at + STRETCH))
+            total[some] += upto[np.minimum(ends[some] - at, len(upto) - 1)] - upto[np.maximum(starts[some] - at, 0)]
+        return total
 
 
 def fit(samples: dict[str, list[str]]) -> Model:
@@ -166,10 +173,12 @@ def sample(docs: DataFrame, train, docs_per_language: int = DOCS_PER_LANGUAGE) -
 
 def predict(df: DataFrame, model: Model, columns: list[str], text: str = "text") -> DataFrame:
     """``columns`` of ``df`` with lang_pred, score (the language's share of probability under
-    equal priors) and bits (its code length).
+    equal priors) and bits (its code length); these get underscores where ``columns`` has the name.
 
     Null texts and texts without a letter are ``und`` with score 0 and null bits; so is every
-    text if no language was learned. Equal code lengths go to the first name in order.
+    text if no language was learned. Equal code lengths go to the first name in order. Rows are
+    independent: repeated rows give repeated results, no rows give no rows. A text is worked
+    through in stretches, so a very long one takes a few bytes a byte.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
@@ -192,4 +201,5 @@ def predict(df: DataFrame, model: Model, columns: list[str], text: str = "text")
         return work
 
     kinds = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in columns)
-    return map_texts(df, [*columns, text], kinds + "lang_pred string, score double, bits double", make)
+    added = ", ".join(f"`{unused([*columns, text], name)}` {kind}" for name, kind in (("lang_pred", "string"), ("score", "double"), ("bits", "double")))
+    return map_texts(df, [*columns, text], kinds + added, make)

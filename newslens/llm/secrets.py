@@ -12,7 +12,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -43,6 +46,8 @@ PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|none|null|true|false|todo|chang
 MIN_LITERAL = 6
 MIN_SCORE = 0.45
 FULL_BITS = 40
+#: Letters at either end of a joined value that are looked at, and where counts of letters stop.
+ENDS, MANY = 32, 1 << 40
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -66,14 +71,50 @@ def sensitivity(name: str) -> float:
     return weight * 0.3 if parts and parts[-1] in HARMLESS else weight
 
 
-def strength(literal: str) -> float:
-    """0 for what cannot be a secret, towards 1 the more bits its letters carry."""
-    if len(literal) < MIN_LITERAL or PLACEHOLDER.match(literal) or any(c.isspace() for c in literal):
-        return 0.0
-    n = len(literal)
-    entropy = -sum(k / n * math.log2(k / n) for k in Counter(literal).values())
-    classes = sum(any(f(c) for c in literal) for f in (str.islower, str.isupper, str.isdigit)) + any(not c.isalnum() for c in literal)
-    return min(1.0, entropy * n / FULL_BITS) * (0.5 if classes < 2 else 1.0)
+@dataclass
+class Value:
+    """What a name holds: its own literals, the values joined into it, and what judging it takes:
+    length and letter counts, which add up, and both ends. Never the joined string itself."""
+
+    spans: list[tuple[int, int]]
+    parts: list[Value]
+    length: int
+    counts: Counter
+    head: str
+    tail: str
+    reached: float = 0.0
+
+    @classmethod
+    def literal(cls, text: str, a: int, b: int) -> Value:
+        return cls([(a, b)], [], b - a, Counter(text[a:b]), text[a : min(b, a + ENDS)], text[max(a, b - ENDS) : b])
+
+    @classmethod
+    def joined(cls, parts: list[Value]) -> Value:
+        if len(parts) == 1:
+            return parts[0]
+        whole = cls([], parts, 0, Counter(), "", "")
+        for p in parts:
+            whole.length = min(whole.length + p.length, MANY)
+            for c, n in p.counts.items():
+                whole.counts[c] = min(whole.counts[c] + n, MANY)
+            whole.head = (whole.head + p.head)[:ENDS] if len(whole.head) < ENDS else whole.head
+            whole.tail = (whole.tail + p.tail)[-ENDS:]
+        return whole
+
+    def is_placeholder(self) -> bool:
+        if self.length <= ENDS:
+            return bool(PLACEHOLDER.match(self.head))
+        ends = self.head + self.tail
+        return bool(PLACEHOLDER.match(ends)) and (len(set(ends.lower())) > 1 or len({c.lower() for c in self.counts}) == 1)
+
+    def strength(self) -> float:
+        """0 for what cannot be a secret, towards 1 the more bits its letters carry."""
+        if self.length < MIN_LITERAL or self.is_placeholder() or any(c.isspace() for c in self.counts):
+            return 0.0
+        n = sum(self.counts.values())
+        entropy = -sum(k / n * math.log2(k / n) for k in self.counts.values())
+        classes = sum(any(f(c) for c in self.counts) for f in (str.islower, str.isupper, str.isdigit)) + any(not c.isalnum() for c in self.counts)
+        return min(1.0, entropy * n / FULL_BITS) * (0.5 if classes < 2 else 1.0)
 
 
 def targets(words: list[tuple[str, str]], end: int) -> list[str]:
@@ -179,25 +220,36 @@ def assignments(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]
 
 
 def literal_spans(text: str) -> list[tuple[str, int, int]]:
-    """Literals that reach the threshold by the most sensitive name they come to."""
+    """Literals that reach the threshold by the most sensitive name they come to.
+
+    A value refers to those joined into it, so constants that are joined over and over take no
+    more room than the text; a value's score goes down to its parts, the last made first.
+    """
     if "=" not in text and ":" not in text:
         return []
-    held: dict[str, list[tuple[int, int]]] = {}
-    score: dict[tuple[int, int], float] = {}
+    held: dict[str, Value] = {}
+    made: list[Value] = []
     for name, literals, names in assignments(text):
-        values = []
-        for span in literals:
-            literal = text[span[0] : span[1]]
-            if literal in names and literal in held:
-                values += held[literal]
-            else:
-                values.append(span)
-        held[name] = values
+        parts = []
+        for a, b in literals:
+            known = held.get(text[a:b]) if text[a:b] in names else None
+            if known is None:
+                known = Value.literal(text, a, b)
+                made.append(known)
+            parts.append(known)
+        value = Value.joined(parts)
+        if len(parts) > 1:
+            made.append(value)
+        held[name] = value
         if own := sensitivity(name):
             # literals that are joined into one value are judged as one
-            reached = own * strength("".join(text[a:b] for a, b in values))
-            for span in values:
-                score[span] = max(score.get(span, 0.0), reached)
+            value.reached = max(value.reached, own * value.strength())
+    score: dict[tuple[int, int], float] = {}
+    for value in reversed(made):
+        for part in value.parts:
+            part.reached = max(part.reached, value.reached)
+        for span in value.spans:
+            score[span] = max(score.get(span, 0.0), value.reached)
     return [("literal", a, b) for (a, b), reached in score.items() if reached >= MIN_SCORE]
 
 
@@ -207,7 +259,9 @@ def spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     text = text or ""
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     base = sorted(base_spans(text), key=order)
-    more = [x for x in literal_spans(text) if not any(a <= x[1] and x[2] <= b for _, a, b in base)]
+    starts, furthest = [a for _, a, _ in base], list(accumulate((b for _, _, b in base), max))
+    inside = lambda a, b: bool(at := bisect_right(starts, a)) and b <= furthest[at - 1]
+    more = [x for x in literal_spans(text) if not inside(x[1], x[2])]
     return base, sorted(base + more, key=order)
 
 
@@ -219,7 +273,9 @@ def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
     """doc_id, the number of spans of each pattern, base_sha256 and spans of every row.
 
     Spans are kind:start:end in code points, the end exclusive. Null counts as empty; an empty
-    text has no spans. Rows are independent, repeated rows give repeated results.
+    text has no spans, an empty table no rows. Rows are independent, repeated rows give repeated
+    results, other columns are not looked at. Time and memory grow with a text's length, however
+    many literals it has and however often they are joined.
     """
 
     def work(keys, texts):

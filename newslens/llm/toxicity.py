@@ -62,7 +62,10 @@ def features(text: str | None, learned: dict[str, float]) -> list[float]:
     weights = {w: learned[w] for _, w in known if w in learned}
     weighed = sum(learned.get(w, 0.0) for _, w in known)
     second = [i for i, w in enumerate(words) if w in SECOND]
-    near = sum(any(abs(i - j) <= NEAR for j in second) for i, _ in known) if second and known else 0
+    near = 0
+    if second and known:
+        places, centres = np.array([i for i, _ in known]), np.array(second)
+        near = int((np.searchsorted(centres, places + NEAR, "right") > np.searchsorted(centres, places - NEAR)).sum())
     octets = np.frombuffer(text.encode("utf-8"), np.uint8)
     counts = np.bincount(octets, minlength=256)
     upper, lower = int(counts[65:91].sum()), int(counts[97:123].sum())
