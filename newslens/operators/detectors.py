@@ -1,9 +1,10 @@
 """Change detection over stored score sequences.
 
-``adwin_cuts``, ``kswin_blocks`` and ``page_hinkley_first`` answer for whole sequences
-of any length with every part of a sequence worked on in parallel. ``detect`` is the
-sequential monitor with resets, whose outcome at a row depends on everything before it;
-it walks each sequence in bounded slices, all sequences side by side.
+``adwin_cuts``, ``kswin_blocks``, ``kswin_alarms`` and ``page_hinkley_first`` answer for whole
+sequences of any length with every part of a sequence worked on in parallel. ``detect`` is the
+monitor of all three detectors with resets; the window of ADWIN and the sums of Page-Hinkley
+depend on everything before, so it walks each sequence for them, in bounded slices, all
+sequences side by side.
 """
 
 from __future__ import annotations
@@ -30,13 +31,17 @@ from newslens.functions.sequential import (
     DetectorState,
     Settings,
     kswin_changes,
-    run_detectors,
+    run_adwin,
+    run_page_hinkley,
+    spaced,
 )
 from newslens.plans.ordered import BLOCK_ROWS, block_of, join_on, running, with_halo, with_index
 from newslens.plans.storage import materialise, scratch_path
 
 ADWIN_BUCKET_ROWS = 50
 SLICE_ROWS = 1_000_000
+#: Blocks whose maps of states one task composes.
+GROUP_BLOCKS = 256
 
 
 def _scores(df: DataFrame, order: Sequence[str], key: Sequence[str], value: str) -> DataFrame:
@@ -195,6 +200,106 @@ def page_hinkley_first(
     )
 
 
+def kswin_tests(indexed: DataFrame, key: Sequence[str], settings: Settings, block_rows: int) -> DataFrame:
+    """One row per block of ``block_rows`` rows: ``changes``, the rows whose window of 100 differs from
+    its past, and ``exits``, what the block makes of a state.
+
+    The state is how many rows must pass before the next alarm, 0 to 67, for an alarm empties the
+    window but for 33 rows. ``exits[r]`` is the state after the block if it was entered in state r.
+    """
+    keys = list(key)
+    most = KSWIN_WINDOW - KSWIN_RECENT
+    kept = [indexed.schema[k] for k in keys]
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([*kept, T.StructField("block", T.LongType()), T.StructField("changes", longs), T.StructField("exits", longs)])
+
+    def test_block(group: pd.DataFrame) -> pd.DataFrame:
+        rows = group.sort_values("idx")
+        own = ~rows["halo"].to_numpy()
+        tests = kswin_changes(rows["x"].to_numpy(), int(rows["idx"].iloc[-1]), settings.seed, settings.kswin_alpha)[own]
+        changes, length = np.flatnonzero(tests), int(own.sum())
+        ends = []
+        for first in range(most + 1):
+            alarms = spaced(changes, first)
+            ends.append(max(0, (alarms[-1] + most if alarms else first) - length))
+        start = int(rows["idx"].to_numpy()[own][0])
+        return pd.DataFrame([{**{k: rows[k].iloc[0] for k in keys}, "block": int(group["block"].iloc[0]), "changes": changes + start, "exits": ends}])[
+            [f.name for f in schema]
+        ]
+
+    staged = with_halo(indexed.select(*keys, "idx", "x"), KSWIN_WINDOW - 1, block_rows=block_rows)
+    # a halo alone, behind the last row of a sequence, is no block
+    own = join_on(staged, staged.filter(~F.col("halo")).select(*keys, "block").distinct(), [*keys, "block"], "left_semi")
+    return own.groupBy(*keys, "block").applyInPandas(test_block, schema)
+
+
+def entered_states(tests: DataFrame, key: Sequence[str], group_blocks: int = GROUP_BLOCKS) -> DataFrame:
+    """Add ``entry``, the state in which each block of ``kswin_tests`` is entered.
+
+    The blocks' maps are composed within groups of blocks, all groups in parallel, and the
+    groups' maps along the key: one short array per group.
+    """
+    keys = list(key)
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([*tests.schema.fields, T.StructField("upto", longs), T.StructField("whole", longs)])
+
+    def compose(group: pd.DataFrame) -> pd.DataFrame:
+        rows = group.sort_values("block")
+        reached = np.arange(KSWIN_WINDOW - KSWIN_RECENT + 1)
+        upto = []
+        for ends in rows["exits"]:
+            upto.append(reached)
+            reached = np.asarray(ends)[reached]
+        return rows.assign(upto=upto, whole=[reached] * len(rows))[[f.name for f in schema]]
+
+    groups = tests.withColumn("group", F.floor(F.col("block") / group_blocks))
+    placed = materialise(groups.groupBy(*keys, "group").applyInPandas(compose, schema), "kswin-states")
+    placed = placed.withColumn("group", F.floor(F.col("block") / group_blocks))
+    maps = placed.groupBy(*keys, "group").agg(F.first("whole").alias("whole"))
+    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    state = F.aggregate(F.collect_list("whole").over(earlier), F.lit(0).cast("long"), lambda at, ends: F.element_at(ends, (at + 1).cast("int")))
+    entered = maps.select(*keys, "group", state.alias("_at"))
+    return join_on(placed, entered, [*keys, "group"]).withColumn("entry", F.element_at("upto", (F.col("_at") + 1).cast("int")))
+
+
+def kswin_rows(indexed: DataFrame, key: Sequence[str], settings: Settings, block_rows: int = BLOCK_ROWS, group_blocks: int = GROUP_BLOCKS) -> DataFrame:
+    """key and idx of the KSWIN alarms of a numbered frame (idx, x); see ``kswin_alarms``."""
+    keys = list(key)
+    schema = T.StructType([*[indexed.schema[k] for k in keys], T.StructField("idx", T.LongType())])
+    placed = entered_states(materialise(kswin_tests(indexed, keys, settings, block_rows), "kswin-tests"), keys, group_blocks)
+
+    def mark(batches):
+        for batch in batches:
+            for _, block in batch.iterrows():
+                places = np.asarray(block["changes"], dtype=np.int64)
+                alarms = spaced(places, block["block"] * block_rows + 1 + block["entry"])
+                if alarms:
+                    yield pd.DataFrame({**{k: [block[k]] * len(alarms) for k in keys}, "idx": alarms})
+
+    return placed.select(*keys, "block", "changes", "entry").filter(F.size("changes") > 0).mapInPandas(mark, schema)
+
+
+def kswin_alarms(
+    df: DataFrame,
+    order: Sequence[str],
+    key: Sequence[str] = (),
+    value: str = "p_fake",
+    *,
+    settings: Settings = Settings(),
+    block_rows: int = BLOCK_ROWS,
+    group_blocks: int = GROUP_BLOCKS,
+) -> DataFrame:
+    """key and ``message_index`` of every alarm of the KSWIN detector, which forgets all but 33 rows
+    after an alarm.
+
+    No sequence is walked: every row's test needs 100 rows only, and what an alarm changes later on
+    is a state of 68 values. Each block maps states at its start to states at its end; the maps are
+    composed, then all blocks mark their alarms.
+    """
+    indexed = materialise(_scores(df, order, key, value), "kswin-rows")
+    return kswin_rows(indexed, key, settings, block_rows, group_blocks).withColumnRenamed("idx", "message_index")
+
+
 def detect(
     df: DataFrame,
     order: Sequence[str],
@@ -207,65 +312,64 @@ def detect(
 ) -> DataFrame:
     """Add the votes ``adwin``, ``kswin``, ``page_hinkley`` of the sequential detectors.
 
-    What needs no state is done first, with all blocks of all sequences in parallel: the
-    KSWIN test of every row, which looks at 100 rows only. The detectors reset after each
-    alarm, so the rest must be walked in order. A sequence is walked in slices of ``slice_rows`` rows: a task never holds more than one slice, the
-    state of a few kilobytes per sequence is stored between slices, and all sequences
-    advance side by side. Give ``key`` enough values to occupy the cluster; for one long
-    sequence prefer the parallel forms above. ``keep_index`` keeps the row number as
-    ``message_index``, which ``drift_state`` then need not work out again.
+    KSWIN is found for all blocks of all sequences in parallel (``kswin_alarms``). ADWIN and
+    Page-Hinkley are walked in order, in slices of ``slice_rows`` rows: a task never holds more
+    than one slice, whose rows are taken in stretches from alarm to alarm; the state of a few
+    kilobytes per sequence is stored between slices, and all sequences advance side by side.
+    Give ``key`` enough values to occupy the cluster; for one long sequence prefer the parallel
+    forms above. Only key, order and score are sorted and stored; other columns are joined back by
+    key and order. ``keep_index`` keeps the row number as ``message_index``, which ``drift_state``
+    then need not work out again.
     """
     if not key:
         raise ValueError("give at least one key column; a constant column makes one sequence")
-    keys = list(key)
-    indexed = with_index(df, order, keys).withColumn("x", scores.sanitise(F.col(value)))
+    keys, names = list(key), ("adwin", "kswin", "page_hinkley")
+    needed = list(dict.fromkeys([*keys, *order, value]))
+    wide = [c for c in df.columns if c not in needed]
+    rows = with_index(df.select(*needed), order, keys).withColumn("x", scores.sanitise(F.col(value)))
+    rows = materialise(rows, "detect-rows")
+    indexed = rows.select(*keys, "idx", "x")
     slices = indexed.agg(F.max("idx").alias("rows")).first()["rows"] or 0
     kept = [indexed.schema[k] for k in keys]
-    test_schema = T.StructType(
-        [*kept, T.StructField("idx", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("changed", T.BooleanType())]
-    )
     out_schema = T.StructType(
-        [*kept, T.StructField("idx", T.LongType())]
-        + [T.StructField(c, T.BooleanType()) for c in ("adwin", "kswin", "page_hinkley")]
+        [*kept, T.StructField("idx", T.LongType()), T.StructField("adwin", T.BooleanType()), T.StructField("page_hinkley", T.BooleanType())]
         + [T.StructField("state", T.StringType())]
     )
-
-    def test_block(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values("idx")
-        tests = kswin_changes(rows["x"].to_numpy(), int(rows["idx"].iloc[-1]), settings.seed, settings.kswin_alpha)
-        return rows.assign(changed=tests)[~rows["halo"]][[f.name for f in test_schema]]
-
-    blocks = with_halo(indexed.select(*keys, "idx", "x"), KSWIN_WINDOW - 1)
     # one folder per slice: a slice reads its own rows only, however many slices there are
-    spark, tested, done = df.sparkSession, scratch_path(df.sparkSession, "detect-tests"), scratch_path(df.sparkSession, "detect-slices")
-    number_of = F.floor((F.col("idx") - 1) / slice_rows)
-    blocks.groupBy(*keys, "block").applyInPandas(test_block, test_schema).withColumn("slice", number_of).write.partitionBy("slice").parquet(tested)
+    spark, parts, done = df.sparkSession, scratch_path(df.sparkSession, "detect-parts"), scratch_path(df.sparkSession, "detect-slices")
+    indexed.withColumn("slice", F.floor((F.col("idx") - 1) / slice_rows)).write.partitionBy("slice").parquet(parts)
 
     def advance(group: pd.DataFrame) -> pd.DataFrame:
         carried = group["state"].dropna()
         state = DetectorState.loads(carried.iloc[0] if len(carried) else None)
         rows = group[group["x"].notna()].sort_values("idx")
-        found = np.array(run_detectors(state, rows["x"].to_numpy(), settings, rows["changed"].to_numpy(dtype=bool)))
+        values = rows["x"].to_numpy()
+        found = np.array([run_adwin(state, values, settings.adwin_delta), run_page_hinkley(state, values, settings)])
+        state.rows += len(values)
         alarms = found.any(axis=0)
-        names = {k: group[k].iloc[0] for k in keys}
-        out = pd.DataFrame({"idx": rows["idx"].to_numpy()[alarms], **dict(zip(("adwin", "kswin", "page_hinkley"), found[:, alarms]))})
+        out = pd.DataFrame({"idx": rows["idx"].to_numpy()[alarms], "adwin": found[0, alarms], "page_hinkley": found[1, alarms]})
         out["state"] = None
-        last = pd.DataFrame([{"idx": -1, "adwin": False, "kswin": False, "page_hinkley": False, "state": state.dumps()}])
-        return pd.concat([out, last], ignore_index=True).assign(**names)[[f.name for f in out_schema]]
+        last = pd.DataFrame([{"idx": -1, "adwin": False, "page_hinkley": False, "state": state.dumps()}])
+        return pd.concat([out, last], ignore_index=True).assign(**{k: group[k].iloc[0] for k in keys})[[f.name for f in out_schema]]
 
-    names = ("adwin", "kswin", "page_hinkley")
     for number in range(math.ceil(slices / slice_rows)):
-        piece = spark.read.schema(test_schema).parquet(f"{tested}/slice={number}").withColumn("state", F.lit(None).cast("string"))
+        piece = spark.read.schema(indexed.schema).parquet(f"{parts}/slice={number}").withColumn("state", F.lit(None).cast("string"))
         if number:
             # Only sequences that go on need their state.
             states = spark.read.schema(out_schema).parquet(f"{done}/slice={number - 1}").filter("idx = -1")
-            states = states.select(*keys, "idx", F.lit(None).cast("double").alias("x"), F.lit(False).alias("changed"), "state")
+            states = states.select(*keys, "idx", F.lit(None).cast("double").alias("x"), "state")
             piece = piece.unionByName(join_on(states, piece.select(*keys).distinct(), keys, "left_semi"))
         piece.groupBy(*keys).applyInPandas(advance, out_schema).write.parquet(f"{done}/slice={number}")
     if not slices:
-        flagged = indexed.select("*", *[F.lit(False).alias(c) for c in names])
+        flagged = rows.select("*", *[F.lit(False).alias(c) for c in names])
     else:
-        votes = spark.read.schema(out_schema).parquet(f"{done}/slice=*").filter("idx > 0").drop("state")
-        flagged = join_on(indexed, votes, [*keys, "idx"], "left")
+        walked = spark.read.schema(out_schema).parquet(f"{done}/slice=*").filter("idx > 0")
+        alarmed = kswin_rows(indexed, keys, settings).withColumn("kswin", F.lit(True))
+        flagged = join_on(join_on(rows, walked.drop("state"), [*keys, "idx"], "left"), alarmed, [*keys, "idx"], "left")
     index = [F.col("idx").alias("message_index")] if keep_index else []
-    return flagged.select(*df.columns, *index, *[F.coalesce(c, F.lit(False)).alias(c) for c in names])
+    flagged = flagged.select(*needed, *index, *[F.coalesce(c, F.lit(False)).alias(c) for c in names])
+    added = [c for c in flagged.columns if c not in needed]
+    if wide:
+        place = list(dict.fromkeys([*keys, *order]))
+        flagged = join_on(flagged, df.select(*place, *wide), place)
+    return flagged.select(*df.columns, *added)

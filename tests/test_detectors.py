@@ -185,6 +185,34 @@ def sequences(spark):
     return pdf, spark.createDataFrame(pdf.sample(frac=1, random_state=1))
 
 
+@pytest.mark.parametrize("block_rows,group_blocks", [(99, 2), (150, 3), (1000, 256), (100_000, 256)])
+def test_kswin_alarms_without_a_walk(spark, sequences, block_rows, group_blocks):
+    pdf, df = sequences
+    got = ops.kswin_alarms(df, ["t"], ["key"], block_rows=block_rows, group_blocks=group_blocks).toPandas()
+    for name, part in pdf.groupby("key", dropna=False):
+        want = np.flatnonzero(loop_kswin(part["p_fake"].to_numpy(), seq.KSWIN_ALPHA, 42)) + 1
+        mine = got[got["key"].isna() if pd.isna(name) else got["key"] == name]["message_index"]
+        assert len(want) and sorted(mine) == want.tolist()
+
+
+def test_kswin_alarms_of_one_sequence_and_of_none(spark, sequences):
+    pdf, df = sequences
+    ordered = pdf.sort_values(["key", "t"], na_position="first")["p_fake"].to_numpy()
+    got = ops.kswin_alarms(df, ["key", "t"], block_rows=700).toPandas()["message_index"]
+    assert sorted(got) == (np.flatnonzero(loop_kswin(ordered, seq.KSWIN_ALPHA, 42)) + 1).tolist()
+    assert ops.kswin_alarms(df.limit(0), ["t"], ["key"]).count() == 0
+
+
+def test_detect_carries_narrow_rows_only(spark, sequences):
+    _, df = sequences
+    wide = df.select("*", F.concat(F.col("key"), F.lit(" body")).alias("body"), F.array(F.col("t")).alias("more"))
+    got = ops.detect(wide, ["t"], ["key"], keep_index=True)
+    assert got.columns == [*wide.columns, "message_index", "adwin", "kswin", "page_hinkley"]
+    plain = ops.detect(df, ["t"], ["key"], keep_index=True)
+    assert sorted(map(str, got.drop("body", "more").collect())) == sorted(map(str, plain.collect()))
+    assert got.filter("body <> concat(key, ' body') or more[0] <> t").count() == 0
+
+
 @pytest.mark.parametrize("slice_rows", [400, 100_000])
 def test_detect_in_slices(spark, sequences, slice_rows):
     pdf, df = sequences
