@@ -73,12 +73,12 @@ def two_batches(spark, sf):
     rows = articles(spark, sf).withColumn("id", F.col("seq").cast("string")).withColumn("processed_at", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("seq") * 3600))
     first = rows.filter("seq % 5 <> 0").withColumn("version", F.lit(1))
     second = rows.filter("seq % 3 = 0 or seq % 5 = 0").withColumn("version", F.lit(2))
-    columns = ["id", "title", "source", "processed_at", "version"]
+    columns = ["id", "title", "body", "url", "source", "language", "processed_at", "version"]
     return first.select(*columns), second.select(*columns)
 
 
 STORED = f"""WITH {ARTICLES}, stored AS (
-  SELECT CAST(seq AS VARCHAR) AS id, title, source, CASE WHEN seq % 3 = 0 OR seq % 5 = 0 THEN 2 ELSE 1 END AS version FROM articles)"""
+  SELECT CAST(seq AS VARCHAR) AS id, title, body, url, source, language, CASE WHEN seq % 3 = 0 OR seq % 5 = 0 THEN 2 ELSE 1 END AS version FROM articles)"""
 
 
 def stored(spark, sf, compact):
@@ -86,10 +86,10 @@ def stored(spark, sf, compact):
     for number, batch in enumerate(two_batches(spark, sf)):
         sinks.upsert_articles(batch, number, root, ["processed_at"])
         if compact and number == 0:
-            sinks.compact_articles(spark, root, 0)
+            sinks.compact_articles(spark, root, 0, buckets=2)
     # a batch that is written again changes nothing
     sinks.upsert_articles(two_batches(spark, sf)[1], 1, root, ["processed_at"])
-    return sinks.current_articles(spark, root).select("id", "title", "source", "version")
+    return sinks.current_articles(spark, root).drop("processed_at")
 
 
 @register("stored_articles", f"{STORED} SELECT * FROM stored")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newslens.plans.storage import materialise
 
@@ -121,12 +122,44 @@ def with_halo(df: DataFrame, lookback: int, *, idx: str = "idx", block_rows: int
     )
 
 
-def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The first row of every key in ``order``, which must be unique within a key.
-
-    The first place of a key is found on the narrow columns alone, with one row per key and
-    task before the shuffle; whole rows are then only filtered by it. A null key is one key.
+#: What the content of a row may add to its place, below the order.
+_TIE = 1 << 60
+
+
+def _place(df: DataFrame, order: Sequence[str], last: bool) -> Column:
+    """Where a row stands: by ``order``, nulls behind all others, then by a hash of its values.
+
+    One order of whole numbers or times makes a number, so the smallest place is found by
+    hashing; other orders make a struct."""
+    tie = F.pmod(F.xxhash64(*df.columns), F.lit(_TIE))
+    kind = df.schema[order[0]].dataType
+    if len(order) == 1 and isinstance(kind, (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        moment = F.col(order[0])
+        if isinstance(kind, T.DateType):
+            moment = F.unix_date(moment)
+        elif not isinstance(kind, T.IntegralType):
+            moment = F.unix_micros(moment.cast("timestamp"))
+        moment = moment.cast("decimal(38,0)")
+        known = (-moment if last else moment) * F.lit(_TIE).cast("decimal(19,0)")
+        # beyond any number of 64 bits, so a null stands behind the others
+        behind = F.lit(str((1 << 64) * _TIE)).cast("decimal(38,0)")
+        return F.coalesce(known.cast("decimal(38,0)"), behind) + tie.cast("decimal(19,0)")
+    known = [x for c in order for x in (F.col(c).isNotNull() if last else F.col(c).isNull(), F.col(c))]
+    return F.struct(*known, -tie if last else tie)
+
+
+def first_per_key(df: DataFrame, key: str, order: Sequence[str], last: bool = False) -> DataFrame:
+    """Exactly one row of every key: the first in ``order``, or the last.
+
+    A null in the order stands behind all other rows. Of rows at one place the one with the
+    smallest hash of its values stays, of equal rows one. A null key is one key. The place is
+    found with one narrow row per key and task before the shuffle; whole rows are only filtered by
+    it, and equal ones are told apart where the filter has left them. Columns must be comparable:
+    no maps.
     """
-    place = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    first = df.groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_place"))
-    return df.join(first, F.col(key).eqNullSafe(F.col("_key")) & (place == F.col("_place")), "left_semi")
+    names = {"key": F.coalesce(F.col(key).cast("string"), F.lit("")), "null": F.col(key).isNull(), "place": _place(df, order, last)}
+    hidden = {n: f"_first_{n}" for n in names}
+    placed = df.select("*", *[c.alias(hidden[n]) for n, c in names.items()])
+    best = F.max if last and isinstance(placed.schema[hidden["place"]].dataType, T.StructType) else F.min
+    first = placed.groupBy(hidden["key"], hidden["null"]).agg(best(hidden["place"]).alias(hidden["place"]))
+    return placed.join(first, list(hidden.values()), "left_semi").dropDuplicates().select(*df.columns)

@@ -6,6 +6,7 @@ so a replayed batch changes nothing. Reading takes the newest row per key.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -15,6 +16,8 @@ from pyspark.sql import types as T
 
 from newslens.operators.articles import newest
 from newslens.operators.search import Index, build_index, by_term
+from newslens.plans.ordered import first_per_key
+from newslens.plans.storage import discard
 from newslens.sources.corpora import CSV, is_missing
 
 #: Messages keep the whole time stamp.
@@ -45,7 +48,11 @@ def read_batches(spark: SparkSession, root: str, schema: T.StructType | None = N
 def write_version(df: DataFrame, root: str, version: int, partition_by: Sequence[str] = ()) -> None:
     """Write ``df`` as a version. Readers see it only once its marker, written last, exists."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/data/version={version}")
-    marker = df.sparkSession.range(1).select(F.lit(version).cast("long").alias("version"))
+    _announce(df.sparkSession, root, version)
+
+
+def _announce(spark: SparkSession, root: str, version: int, **facts: int) -> None:
+    marker = spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in {"version": version, **facts}.items()])
     marker.coalesce(1).write.mode("overwrite").parquet(f"{root}/published/n={version}")
 
 
@@ -71,6 +78,8 @@ def latest_weights(spark: SparkSession, root: str) -> DataFrame | None:
     return read_version(spark, root)
 
 
+#: Buckets of the merged articles, unless the deployment gives another number.
+BUCKETS = 32
 #: Batches of arrived articles are numbered from here; any batch of the monitor comes after them.
 ARRIVALS = -(1 << 40)
 
@@ -78,11 +87,9 @@ ARRIVALS = -(1 << 40)
 
 
 def last_per_id(df: DataFrame, order: Sequence[str], key: str = "id") -> DataFrame:
-    """Newest row per id. Partial aggregation leaves one row per id and task before the
-    shuffle, so an id sent over and over does not overload one task."""
-    rest = [c for c in df.columns if c != key]
-    newest_row = F.max_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(key).agg(newest_row.alias("_row")).select(key, "_row.*").select(*df.columns)
+    """Newest row per id, exactly one. One narrow row per id and task is left before the
+    shuffle, so an id sent over and over does not overload one task; whole rows are only filtered."""
+    return first_per_key(df, key, order, last=True)
 
 
 def upsert_articles(batch: DataFrame, batch_id: int, root: str, order: Sequence[str] = ("timestamp",)) -> None:
@@ -90,34 +97,75 @@ def upsert_articles(batch: DataFrame, batch_id: int, root: str, order: Sequence[
     write_batch(last_per_id(batch, order), f"{root}/log", batch_id)
 
 
+def _table_name(path: str) -> str:
+    return f"newslens_base_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def write_base(df: DataFrame, root: str, version: int, buckets: int) -> None:
+    """Write the merged articles as a version, by day and in buckets of the id.
+
+    Readers that join it by id then need not move it. A bucket is one task's work; ``buckets``
+    should grow with the base, so that one fits a task.
+    """
+    spark, path = df.sparkSession, f"{root}/data/version={version}"
+    discard(spark, path)  # of an attempt that did not get as far as its marker
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+    dated = df.withColumn("processed_date", F.to_date("processed_at"))
+    dealt = dated.repartition(buckets, "id")
+    dealt.write.partitionBy("processed_date").bucketBy(buckets, "id").option("path", path).format("parquet").saveAsTable(_table_name(path))
+    _announce(spark, root, version, buckets=buckets)
+
+
+def read_base(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """The articles of a version. The session's catalog is told of the files' buckets where it does
+    not know them, as in a session that did not write them."""
+    path = f"{root}/data/version={version}"
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        buckets = spark.read.parquet(f"{root}/published/n={version}").first()["buckets"]
+        fields = spark.read.parquet(path).schema
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (processed_date) CLUSTERED BY (id) INTO {buckets} BUCKETS LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return spark.table(name)
+
+
+def _newer_rows(log: DataFrame, upto: int | None) -> DataFrame:
+    """Last write per id of the batches that no base holds yet."""
+    if upto is not None:
+        log = log.filter((F.col("batch_id") > upto) | (F.col("batch_id") < 0))
+    return last_per_id(log, ["batch_id"]).drop("batch_id")
+
+
+def _merged(base: DataFrame, newer: DataFrame) -> DataFrame:
+    """Rows of the base that no newer row replaces, and the newer rows.
+
+    The base stays where it is: its buckets meet the newer ids, which alone are shuffled, or sent
+    to all where Spark measures them as small. A bucket's share of those ids is hashed in its
+    task, so compact before they are many.
+    """
+    kept = base.join(newer.select("id").hint("shuffle_hash"), "id", "left_anti")
+    return kept.select(*newer.columns).unionByName(newer)
+
+
 def current_articles(spark: SparkSession, root: str) -> DataFrame | None:
     """The stored articles, last write per id."""
     upto = latest_version(spark, f"{root}/base")
     log = read_batches(spark, f"{root}/log")
     if log is None:
         return None
-    if upto is None:
-        return last_per_id(log, ["batch_id"]).drop("batch_id")
-    base = read_version(spark, f"{root}/base", upto).drop("processed_date").withColumn("batch_id", F.lit(upto).cast("long"))
-    merged = base.unionByName(log.filter((F.col("batch_id") > upto) | (F.col("batch_id") < 0)))
-    return last_per_id(merged, ["batch_id"]).drop("batch_id")
+    newer = _newer_rows(log, upto)
+    return newer if upto is None else _merged(read_base(spark, f"{root}/base", upto), newer)
 
 
-def compact_articles(spark: SparkSession, root: str, upto: int) -> None:
-    """Merge all batches up to ``upto`` into a base partitioned by day.
-
-    Rows of one day are spread over as many files as they need: the range key goes on to
-    the id, so a busy day does not end up in one task.
-    """
+def compact_articles(spark: SparkSession, root: str, upto: int, buckets: int = BUCKETS) -> None:
+    """Merge all batches up to ``upto`` into a base by day, bucketed by id; nothing, if that was done."""
     done = latest_version(spark, f"{root}/base")
-    log = read_batches(spark, f"{root}/log").filter(F.col("batch_id") <= upto)
-    if done is not None:
-        base = read_version(spark, f"{root}/base", done).drop("processed_date").withColumn("batch_id", F.lit(done).cast("long"))
-        log = base.unionByName(log.filter((F.col("batch_id") > done) | (F.col("batch_id") < 0)))
-    merged = last_per_id(log, ["batch_id"]).drop("batch_id")
-    dated = merged.withColumn("processed_date", F.to_date("processed_at"))
-    spread = dated.repartitionByRange("processed_date", "id").sortWithinPartitions("processed_date", "processed_at")
-    write_version(spread, f"{root}/base", upto, partition_by=["processed_date"])
+    if done is not None and done >= upto:
+        return
+    newer = _newer_rows(read_batches(spark, f"{root}/log").filter(F.col("batch_id") <= upto), done)
+    merged = newer if done is None else _merged(read_base(spark, f"{root}/base", done), newer)
+    write_base(merged, f"{root}/base", upto, buckets)
 
 
 def upsert_report(current: DataFrame | None, batch: DataFrame) -> DataFrame:

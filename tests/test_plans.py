@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from newslens.plans import ordered
 from newslens.plans.ordered import running, with_index
 from newslens.plans.sampling import bottom_k, hash_key, split_by_rank
 from newslens.plans.storage import checkpoint_dir, discard, scratch_path
@@ -113,3 +114,34 @@ def test_discard_removes_a_scratch_folder(spark):
     discard(spark, path)
     with pytest.raises(AnalysisException):
         spark.read.parquet(path)
+
+
+ODD_ROWS = [("a", None, "x"), ("b", 1, "y"), ("b", 1, "y"), ("b", 1, "z"), ("c", None, "p"), ("c", 5, "q"), (None, 2, "n"), (None, None, "m"), ("", 3, "e")]
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "date"])
+def test_first_per_key_keeps_exactly_one_row(spark, kind):
+    given = {None: None, 1: 1, 2: 2, 3: 3, 5: 5} if kind == "long" else {k: f"2024-01-0{k}" if k else None for k in (None, 1, 2, 3, 5)}
+    df = spark.createDataFrame([(k, given[o] if kind == "long" else given[o], v) for k, o, v in ODD_ROWS], f"k string, o {'long' if kind == 'long' else 'string'}, v string")
+    df = df.withColumn("o", F.col("o").cast(kind)).repartition(5)
+    got = {r.k: (str(r.o) if r.o is not None else None, r.v) for r in ordered.first_per_key(df, "k", ["o"]).collect()}
+    assert ordered.first_per_key(df, "k", ["o"]).count() == 5
+    assert got["a"] == (None, "x") and got["c"] == (str(given[5]), "q") and got[None] == (str(given[2]), "n") and got[""][1] == "e"
+    assert got["b"][1] in ("y", "z") and ordered.first_per_key(df.repartition(2), "k", ["o"]).filter("k = 'b'").collect()[0].v == got["b"][1]
+
+
+def test_last_per_key_and_several_orders(spark):
+    df = spark.createDataFrame([("a", 1, 2, "old"), ("a", 3, None, "new"), ("a", None, 9, "none"), ("b", None, None, "only")], "k string, o long, p long, v string")
+    assert sorted(r.v for r in ordered.first_per_key(df, "k", ["o"], last=True).collect()) == ["new", "only"]
+    assert sorted(r.v for r in ordered.first_per_key(df, "k", ["o", "p"]).collect()) == ["old", "only"]
+    assert sorted(r.v for r in ordered.first_per_key(df, "k", ["o", "p"], last=True).collect()) == ["new", "only"]
+    assert sorted(r.v for r in ordered.first_per_key(df, "k", ["p", "o"], last=True).collect()) == ["none", "only"]
+    extreme = spark.createDataFrame([("a", -(2**63), "low"), ("a", 2**63 - 1, "high"), ("a", None, "none")], "k string, o long, v string")
+    assert [r.v for r in ordered.first_per_key(extreme, "k", ["o"]).collect()] == ["low"]
+    assert [r.v for r in ordered.first_per_key(extreme, "k", ["o"], last=True).collect()] == ["high"]
+
+
+def test_first_per_key_does_not_sort_to_aggregate(spark):
+    df = spark.range(10).selectExpr("string(id % 3) k", "id o", "repeat('x', 50) v")
+    plan = ordered.first_per_key(df, "k", ["o"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "partial_min" in plan
