@@ -6,13 +6,13 @@ sets of similarity 0.85 miss each other with a probability of 8e-7. All samples
 an odd sketch: sample i flips the bit that a hash of (i, value) names, so equal samples of two
 sets cancel and the population count of the sketches' XOR grows with the samples that differ
 only, by two at most for each. With d the largest number of differing samples that sets at the
-threshold have but for a risk of 1e-9, a candidate whose count is over 2 d is dropped. What is
+threshold have but for a risk of 1e-6, a candidate whose count is over 2 d is dropped. What is
 left is confirmed on the full sets.
 
 Rows with one set are one node. Nodes under a key are not paired out: first each meets one
 centre per key, which differs from key to key; what is linked is merged, and only nodes of
-different components that still share a key meet after that. Star rounds go on as long as they
-find links and more pairs than keys are left.
+different components that still share a key meet after that. Star rounds go on as long as
+they find many links and more than a few pairs a node are left.
 """
 
 from __future__ import annotations
@@ -36,26 +36,39 @@ PERCENT = 85
 SAMPLES = 240
 BANDS, BAND_ROWS = 24, 5
 SKETCH_BITS = 1024
-RISK = 1e-9
+RISK = 1e-6
 STAR_ROUNDS = 8
+#: Pairs for each node under a key that are looked at without another round of stars before.
+FEW_PAIRS = 8
+#: A round of stars of which not one pair in so many was a link is the last.
+WORTH = 8
+#: Rounds in which links merge nodes before others are looked for.
+MERGE_ROUNDS = 2
 SEED = 11
 #: Rows of a set that are multiplied at once.
-CHUNK = 1024
+CHUNK = 128
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+def mixed_bits(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles; of fewer words, of the whole sequence."""
     found = (text or "").encode("utf-8").translate(LOWER).split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    joined, take = b" ".join(found), xxhash.xxh64_intdigest
-    if len(found) <= words:
-        return np.array([take(joined)], np.uint64)
-    lengths = np.fromiter(map(len, found), np.int64, len(found))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = (ends - lengths).tolist()
-    return np.array(sorted({take(joined[a:b]) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=False)}), np.uint64)
+    if len(found) < words:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(found))] if found else [], np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
+    rows = len(found) - words + 1
+    joined = np.zeros(rows, np.uint64)
+    for i in range(words):
+        joined = mixed_bits(joined) + hashes[i : i + rows]
+    joined = mixed_bits(joined)
+    joined.sort()
+    return joined[np.concatenate([[True], joined[1:] != joined[:-1]])]
 
 
 def multipliers() -> np.ndarray:
@@ -63,11 +76,14 @@ def multipliers() -> np.ndarray:
     return np.random.default_rng(SEED).integers(1, 1 << 63, (2, SAMPLES), dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 
 
-def minima(hashes: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """The MinHash samples of a set that is not empty."""
+def minima(hashes: np.ndarray, factors: np.ndarray, room: np.ndarray | None = None) -> np.ndarray:
+    """The MinHash samples of a set that is not empty. ``room`` is worked in, ``CHUNK`` rows at a time."""
+    room = np.empty((CHUNK, len(factors)), np.uint64) if room is None else room
     low = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), CHUNK):
-        np.minimum(low, (hashes[at : at + CHUNK, None] * factors).min(axis=0), out=low)
+        part = hashes[at : at + CHUNK]
+        made = np.multiply(part[:, None], factors, out=room[: len(part)])
+        np.minimum(low, np.minimum.reduce(made, axis=0), out=low)
     return low
 
 
@@ -104,7 +120,7 @@ def signatures(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     digest of the set), n (its size), keys and sketch. Without words: n 0, no keys."""
 
     def make() -> Callable[..., list[list]]:
-        order, place = multipliers()
+        (order, place), room = multipliers(), np.empty((CHUNK, SAMPLES), np.uint64)
         row = (TaskContext.get().partitionId() << 33) - 1
 
         def work(ids: list, at: list, texts: list) -> list[list]:
@@ -116,7 +132,7 @@ def signatures(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
                 if not len(hashes):
                     out.append((row, key, where, 0, 0, 0, [], []))
                     continue
-                low, digest = minima(hashes, order), digest_of(hashes)
+                low, digest = minima(hashes, order, room), digest_of(hashes)
                 out.append((row, key, where, *digest, len(hashes), band_keys(low), odd_sketch(low, place).tolist()))
             return list(map(list, zip(*out, strict=True)))
 
@@ -218,16 +234,16 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         owner = mixed.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"))
         stars = mixed.join(centres.join(owner, ["key", "b"]), "key").filter("label <> label_b")
         fits = F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent
-        found = materialise(check(materialise(stars.filter(fits).select(F.col("node").alias("a"), "b").distinct(), "odd-stars")), "odd-links")
-        fresh = found.count()
+        pairs = materialise(stars.filter(fits).select(F.col("node").alias("a"), "b").distinct(), "odd-stars")
+        found = materialise(check(pairs), "odd-links")
         links = found if links is None else materialise(links.unionByName(found), "odd-links")
-        labels = components(links).withColumnRenamed("component", "label")
+        labels = components(links, MERGE_ROUNDS).withColumnRenamed("component", "label")
         mixed = mixed.drop("label").join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
         several = mixed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
         mixed = materialise(mixed.join(several, "key", "left_semi"), "odd-mixed")
         same = mixed.groupBy("key", "label").agg(F.count("*").alias("k")).groupBy("key").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("s"))
         left, rows = same.agg(F.coalesce(F.sum((F.col("k") * F.col("k") - F.col("s")) / 2), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0))).first()
-        if not fresh or left <= rows:
+        if left <= FEW_PAIRS * rows or found.count() * WORTH < pairs.count():
             break
     if left:
         links = materialise(links.unionByName(check(unmerged_pairs(mixed, percent))), "odd-links")
