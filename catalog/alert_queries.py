@@ -10,6 +10,7 @@ from catalog.drift_queries import ALERTS, alerts
 from catalog.views import NOW, SCORED, scored_events, stamp, stamp_sql
 from newslens.operators import alerts as ops
 from newslens.operators.articles import global_stats
+from newslens.operators.notifications import grouped_notifications
 
 ACTIVE = (
     ALERTS
@@ -124,11 +125,45 @@ def notifications(spark, sf):
     return ops.notifications(ops.alert_states(ticks(spark, sf))).withColumn("tick", stamp("tick"))
 
 
-@register(
-    "notification_groups",
-    f"""WITH {TICKS}, f AS (SELECT *, state = 'Alerting' AS firing, coalesce(lag(state) OVER (PARTITION BY uid ORDER BY tick) = 'Alerting', false) AS before FROM states)
-SELECT uid, count(*) AS firings FROM f WHERE firing AND NOT before GROUP BY 1""",
-)
+_TITLES = " ".join(f"WHEN '{r.uid}' THEN '{r.title}'" for r in ops.RULES)
+_SEVERITIES = " ".join(f"WHEN '{r.uid}' THEN '{r.severity}'" for r in ops.RULES)
+
+
+def _groups_sql(name: str, cases: str, wait: int = 30, interval: int = 5, repeat: int = 60) -> str:
+    """Every group walked minute by minute with a list fold: the look of a minute sees its tick."""
+    look = f"(a.on AND (e.t - a.start) % {interval} = 0) OR (NOT a.on AND e.f <> '')"
+    told = "CASE WHEN a.on THEN a.told ELSE '' END"
+    kind = f"""CASE WHEN NOT ({look}) THEN '' WHEN e.f = '' THEN 'resolved' WHEN e.f <> ({told}) THEN 'firing'
+      WHEN e.t - a.sent >= {repeat} THEN 'repeat' ELSE '' END"""
+    return f"""WITH {TICKS}, marked AS (
+  SELECT CASE uid {cases} END AS {name}, tick, coalesce(string_agg(uid, ',' ORDER BY uid) FILTER (WHERE state = 'Alerting'), '') AS f FROM states GROUP BY 1, 2),
+walked AS (
+  SELECT {name}, list_reduce(list({{'t': date_diff('minute', TIMESTAMP '2000-01-01', tick), 'f': f, 'on': false, 'start': CAST(0 AS BIGINT), 'sent': CAST(0 AS BIGINT),
+      'told': '', 'out': CAST([] AS STRUCT(t BIGINT, kind VARCHAR, f VARCHAR, before VARCHAR)[])}} ORDER BY tick),
+    LAMBDA a, e: {{'t': e.t, 'f': e.f, 'on': CASE WHEN {look} THEN e.f <> '' ELSE a.on END, 'start': CASE WHEN NOT a.on AND e.f <> '' THEN e.t ELSE a.start END,
+      'sent': CASE WHEN ({kind}) IN ('firing', 'repeat') THEN e.t ELSE a.sent END, 'told': CASE WHEN {look} THEN e.f ELSE a.told END,
+      'out': CASE WHEN ({kind}) <> '' THEN list_append(a.out, {{'t': e.t, 'kind': {kind}, 'f': e.f, 'before': {told}}}) ELSE a.out END}},
+    {{'t': CAST(0 AS BIGINT), 'f': '', 'on': false, 'start': CAST(0 AS BIGINT), 'sent': CAST(0 AS BIGINT), 'told': '',
+      'out': CAST([] AS STRUCT(t BIGINT, kind VARCHAR, f VARCHAR, before VARCHAR)[])}}).out AS out
+  FROM marked GROUP BY 1),
+sent AS (SELECT {name}, unnest(out) AS o FROM walked),
+-- a look follows its tick by the wait, so that of the last tick has not taken place
+told AS (SELECT {name}, TIMESTAMP '2000-01-01' + to_minutes(o.t) + INTERVAL {wait} SECOND AS sent_at, o.kind AS kind, o.f AS firing,
+    list_aggregate(list_filter(string_split(o.before, ','), LAMBDA u: u <> '' AND NOT list_contains(string_split(o.f, ','), u)), 'string_agg', ',') AS over FROM sent)
+SELECT {name}, {stamp_sql('sent_at')}, kind, firing, coalesce(over, '') AS resolved FROM told WHERE sent_at <= (SELECT max(tick) FROM states)"""
+
+
+def _told(spark, sf, group):
+    states = ops.rule_titles(ops.alert_states(ticks(spark, sf)))
+    sent = grouped_notifications(states, [group])
+    return sent.select(group, stamp("sent_at"), "kind", F.array_join("firing", ",").alias("firing"), F.array_join("resolved", ",").alias("resolved"))
+
+
+@register("notification_groups", _groups_sql("alertname", _TITLES))
 def notification_groups(spark, sf):
-    sent = ops.rule_titles(ops.notifications(ops.alert_states(ticks(spark, sf))))
-    return sent.filter("kind = 'firing'").groupBy("uid", "alertname").agg(F.count("*").alias("firings")).drop("alertname")
+    return _told(spark, sf, "alertname")
+
+
+@register("notification_groups_by_severity", _groups_sql("severity", _SEVERITIES))
+def notification_groups_by_severity(spark, sf):
+    return _told(spark, sf, "severity")
