@@ -9,9 +9,10 @@ of the other.
 
 Four differing bits over three segments leave one of two cases. Either a segment is equal
 and another differs in at most two bits: the key is the equal segment with a codeword index
-of the other. Or no segment is equal, and two differ in just one bit: the key is a pair of
-indices, on one side of the nearest codewords only. Candidates that meet under a key are
-checked by their differing bits.
+of the other. Or no segment is equal, two differ in just one bit and the third in at most two:
+the key is a codeword index of each, on the left side the nearest of the first only, on the
+right side of the second. Candidates that meet under a key are checked by their differing bits;
+on random fingerprints they are few, for such a key has 36 bits.
 
 Fingerprints that share a one-bit neighbour, which are linked for certain, are merged first:
 such a group has at most 65 members and yields links to its smallest only. Later links are
@@ -37,6 +38,10 @@ SEED = 42
 GENERATOR = 0b110001110101
 #: Rounds in which certain links merge fingerprints before other links are looked for.
 MERGE_ROUNDS = 2
+#: Rows that a task makes of its fingerprints, the keys a fingerprint has at most, and the fingerprints around one.
+TASK_ROWS, KEYS, AROUND = 2_000_000, 144, 65
+#: Parts into which a class is dealt when it meets its smallest id.
+SALTS = 64
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
@@ -94,7 +99,7 @@ def codeword_indices(words: np.ndarray, table: np.ndarray, counts: np.ndarray) -
     return near, np.arange(6) < counts[found][:, None]
 
 
-def keys(fingerprints: np.ndarray, nearest_only: bool, table: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def keys(fingerprints: np.ndarray, left: bool, table: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All keys of unsigned fingerprints, with the number of the fingerprint each belongs to."""
     parts = [((fingerprints >> np.uint64(at)) & np.uint64((1 << width) - 1)).astype(np.int64) for at, width in SEGMENTS]
     near = [codeword_indices(p, table, counts) for p in parts]
@@ -104,13 +109,16 @@ def keys(fingerprints: np.ndarray, nearest_only: bool, table: np.ndarray, counts
         codes, used = near[j]
         made.append(((kind << 40) | (parts[i][:, None] << 12) | codes)[used])
         owner.append(np.broadcast_to(number[:, None], used.shape)[used])
-    for kind, (i, j) in enumerate(((0, 1), (0, 2), (1, 2)), start=6):
-        (a, used_a), (b, used_b) = near[i], near[j]
-        if nearest_only:
-            a, used_a, b, used_b = a[:, :1], used_a[:, :1], b[:, :1], used_b[:, :1]
-        used = used_a[:, :, None] & used_b[:, None, :]
-        made.append(((kind << 40) | (a[:, :, None] << 12) | b[:, None, :])[used])
-        owner.append(np.broadcast_to(number[:, None, None], used.shape)[used])
+    for kind, (i, j, k) in enumerate(((0, 1, 2), (0, 2, 1), (1, 2, 0)), start=6):
+        (a, used_a), (b, used_b), (c, used_c) = near[i], near[j], near[k]
+        # the nearest codeword of the first on the left, of the second on the right
+        if left:
+            a, used_a = a[:, :1], used_a[:, :1]
+        else:
+            b, used_b = b[:, :1], used_b[:, :1]
+        used = used_a[:, :, None, None] & used_b[:, None, :, None] & used_c[:, None, None, :]
+        made.append(((kind << 40) | (a[:, :, None, None] << 24) | (b[:, None, :, None] << 12) | c[:, None, None, :])[used])
+        owner.append(np.broadcast_to(number[:, None, None, None], used.shape)[used])
     return np.concatenate(made), np.concatenate(owner)
 
 
@@ -124,7 +132,12 @@ def differing(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def keyed(classes: DataFrame, nearest_only: bool) -> DataFrame:
+def spread(df: DataFrame, rows: int, by: int) -> DataFrame:
+    """``df``, at most ``rows`` rows, dealt by fingerprint to as many tasks as it takes after each row has become ``by``."""
+    return df.repartition(max(1, -(-rows * by // TASK_ROWS)), "fp")
+
+
+def keyed(classes: DataFrame, left: bool) -> DataFrame:
     """key, fp, class of every key of every fingerprint."""
 
     def run(batches):
@@ -133,7 +146,7 @@ def keyed(classes: DataFrame, nearest_only: bool) -> DataFrame:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 fp, label = (part.column(i).to_numpy() for i in range(2))
-                key, owner = keys(fp.view(np.uint64), nearest_only, table, counts)
+                key, owner = keys(fp.view(np.uint64), left, table, counts)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[owner]), pa.array(label[owner])], ["key", "fp", "class"])
 
     return classes.select("fp", "class").mapInArrow(run, "key bigint, fp bigint, class bigint")
@@ -169,17 +182,19 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: in
     if not 0 <= max_bits <= 4:
         raise ValueError("the keys are made for at most 4 differing bits")
     marked = materialise(fingerprints(df, doc_id, text, words), "simhash")
+    rows = marked.count()
     labels = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     if max_bits == 0:
         return marked.join(labels, "fp").select("doc_id", "fp", F.col("first").alias("component_id"), F.col("fp").alias("class"))
     labels = labels.withColumn("class", F.col("fp"))
     links = None
     if max_bits >= 2:
-        links = materialise(certain_links(labels), "simhash-certain")
+        links = materialise(certain_links(spread(labels, rows, AROUND)), "simhash-certain")
         merged = components(links, MERGE_ROUNDS).withColumnRenamed("node", "fp")
         labels = labels.join(merged, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
     labels = materialise(labels, "simhash-classes")
-    left, right = keyed(labels, True).alias("l"), keyed(labels, False).alias("r")
+    dealt = spread(labels, rows, KEYS)
+    left, right = keyed(dealt, True).alias("l"), keyed(dealt, False).alias("r")
     met = (F.col("l.key") == F.col("r.key")) & (F.col("l.class") < F.col("r.class")) & (differing(F.col("l.fp"), F.col("r.fp")) <= max_bits)
     found = left.join(right, met).select(F.col("r.class").alias("a"), F.col("l.class").alias("b"))
     if links is not None:
@@ -188,5 +203,9 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: in
         found = found.unionByName(links).unionByName(inside)
     whole = components(materialise(found.distinct(), "simhash-links")).withColumnRenamed("node", "fp")
     labels = labels.join(whole, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
-    named = labels.join(labels.groupBy("class").agg(F.min("first").alias("component_id")), "class").select("fp", "component_id", "class")
+    # a class may hold a large part of all fingerprints: its smallest id goes to parts of it
+    salted = labels.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)))
+    smallest = salted.groupBy("class", "salt").agg(F.min("first").alias("first"))
+    ids = smallest.groupBy("class").agg(F.min("first").alias("component_id"))
+    named = salted.join(smallest.select("class", "salt").join(ids, "class"), ["class", "salt"]).select("fp", "component_id", "class")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id", "class")

@@ -126,3 +126,19 @@ def test_components_of_a_long_path_and_of_nothing(spark):
     got = {r.node: r.component for r in components.components(path).collect()}
     assert got == {**{i: 100 for i in range(100, 181)}, 5: 3, 3: 3}
     assert components.components(path.limit(0)).count() == 0
+
+
+def test_few_false_candidates_among_random_fingerprints():
+    """Pairs that meet under a key though they differ in more than four bits."""
+    table, counts = simhash.error_table()
+    draw = np.random.default_rng(7)
+    prints = draw.integers(0, 1 << 64, 80_000, dtype=np.uint64)
+    (left, a), (right, b) = (simhash.keys(prints, side, table, counts) for side in (True, False))
+    order = np.argsort(right, kind="stable")
+    right, b = right[order], b[order]
+    first, last = np.searchsorted(right, left), np.searchsorted(right, left, "right")
+    pairs = np.repeat(a, last - first), b[np.concatenate([np.arange(x, y) for x, y in zip(first[last > first], last[last > first])])]
+    false = pairs[0] < pairs[1]
+    bits = np.bitwise_count(prints[pairs[0][false]] ^ prints[pairs[1][false]])
+    assert (bits > 4).sum() / len(prints) < 0.05
+    assert len(left) / len(prints) <= simhash.KEYS and len(right) / len(prints) <= simhash.KEYS
