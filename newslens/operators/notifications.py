@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -143,8 +144,8 @@ def notification_stream(
         ready = [w for w in group.waiting if w[0] <= passed]
         group.waiting = group.waiting[len(ready) :]
         out = []
-        for at in dict.fromkeys(w[0] for w in ready):
-            out += group.tick(at, [(u, on) for t, u, on in ready if t == at], timing)
+        for at, some in groupby(ready, key=lambda w: w[0]):
+            out += group.tick(at, [(u, on) for _, u, on in some], timing)
         out += group.looks(passed, timing)
         wake = [t for t in (group.next_look, group.waiting[0][0] if group.waiting else None) if t is not None]
         state.update((group.dumps(),))
