@@ -2,8 +2,10 @@
 
 Documents are laid end to end, each closed by an end token, in the order in which a task
 reads them. Windows of at most ``length`` tokens cut this line; every token lies in exactly
-one. A cut after a document is free, one after a sentence costs ``sentence_penalty`` tokens
-and one elsewhere (offered every ``grid`` tokens of a document) ``inner_penalty``. With
+one. A cut after a document is free, one after a sentence costs ``sentence_penalty`` tokens, so
+that a document is cut where that saves more padding. Between ends that are more than ``grid``
+tokens apart a cut is offered every ``grid`` tokens, for ``inner_penalty`` tokens: for sentences
+longer than a window, and where the nearest end leaves very much padding. With
 f(j) the least cost of windows up to cut j,
 
     f(j) = min over cuts i within ``length`` before j of f(i) + position(i)
@@ -31,9 +33,9 @@ from newslens.llm.common import map_texts_with_end
 
 LENGTH = 2048
 END_TOKEN = 1
-SENTENCE_PENALTY = 1
-INNER_PENALTY = 3
-GRID = 32
+SENTENCE_PENALTY = 8
+INNER_PENALTY = 192
+GRID = 128
 STRETCH = 1 << 18
 
 
@@ -92,11 +94,13 @@ class Packer:
         stops = np.cumsum(left)
         begin = stops - left - given  # where a document would start had none of it been given out
         penalty = np.full(total + 1, -1, np.int64)
-        owner = np.repeat(np.arange(len(left)), left)
-        penalty[:-1][(np.arange(total) - begin[owner]) % self.grid == 0] = self.inner_penalty
         penalty[1:][self.ends[self.ids]] = self.sentence_penalty
         penalty[stops] = 0
         penalty[0] = 0
+        # between two ends further apart than so many tokens a cut elsewhere is offered
+        own = np.flatnonzero(penalty >= 0)
+        for a, b in zip(own[:-1][np.diff(own) > self.grid], own[1:][np.diff(own) > self.grid]):
+            penalty[a + self.grid : b : self.grid] = self.inner_penalty
         positions = np.flatnonzero(penalty >= 0)
         cost, back = cuts(positions, penalty[positions], self.length)
         near = np.flatnonzero(positions >= total - self.length)

@@ -69,3 +69,24 @@ def test_edges(spark, vocabulary):
     assert packing.pack(df.limit(0), vocabulary).count() == 0
     with pytest.raises(ValueError):
         packing.pack(df, vocabulary, length=100)
+
+
+def test_cuts_are_at_sentence_ends_with_little_padding(vocabulary):
+    draw = random.Random(11)
+    words = ["alpha", "beta", "gamma", "delta"]
+    sentence = lambda: " ".join(draw.choices(words, k=draw.choice([4, 9, 15, 40]))) + "."
+    texts = [" ".join(sentence() for _ in range(draw.choice([1, 3, 20, 60, 400]))) for _ in range(400)] + ["word " * 9000]
+    shared = type("Shared", (), {"value": vocabulary})
+    coder, ends = bpe.coder_of(shared), packing.sentence_ends(vocabulary)
+    packer = packing.Packer(ends, 0, packing.LENGTH, packing.SENTENCE_PENALTY, packing.INNER_PENALTY, packing.GRID, True)
+    flat, counts = coder.encode(texts)
+    flat = np.insert(flat, np.cumsum(counts), packing.END_TOKEN)
+    rows = [r for made in (packer.add(list(range(len(texts))), flat, counts + 1), packer.end()) for r in zip(*made)]
+    assert sum(r[2] for r in rows) == len(flat)
+    inner = [r for r in rows if r[1] + r[2] < r[4] and r[0] < 400]
+    assert len(inner) > 50 and np.mean([ends[r[7][-1]] for r in inner]) > 0.95
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r[5]] += r[2]
+    padding = sum(packing.LENGTH - n for n in sizes.values() if n & (n - 1))
+    assert padding / (padding + len(flat)) < 0.02
