@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newslens.functions import text
 from newslens.plans.ordered import first_per_key
 from newslens.plans.sampling import hash_key, split_by_rank
+from newslens.sources.records import PLACE
 
 # Fixed values.
 MIN_TITLE = 5
@@ -18,13 +19,17 @@ LENGTH_CLIP, LENGTH_BINS = 500, 50
 
 
 def build_corpus(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union of all corpora. ``corpus_order`` keeps the order of corpora and of rows in them."""
+    """Union of all corpora. ``corpus_order`` keeps the order of corpora and of rows in them: of
+    frames read with their places that of the files, however these were split; of others that of
+    their partitions."""
     if not frames:
         raise ValueError("no corpus could be read")
-    numbered = [
-        f.withColumn("corpus_order", F.struct(F.lit(i).alias("corpus"), F.monotonically_increasing_id().alias("row")))
-        for i, f in enumerate(frames)
-    ]
+    numbered = []
+    for i, frame in enumerate(frames):
+        known = set(PLACE) <= set(frame.columns)
+        row = [F.col(c) for c in PLACE] if known else [F.lit("").alias(PLACE[0]), F.monotonically_increasing_id().alias(PLACE[1])]
+        placed = frame.withColumn("corpus_order", F.struct(F.lit(i).alias("corpus"), row[0].alias("file"), row[1].alias("row")))
+        numbered.append(placed.drop(*PLACE))
     merged = numbered[0]
     for frame in numbered[1:]:
         merged = merged.unionByName(frame)
