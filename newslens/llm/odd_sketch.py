@@ -12,7 +12,8 @@ left is confirmed on the full sets.
 Rows with one set are one node. Nodes under a key are not paired out: first each meets one
 centre per key, which differs from key to key; what is linked is merged, and only nodes of
 different components that still share a key meet after that. Star rounds go on as long as
-they find many links and more than a few pairs a node are left.
+they find many links and more than a few pairs a node are left. Of the rest, sets whose shingles
+are too often their own cannot be linked; the others are compared.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ SAMPLES = 240
 BANDS, BAND_ROWS = 24, 5
 SKETCH_BITS = 1024
 RISK = 1e-6
-STAR_ROUNDS = 8
+STAR_ROUNDS = 3
 #: Pairs for each node under a key that are looked at without another round of stars before.
 FEW_PAIRS = 8
 #: A round of stars of which not one pair in so many was a link is the last.
@@ -170,37 +171,74 @@ def apart(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, bits: n + bits)
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, df: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sketches allow the similarity and whose full sets have it.
+def _fetched(pairs: DataFrame, values: DataFrame, fields: list[str], salts: int) -> DataFrame:
+    """The pairs (a, b) with ``fields`` of both nodes.
 
     A node may be in very many pairs, so what is fetched for b goes to salted keys: no more
     copies than pairs, and a number of salts that grows with the pairs.
     """
-    salts = 64 + pairs.count() // (1 << 18)
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(salts)))
+    left = values.select(F.col("node").alias("a"), *[F.col(f).alias(f"{f}_a") for f in fields])
+    right = values.select(F.col("node").alias("b"), *[F.col(f).alias(f"{f}_b") for f in fields])
+    right = salted.select("b", "salt").distinct().join(right, "b")
+    return salted.join(left, "a").join(right, ["b", "salt"]).drop("salt")
 
-    def fetched(side: DataFrame, values: DataFrame, fields: list[str]) -> DataFrame:
-        left = values.select(F.col("node").alias("a"), *[F.col(f).alias(f"{f}_a") for f in fields])
-        right = values.select(F.col("node").alias("b"), *[F.col(f).alias(f"{f}_b") for f in fields])
-        right = side.select("b", "salt").distinct().join(right, "b")
-        return side.join(left, "a").join(right, ["b", "salt"])
-
-    near = fetched(salted, nodes.select("node", "n", "sketch"), ["n", "sketch"]).filter(
-        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (apart(F.col("sketch_a"), F.col("sketch_b")) <= most_bits(percent))
-    )
-    near = materialise(near.select("a", "b", "salt"), "odd-near")
-    involved = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(involved, "node", "left_semi").select("node", "doc_id", "at", "d1", "d2")
-    sets = materialise(full_sets(df, wanted, doc_id, text, words), "odd-sets")
-    both = fetched(near, sets, ["hashes"])
+
+def near_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The stored pairs (a, b) whose sizes and sketches allow the similarity, with their differing bits."""
+    both = _fetched(pairs, nodes.select("node", "n", "sketch"), ["n", "sketch"], 64 + pairs.count() // (1 << 18))
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    bits = apart(F.col("sketch_a"), F.col("sketch_b"))
+    return both.filter(fits).select("a", "b", bits.alias("bits")).filter(F.col("bits") <= most_bits(percent))
+
+
+def wanted_sets(involved: DataFrame, nodes: DataFrame, df: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """node and hashes of the nodes in ``involved``."""
+    wanted = materialise(nodes.join(involved, "node", "left_semi").select("node", "doc_id", "at", "d1", "d2"), "odd-wanted")
+    return materialise(full_sets(df, wanted, doc_id, text, words), "odd-sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links: the stored pairs (a, b) whose full sets have the similarity."""
+    both = _fetched(pairs.select("a", "b"), sets, ["hashes"], 64 + pairs.count() // (1 << 18))
     shared = F.size(F.array_intersect("hashes_a", "hashes_b"))
-    return both.filter(shared * 100 >= (F.size("hashes_a") + F.size("hashes_b") - shared) * percent).select("a", "b")
+    linked = both.filter(shared * 100 >= (F.size("hashes_a") + F.size("hashes_b") - shared) * percent)
+    return materialise(linked.select("a", "b"), "odd-links")
+
+
+def with_shared(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Add ``s``: how many shingles of a node's set any other set has. No two sets have more in common."""
+    only = sets.select("node", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.min("node").alias("node"), F.count("*").alias("k"))
+    alone = only.filter("k = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    return mixed.join(alone, "node", "left").select("key", "node", "n", "label", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("s"))
+
+
+def of_several(mixed: DataFrame) -> DataFrame:
+    """The rows under keys that nodes of several components have."""
+    several = mixed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
+    return mixed.join(several, "key", "left_semi")
+
+
+def able_nodes(mixed: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``mixed`` (key, node, n, label, s) whose node can be linked under their key at all.
+
+    Sets with m shingles in common have a union of n + n' - m, and m is at most s and s'. A node that
+    cannot reach the similarity with the smallest set under a key does not meet it.
+    """
+    least = mixed.groupBy("key").agg(F.min("n").alias("least"))
+    able = mixed.join(least, "key").filter(F.col("s") * 100 >= (F.col("n") + F.greatest("least", "s") - F.col("s")) * percent)
+    return of_several(able.drop("least"))
+
+
+def within_reach(left: str, right: str, percent: int) -> Column:
+    """Whether the sizes and shared shingles of two sets allow the similarity."""
+    common = F.least(F.col(f"{left}s"), F.col(f"{right}s"))
+    return common * 100 >= (F.col(f"{left}n") + F.col(f"{right}n") - common) * percent
 
 
 def unmerged_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes with a common key, of different labels and of sizes that allow the similarity."""
-    sizes = F.least(F.col("l.n"), F.col("r.n")) * 100 >= F.greatest(F.col("l.n"), F.col("r.n")) * percent
-    met = mixed.alias("l").join(mixed.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.label") < F.col("r.label")) & sizes)
+    """Pairs (a, b) of nodes with a common key and of different labels that can be linked."""
+    met = mixed.alias("l").join(mixed.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.label") < F.col("r.label")) & within_reach("l.", "r.", percent))
     return materialise(met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct(), "odd-rest")
 
 
@@ -222,31 +260,32 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     nodes = marked.join(classes.select(F.col("node").alias("rid")), "rid", "left_semi").withColumnRenamed("rid", "node")
     nodes = materialise(nodes, "odd-nodes")
     members = materialise(nodes.select(F.explode("keys").alias("key"), "node", "n"), "odd-members")
-    check = lambda pairs: confirmed(pairs, nodes, df, doc_id, text, words, percent)
     # only keys with two nodes matter, and there only nodes of different components
-    shared = members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
-    mixed = materialise(members.join(shared, "key", "left_semi").withColumn("label", F.col("node")), "odd-mixed")
-    links, left = None, 0
+    mixed = materialise(of_several(members.withColumn("label", F.col("node"))), "odd-mixed")
+    sets = wanted_sets(mixed.select("node").distinct(), nodes, df, doc_id, text, words)
+    mixed = materialise(able_nodes(materialise(with_shared(mixed, sets), "odd-shared"), percent), "odd-able")
+    links = None
     for number in range(STAR_ROUNDS):
-        # the member nearest to the key's mask is the centre: another one for each key and round
-        mask = F.xxhash64("key", F.lit(number))
-        centres = mixed.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(mask)).alias("near")).select("key", F.col("near").bitwiseXOR(mask).alias("b"))
-        owner = mixed.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"))
-        stars = mixed.join(centres.join(owner, ["key", "b"]), "key").filter("label <> label_b")
-        fits = F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent
-        pairs = materialise(stars.filter(fits).select(F.col("node").alias("a"), "b").distinct(), "odd-stars")
-        found = materialise(check(pairs), "odd-links")
+        # the centre is the member with the least share of its own: others are near it, if near any
+        own = (F.col("n") - F.col("s")) / F.col("n") + F.pmod(F.xxhash64("key", "node", F.lit(number)), F.lit(1000)) * (1e-9 if number == 0 else 1e-4)
+        centres = mixed.groupBy("key").agg(F.min_by("node", own).alias("b"))
+        owner = mixed.select("key", F.col("node").alias("b"), F.col("label").alias("_label"), F.col("n").alias("_n"), F.col("s").alias("_s"))
+        stars = mixed.join(centres.join(owner, ["key", "b"]), "key").filter((F.col("label") != F.col("_label")) & within_reach("", "_", percent))
+        pairs = materialise(stars.select(F.col("node").alias("a"), "b").distinct(), "odd-stars")
+        # one link is enough to merge a node: that with the centre whose sketch is nearest
+        nearest = materialise(near_pairs(pairs, nodes, percent).groupBy("a").agg(F.min_by("b", "bits").alias("b")), "odd-near")
+        found = confirmed(nearest, sets, percent)
         links = found if links is None else materialise(links.unionByName(found), "odd-links")
         labels = components(links, MERGE_ROUNDS).withColumnRenamed("component", "label")
-        mixed = mixed.drop("label").join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
-        several = mixed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-        mixed = materialise(mixed.join(several, "key", "left_semi"), "odd-mixed")
+        mixed = mixed.drop("label").join(labels, "node", "left").select("key", "node", "n", "s", F.coalesce("label", "node").alias("label"))
+        mixed = materialise(able_nodes(mixed, percent), "odd-mixed")
         same = mixed.groupBy("key", "label").agg(F.count("*").alias("k")).groupBy("key").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("s"))
         left, rows = same.agg(F.coalesce(F.sum((F.col("k") * F.col("k") - F.col("s")) / 2), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0))).first()
-        if left <= FEW_PAIRS * rows or found.count() * WORTH < pairs.count():
+        if left <= FEW_PAIRS * rows or found.count() * WORTH < nearest.count():
             break
     if left:
-        links = materialise(links.unionByName(check(unmerged_pairs(mixed, percent))), "odd-links")
+        near = materialise(near_pairs(unmerged_pairs(mixed, percent), nodes, percent), "odd-near")
+        links = materialise(links.unionByName(confirmed(near, sets, percent)), "odd-links")
     named = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     firsts = named.groupBy("component").agg(F.min("first").alias("component_id"))
     named = named.join(firsts, "component").select("d1", "d2", "component_id")
