@@ -107,6 +107,29 @@ def normalise_feed(spark, sf):
     return feeds.normalise_feed(entries, feeds.feed_registry(spark), F.lit("2024-01-30T00:00:00"))
 
 
+@register(
+    "first_feed_entries",
+    f"""WITH {ARTICLES}, registry(name, url, lang, category) AS (VALUES {_FEEDS}),
+names AS (SELECT name, row_number() OVER () - 1 AS i FROM registry),
+entries AS (SELECT a.*, coalesce(n.name, a.source) AS feed, row_number() OVER (PARTITION BY a.source, seq // 700 ORDER BY seq DESC) AS place
+  FROM articles a LEFT JOIN names n ON a.source = 'src' || n.i)
+SELECT md5(e.url || e.title) AS id, title, substring(body, 1, 500) AS body, e.url, e.feed AS source,
+  coalesce(category, 'reliable') AS source_category, coalesce(lang, 'en') AS language,
+  '2024-01-30T00:00:00' AS timestamp, 0e0 AS gdelt_tone
+FROM entries e LEFT JOIN registry r ON e.feed = r.name WHERE place <= 20""",
+)
+def first_feed_entries(spark, sf):
+    """Entries as they were scraped, newest first, without a number of their own."""
+    feed = F.col("source")
+    for i, row in enumerate(feeds.RELIABLE_FEEDS):
+        feed = F.when(F.col("source") == f"src{i}", row[0]).otherwise(feed)
+    entries = articles(spark, sf).select(
+        feed.alias("feed"), F.floor(F.col("seq") / 700).alias("scrape"), (-F.col("seq")).alias("entry"),
+        "title", F.col("body").alias("summary"), F.col("url").alias("link"),
+    )
+    return feeds.normalise_feed(entries, feeds.feed_registry(spark), F.lit("2024-01-30T00:00:00"), order=["entry"])
+
+
 @register(
     "normalise_gdelt",
     f"""WITH {ARTICLES} SELECT md5(concat(CASE WHEN n_chars % 13 <> 0 THEN url END, title)) AS id, title,

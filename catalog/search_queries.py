@@ -9,7 +9,8 @@ from catalog.article_queries import _STOP, rounded
 from catalog.views import ARTICLES, SPACE, articles, stamp, stamp_sql, table
 from newslens.functions import text
 from newslens.operators import search as ops
-from newslens.plans.storage import scratch_path
+from newslens.plans.storage import materialise, scratch_path
+from newslens.sources import sinks
 
 QUERY = "the thention vipa eau"
 FUZZY = "thentian eauouon the"
@@ -104,6 +105,35 @@ def search_scores(spark, sf):
     return rounded(ops.score_hits(index(spark, sf), QUERY), "score")
 
 
+def segments(spark, sf):
+    """An index that came about in three batches, the first two of which were merged: texts were
+    replaced before and after, and are what ``docs`` has in the end."""
+    root = scratch_path(spark, "segments")
+    rows, number = docs(spark, sf).select("id", "title", "body"), F.col("id").cast("int")
+    early = rows.withColumn("body", F.when(number % 3 == 0, F.concat("title", F.lit(" replaced the text"))).otherwise(F.col("body")))
+    early = early.withColumn("title", F.when(number % 4 == 0, F.lit("an old title")).otherwise(F.col("title")))
+    for n, batch in enumerate((early.filter(number % 2 == 0), early.filter(number % 2 == 1).unionByName(rows.filter(number % 6 == 0)), rows.filter((number % 3 == 0) | (number % 4 == 0)))):
+        sinks.write_postings(batch, n, root)
+        if n == 1:
+            sinks.compact_index(spark, root, 1)
+    return root
+
+
+@register("segment_scores", f"WITH {_scored(QUERY, False)} SELECT id, score FROM scored")
+def segment_scores(spark, sf):
+    return rounded(ops.score_hits(sinks.current_index(spark, segments(spark, sf)), QUERY), "score")
+
+
+@register("segment_scores_merged", f"WITH {_scored(FUZZY, True)} SELECT id, score FROM scored")
+def segment_scores_merged(spark, sf):
+    """Fuzzy scores before the last merge, which must not change them, and after it."""
+    root = segments(spark, sf)
+    before = materialise(ops.score_hits(sinks.current_index(spark, root), FUZZY, fuzzy=True), "segment-scores")
+    sinks.compact_index(spark, root, 2)
+    after = ops.score_hits(sinks.current_index(spark, root), FUZZY, fuzzy=True)
+    return rounded(after.withColumnRenamed("score", "_score").join(before, "id").filter("abs(_score - score) < 1e-9").drop("_score"), "score")
+
+
 @register("search_total", f"WITH {_scored(QUERY, False)} SELECT count(*) AS total FROM scored")
 def search_total(spark, sf):
     return ops.total_hits(index(spark, sf), QUERY)

@@ -24,12 +24,14 @@ RESULT_WORDS = 15
 class Index:
     """``postings`` (id, field, term, tf, dl) and ``lengths`` (id, field, dl) of non-empty fields;
     of a stored index also its dictionary ``terms`` (field, term, df) and ``stats`` (field, docs,
-    avg_dl), which are worked out from the others where they are missing."""
+    avg_dl), which are worked out from the others where they are missing. ``names`` (field, term) are
+    the terms of an index of several segments; a term may be in dead articles only."""
 
     postings: DataFrame
     lengths: DataFrame
     terms: DataFrame | None = None
     stats: DataFrame | None = None
+    names: DataFrame | None = None
 
     def dictionary(self) -> DataFrame:
         return dictionary(self.postings) if self.terms is None else self.terms
@@ -71,14 +73,15 @@ def by_term(postings: DataFrame) -> DataFrame:
     return postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id")
 
 
+def sorted_terms(terms: DataFrame) -> DataFrame:
+    return terms.repartitionByRange("term").sortWithinPartitions("term")
+
+
 def store_index(index: Index, path: str) -> Index:
-    """Write an index and read it back: postings clustered by term, dictionary, lengths, statistics."""
-    return Index(
-        stored(by_term(index.postings), f"{path}/postings"),
-        stored(index.lengths, f"{path}/lengths"),
-        stored(dictionary(index.postings).repartitionByRange("term").sortWithinPartitions("term"), f"{path}/terms"),
-        stored(field_stats(index.lengths), f"{path}/stats"),
-    )
+    """Write an index and read it back: postings clustered by term, dictionary, lengths, statistics.
+    Dictionary and statistics are counted on what is stored, so texts are tokenised twice only."""
+    postings, lengths = stored(by_term(index.postings), f"{path}/postings"), stored(index.lengths, f"{path}/lengths")
+    return Index(postings, lengths, stored(sorted_terms(dictionary(postings)), f"{path}/terms"), stored(field_stats(lengths), f"{path}/stats"))
 
 
 def query_terms(df: DataFrame, query: str) -> Counter:
@@ -119,6 +122,10 @@ def _matched_terms(terms_table: DataFrame, terms: Counter, fuzzy: bool) -> DataF
 
 def _hits(index: Index, terms: Counter, fuzzy: bool) -> DataFrame:
     """Postings of the matched terms with weight and df."""
+    if fuzzy and index.names is not None:
+        # the names are matched first; only postings of matched terms are counted
+        hits = index.postings.join(_matched_terms(index.names, terms, True), ["field", "term"])
+        return hits.join(dictionary(hits), ["field", "term"])
     matched = _matched_terms(index.dictionary(), terms, fuzzy)
     if fuzzy:
         return index.postings.join(matched, ["field", "term"])

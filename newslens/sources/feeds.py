@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newslens.functions import scores, text
@@ -33,16 +35,24 @@ def feed_registry(spark: SparkSession, extra: tuple = ()) -> DataFrame:
     return spark.createDataFrame(rows, "name string, url string, lang string, category string")
 
 
-def normalise_feed(entries: DataFrame, registry: DataFrame, scraped_at: Column) -> DataFrame:
-    """Feed entries (feed, position, title, summary, link) to articles.
+def first_entries(entries: DataFrame, order: Sequence[str], scrape: Sequence[str] = ("feed", "scrape"), n: int = ENTRIES_PER_FEED) -> DataFrame:
+    """The first ``n`` entries of every scrape of a feed in ``order``. No task sends more than
+    ``n`` rows of a scrape into the shuffle."""
+    place = Window.partitionBy(*scrape).orderBy(*order)
+    return entries.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= n).drop("_place")
+
+
+def normalise_feed(entries: DataFrame, registry: DataFrame, scraped_at: Column, order: Sequence[str] = ()) -> DataFrame:
+    """Feed entries (feed, title, summary, link) to articles, the first 20 of each scrape.
 
-    ``position`` is the entry's 1-based place in its scrape, so the first 20 are a plain
-    filter that reaches the scan. The registry is the fixed feed list above.
+    Give ``order`` for entries with a column ``scrape``: they are counted here. Entries that carry
+    their 1-based ``position`` in the scrape need none, and the filter reaches the scan. The
+    registry is the fixed feed list above.
     """
+    entries = first_entries(entries, order) if order else entries.filter(F.col("position") <= ENTRIES_PER_FEED)
     feeds = F.broadcast(registry.select(F.col("name").alias("feed"), "lang", "category"))
     return (
-        entries.filter(F.col("position") <= ENTRIES_PER_FEED)
-        .join(feeds, "feed", "left")
+        entries.join(feeds, "feed", "left")
         .select(
             text.content_id(F.col("link"), F.col("title")).alias("id"),
             text.or_empty(F.col("title")).alias("title"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newslens.operators.articles import newest
-from newslens.operators.search import Index, build_index, by_term
+from newslens.operators.search import Index, build_index, by_term, dictionary, sorted_terms, store_index
 from newslens.plans.ordered import first_per_key
 from newslens.plans.storage import discard
 from newslens.sources.corpora import CSV, is_missing
@@ -181,21 +181,69 @@ def upsert_report(current: DataFrame | None, batch: DataFrame) -> DataFrame:
 
 
 def write_postings(batch: DataFrame, batch_id: int, root: str) -> None:
-    """Index a batch of articles beside the article log."""
+    """Index a batch of articles beside the article log: a segment with postings, lengths and the
+    terms that occur in it. The dictionary is counted on the stored postings."""
     index = build_index(batch)
     write_batch(by_term(index.postings), f"{root}/postings", batch_id)
     write_batch(index.lengths, f"{root}/lengths", batch_id)
+    stored = batch.sparkSession.read.parquet(f"{root}/postings/batch_id={batch_id}")
+    write_batch(sorted_terms(dictionary(stored)), f"{root}/terms", batch_id)
+
+
+def _segments(spark: SparkSession, root: str, upto: int | None) -> tuple[DataFrame, ...] | None:
+    """Postings, lengths and terms of the segments that no base holds yet."""
+    parts = [read_batches(spark, f"{root}/{name}") for name in ("postings", "lengths", "terms")]
+    if any(p is None for p in parts):
+        return None
+    return tuple(p if upto is None else p.filter((F.col("batch_id") > upto) | (F.col("batch_id") < 0)) for p in parts)
 
 
 def current_index(spark: SparkSession, root: str) -> Index | None:
-    """The stored index with each article's newest batch only. A search filters the postings
-    by term before they meet the batch numbers."""
-    postings, lengths = read_batches(spark, f"{root}/postings"), read_batches(spark, f"{root}/lengths")
-    if postings is None or lengths is None:
+    """The stored index with each article's newest text only.
+
+    The base holds merged segments. An article that a later segment has again is dead before it;
+    only the articles of the later segments are grouped for that, and a search filters
+    the postings by term before they meet them. Document frequencies are counted on the live
+    postings of the terms that are asked for; the segments' dictionaries only name the terms.
+    """
+    upto = latest_version(spark, f"{root}/base")
+    later = _segments(spark, root, upto)
+    if later is None:
         return None
-    latest = lengths.groupBy("id").agg(F.max("batch_id").alias("batch_id"))
-    newest_only = lambda df: df.join(latest, ["id", "batch_id"], "left_semi").drop("batch_id")
-    return Index(newest_only(postings), newest_only(lengths))
+    postings, lengths, terms = later
+    newest = lengths.groupBy("id").agg(F.max("batch_id").alias("batch_id"))
+    live = lambda df: df.join(newest, ["id", "batch_id"], "left_semi").drop("batch_id")
+    names = terms.select("field", "term")
+    if upto is None:
+        return Index(live(postings), live(lengths), names=names.distinct())
+    at = f"{root}/base/data/version={upto}"
+    base = Index(*[spark.read.parquet(f"{at}/{name}") for name in ("postings", "lengths", "terms", "stats")])
+    if lengths.isEmpty():
+        return base
+    old = lambda df: df.join(newest.select("id"), "id", "left_anti")
+    merged = [old(before).unionByName(live(after)) for before, after in ((base.postings, postings), (base.lengths, lengths))]
+    return Index(*merged, names=base.terms.select("field", "term").unionByName(names).distinct())
+
+
+def compact_index(spark: SparkSession, root: str, upto: int) -> None:
+    """Merge the segments up to ``upto`` into a base: live postings by term, lengths, dictionary and
+    statistics. Nothing, if that was done."""
+    done = latest_version(spark, f"{root}/base")
+    if done is not None and done >= upto:
+        return
+    later = _segments(spark, root, done)
+    if later is None:
+        return
+    postings, lengths, _ = (df.filter(F.col("batch_id") <= upto) for df in later)
+    newest = lengths.groupBy("id").agg(F.max("batch_id").alias("batch_id"))
+    live = [df.join(newest, ["id", "batch_id"], "left_semi").drop("batch_id") for df in (postings, lengths)]
+    if done is not None:
+        before = [spark.read.parquet(f"{root}/base/data/version={done}/{name}") for name in ("postings", "lengths")]
+        live = [old.join(newest.select("id"), "id", "left_anti").unionByName(new) for old, new in zip(before, live)]
+    path = f"{root}/base/data/version={upto}"
+    discard(spark, path)  # of an attempt that did not get as far as its marker
+    store_index(Index(*live), path)
+    _announce(spark, f"{root}/base", upto)
 
 
 # Drift alerts and alert history -----------------------------------------------------------------

@@ -91,3 +91,11 @@ def test_time_filter_reaches_the_scan(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     plan = ops.since(df, datetime(2024, 1, 30), 5, "ts")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts,2024-01-29T19:00" in plan
+
+
+def test_first_entries_of_each_scrape(spark):
+    rows = [("AFP", s, i, f"t{s}-{i}") for s in range(2) for i in range(30)] + [("RFI", 0, i, f"r{i}") for i in range(3)]
+    entries = spark.createDataFrame(rows, "feed string, scrape int, entry int, title string").selectExpr("*", "'' summary", "title link").repartition(6)
+    got = feeds.normalise_feed(entries, feeds.feed_registry(spark), F.lit("now"), order=["entry"])
+    assert {r.title for r in got.collect()} == {f"t{s}-{i}" for s in range(2) for i in range(20)} | {"r0", "r1", "r2"}
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()

@@ -118,6 +118,27 @@ def test_a_search_sees_only_the_newest_text_of_an_article(spark, tmp_path):
     assert sorted(tuple(r) for r in index.lengths.collect()) == [("1", "title", 2), ("2", "body", 1), ("2", "title", 1)]
 
 
+def test_merged_segments_give_the_same_index(spark, tmp_path):
+    root = str(tmp_path / "index")
+    batches = [[("1", "old words", "x"), ("2", "old", "y z"), ("3", "kept", "words")], [("1", "new words", "")], [("4", "late", "words"), ("2", "newer", "y")]]
+    facts = lambda index: (sorted(map(tuple, index.postings.select("id", "field", "term", "tf").collect())), sorted(map(tuple, index.lengths.select("id", "field", "dl").collect())))
+    found = lambda index, query, fuzzy: sorted((r.id, round(r.score, 9)) for r in score_hits(index, query, fuzzy).collect())
+    for n, rows in enumerate(batches):
+        sinks.write_postings(spark.createDataFrame(rows, "id string, title string, body string"), n, root)
+        apart = sinks.current_index(spark, root)
+        want = facts(apart), [found(apart, q, f) for q in ("words", "old new", "newre wrods") for f in (False, True)]
+        if n == 1:
+            sinks.compact_index(spark, root, 1)
+            merged = sinks.current_index(spark, root)
+            assert (facts(merged), [found(merged, q, f) for q in ("words", "old new", "newre wrods") for f in (False, True)]) == want
+            plan = merged.postings.filter("term = 'words'")._jdf.queryExecution().executedPlan().toString()
+            assert "PushedFilters" in plan and "Aggregate" not in plan and "Join" not in plan
+    sinks.compact_index(spark, root, 2)
+    sinks.compact_index(spark, root, 2)
+    merged = sinks.current_index(spark, root)
+    assert (facts(merged), [found(merged, q, f) for q in ("words", "old new", "newre wrods") for f in (False, True)]) == want
+
+
 def test_alert_history(spark, tmp_path):
     path = str(tmp_path / "alerts")
     for day in range(1, 5):
