@@ -181,18 +181,19 @@ def upsert_report(current: DataFrame | None, batch: DataFrame) -> DataFrame:
 
 
 def write_postings(batch: DataFrame, batch_id: int, root: str) -> None:
-    """Index a batch of articles beside the article log: a segment with postings, lengths and the
-    terms that occur in it. The dictionary is counted on the stored postings."""
+    """Index a batch of articles beside the article log: a segment with its ids, postings, lengths and
+    the terms that occur in it. The dictionary is counted on the stored postings."""
     index = build_index(batch)
     write_batch(by_term(index.postings), f"{root}/postings", batch_id)
     write_batch(index.lengths, f"{root}/lengths", batch_id)
+    write_batch(batch.select("id"), f"{root}/ids", batch_id)  # an article without a word left is one, too
     stored = batch.sparkSession.read.parquet(f"{root}/postings/batch_id={batch_id}")
     write_batch(sorted_terms(dictionary(stored)), f"{root}/terms", batch_id)
 
 
 def _segments(spark: SparkSession, root: str, upto: int | None) -> tuple[DataFrame, ...] | None:
-    """Postings, lengths and terms of the segments that no base holds yet."""
-    parts = [read_batches(spark, f"{root}/{name}") for name in ("postings", "lengths", "terms")]
+    """Ids, postings, lengths and terms of the segments that no base holds yet."""
+    parts = [read_batches(spark, f"{root}/{name}") for name in ("ids", "postings", "lengths", "terms")]
     if any(p is None for p in parts):
         return None
     return tuple(p if upto is None else p.filter((F.col("batch_id") > upto) | (F.col("batch_id") < 0)) for p in parts)
@@ -210,15 +211,15 @@ def current_index(spark: SparkSession, root: str) -> Index | None:
     later = _segments(spark, root, upto)
     if later is None:
         return None
-    postings, lengths, terms = later
-    newest = lengths.groupBy("id").agg(F.max("batch_id").alias("batch_id"))
+    ids, postings, lengths, terms = later
+    newest = ids.groupBy("id").agg(F.max("batch_id").alias("batch_id"))
     live = lambda df: df.join(newest, ["id", "batch_id"], "left_semi").drop("batch_id")
     names = terms.select("field", "term")
     if upto is None:
         return Index(live(postings), live(lengths), names=names.distinct())
     at = f"{root}/base/data/version={upto}"
     base = Index(*[spark.read.parquet(f"{at}/{name}") for name in ("postings", "lengths", "terms", "stats")])
-    if lengths.isEmpty():
+    if ids.isEmpty():
         return base
     old = lambda df: df.join(newest.select("id"), "id", "left_anti")
     merged = [old(before).unionByName(live(after)) for before, after in ((base.postings, postings), (base.lengths, lengths))]
@@ -234,8 +235,8 @@ def compact_index(spark: SparkSession, root: str, upto: int) -> None:
     later = _segments(spark, root, done)
     if later is None:
         return
-    postings, lengths, _ = (df.filter(F.col("batch_id") <= upto) for df in later)
-    newest = lengths.groupBy("id").agg(F.max("batch_id").alias("batch_id"))
+    ids, postings, lengths, _ = (df.filter(F.col("batch_id") <= upto) for df in later)
+    newest = ids.groupBy("id").agg(F.max("batch_id").alias("batch_id"))
     live = [df.join(newest, ["id", "batch_id"], "left_semi").drop("batch_id") for df in (postings, lengths)]
     if done is not None:
         before = [spark.read.parquet(f"{root}/base/data/version={done}/{name}") for name in ("postings", "lengths")]

@@ -139,6 +139,15 @@ def test_merged_segments_give_the_same_index(spark, tmp_path):
     assert (facts(merged), [found(merged, q, f) for q in ("words", "old new", "newre wrods") for f in (False, True)]) == want
 
 
+def test_an_article_without_words_left_is_no_longer_found(spark, tmp_path):
+    root = str(tmp_path / "index")
+    for n, title in enumerate(["words", ""]):
+        sinks.write_postings(spark.createDataFrame([("1", title, "")], "id string, title string, body string"), n, root)
+    assert score_hits(sinks.current_index(spark, root), "words").count() == 0
+    sinks.compact_index(spark, root, 1)
+    assert sinks.current_index(spark, root).postings.count() == 0
+
+
 def test_alert_history(spark, tmp_path):
     path = str(tmp_path / "alerts")
     for day in range(1, 5):
