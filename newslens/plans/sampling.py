@@ -43,7 +43,8 @@ def split_by_rank(df: DataFrame, group: str, key: str, cuts: DataFrame, names: S
     """Add ``split``: rows of ``group`` ranked by hash ``key`` get ``names[0]`` up to rank
     ``cut0``, ``names[1]`` up to ``cut1``, and ``names[2]`` beyond.
 
-    ``cuts`` has one row per group with ``cut0`` <= ``cut1``. ``df`` is read three times.
+    ``cuts`` has one row per group with ``cut0`` <= ``cut1``: few groups, whose cuts go to all tasks, so
+    that whole rows stay where they are but for the buckets at the cuts. ``df`` is read three times.
     """
     rows = df.withColumn("_prefix", F.substring(key, 1, PREFIX))
     counts = rows.groupBy(group, "_prefix").agg(F.count("*").alias("_n"))
@@ -55,7 +56,7 @@ def split_by_rank(df: DataFrame, group: str, key: str, cuts: DataFrame, names: S
         *[F.coalesce(F.max(F.when(inside(c), F.col("_prefix"))), F.lit("")).alias(f"_edge{i}") for i, c in enumerate(("cut0", "cut1"))],
         *[F.max(F.when(inside(c), F.col("_before"))).alias(f"_base{i}") for i, c in enumerate(("cut0", "cut1"))],
     )
-    known = rows.join(edges, group)
+    known = rows.join(F.broadcast(edges), group)
     on_edge = (F.col("_prefix") == F.col("_edge0")) | (F.col("_prefix") == F.col("_edge1"))
     sure = known.filter(~on_edge).withColumn(
         "split",

@@ -82,6 +82,16 @@ def test_split_by_rank(spark, cuts):
         assert part == ["x"] * a + ["y"] * (b - a) + ["z"] * (len(part) - b)
 
 
+def test_a_split_does_not_gather_a_group_in_one_task(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    df = session.range(300).withColumn("label", (F.col("id") % 2).cast("int")).withColumn("key", hash_key(["id"], 1))
+    table = session.createDataFrame([(0, 3, 10), (1, 5, 20)], "label int, cut0 long, cut1 long")
+    plan = split_by_rank(df, "label", "key", table, ("x", "y", "z"), ["id"])._jdf.queryExecution().executedPlan().toString()
+    # both the rows between the cuts and those of the buckets at them stay where they are for it
+    assert plan.count("BroadcastHashJoin [label") == 2
+
+
 class _Session:
     """As much of a session as the choice of folder looks at."""
 
