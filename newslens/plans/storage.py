@@ -49,7 +49,18 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files in a folder, in whatever store it lies."""
+    place, store = _place(spark, path)
+    return store.getContentSummary(place).getLength()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder that ``scratch_path`` named, in whatever store it lies."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place, store = _place(spark, path)
+    store.delete(place, True)

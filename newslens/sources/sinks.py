@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from newslens.operators.articles import newest
 from newslens.operators.search import Index, build_index, by_term, dictionary, sorted_terms, store_index
 from newslens.plans.ordered import first_per_key
-from newslens.plans.storage import discard
+from newslens.plans.storage import discard, stored_bytes
 from newslens.sources.corpora import CSV, is_missing
 
 #: Messages keep the whole time stamp.
@@ -78,8 +78,10 @@ def latest_weights(spark: SparkSession, root: str) -> DataFrame | None:
     return read_version(spark, root)
 
 
-#: Buckets of the merged articles, unless the deployment gives another number.
+#: Least number of buckets of the merged articles, unless the deployment gives another.
 BUCKETS = 32
+#: Stored bytes that a bucket of them should not exceed by much.
+BUCKET_BYTES = 64 << 20
 #: Batches of arrived articles are numbered from here; any batch of the monitor comes after them.
 ARRIVALS = -(1 << 40)
 
@@ -102,17 +104,17 @@ def _table_name(path: str) -> str:
 
 
 def write_base(df: DataFrame, root: str, version: int, buckets: int) -> None:
-    """Write the merged articles as a version, by day and in buckets of the id.
+    """Write the merged articles as a version, in buckets of the id and by day within them.
 
-    Readers that join it by id then need not move it. A bucket is one task's work; ``buckets``
-    should grow with the base, so that one fits a task.
+    Readers that join it by id then need not move it; one that asks for days skips row groups. There
+    are as many files as buckets, whatever time the articles span. A bucket is one task's work.
     """
     spark, path = df.sparkSession, f"{root}/data/version={version}"
     discard(spark, path)  # of an attempt that did not get as far as its marker
     spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
     dated = df.withColumn("processed_date", F.to_date("processed_at"))
     dealt = dated.repartition(buckets, "id")
-    dealt.write.partitionBy("processed_date").bucketBy(buckets, "id").option("path", path).format("parquet").saveAsTable(_table_name(path))
+    dealt.write.bucketBy(buckets, "id").sortBy("processed_date").option("path", path).format("parquet").saveAsTable(_table_name(path))
     _announce(spark, root, version, buckets=buckets)
 
 
@@ -125,8 +127,7 @@ def read_base(spark: SparkSession, root: str, version: int) -> DataFrame:
         buckets = spark.read.parquet(f"{root}/published/n={version}").first()["buckets"]
         fields = spark.read.parquet(path).schema
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (processed_date) CLUSTERED BY (id) INTO {buckets} BUCKETS LOCATION '{path}'")
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (id) SORTED BY (processed_date) INTO {buckets} BUCKETS LOCATION '{path}'")
     return spark.table(name)
 
 
@@ -159,12 +160,15 @@ def current_articles(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def compact_articles(spark: SparkSession, root: str, upto: int, buckets: int = BUCKETS) -> None:
-    """Merge all batches up to ``upto`` into a base by day, bucketed by id; nothing, if that was done."""
+    """Merge all batches up to ``upto`` into a base bucketed by id; nothing, if that was done. There are
+    ``buckets`` or, for a large base, more, so that each fits a task."""
     done = latest_version(spark, f"{root}/base")
     if done is not None and done >= upto:
         return
     newer = _newer_rows(read_batches(spark, f"{root}/log").filter(F.col("batch_id") <= upto), done)
     merged = newer if done is None else _merged(read_base(spark, f"{root}/base", done), newer)
+    held = [f"{root}/log"] if done is None else [f"{root}/log", f"{root}/base/data/version={done}"]
+    buckets = max(buckets, -(-sum(stored_bytes(spark, path) for path in held) // BUCKET_BYTES))
     write_base(merged, f"{root}/base", upto, buckets)
 
 

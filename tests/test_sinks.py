@@ -71,6 +71,21 @@ def test_the_base_is_not_moved_or_sorted(spark, tmp_path):
     assert join < scan and not any("Exchange" in line or "Sort " in line for line in lines[join:scan])
 
 
+def test_the_base_has_a_file_a_bucket_and_more_buckets_as_it_grows(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "articles")
+    day = "make_timestamp(2024, 1, 1, 0, 0, 0) + make_dt_interval(CAST(id AS INT))"  # a row a day
+    rows = spark.range(400).selectExpr("CAST(id AS STRING) AS id", "md5(CAST(id AS STRING)) AS title", f"{day} AS processed_at")
+    sinks.upsert_articles(rows, 0, root, ["processed_at"])
+    sinks.compact_articles(spark, root, 0, buckets=2)
+    assert len(spark.read.parquet(f"{root}/base/data/version=0").inputFiles()) == 2
+    monkeypatch.setattr(sinks, "BUCKET_BYTES", 4096)
+    sinks.upsert_articles(rows.filter("id < 100"), 1, root, ["processed_at"])
+    sinks.compact_articles(spark, root, 1, buckets=2)
+    base = spark.read.parquet(f"{root}/base/data/version=1")
+    assert len(base.inputFiles()) > 2 and base.select("processed_date").distinct().count() == 400
+    assert sorted(r.id for r in sinks.current_articles(spark, root).collect()) == sorted(str(i) for i in range(400))
+
+
 def test_an_attempt_without_its_marker_is_written_anew(spark, tmp_path):
     root = str(tmp_path / "articles")
     sinks.upsert_articles(batch(spark, [("a", "x", 1, 0.1)]), 0, root)
