@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newslens.functions import text
+from newslens.functions import inverted, text
 from newslens.operators.articles import MAX_SEARCH, check_limit, page_metrics, word_frequencies
-from newslens.plans.storage import stored
+from newslens.plans.storage import discard, scratch_path, stored
 
 # Fixed values.
 FIELD_BOOST = {"title": 3.0, "body": 1.0}
@@ -25,13 +26,15 @@ class Index:
     """``postings`` (id, field, term, tf, dl) and ``lengths`` (id, field, dl) of non-empty fields;
     of a stored index also its dictionary ``terms`` (field, term, df) and ``stats`` (field, docs,
     avg_dl), which are worked out from the others where they are missing. ``names`` (field, term) are
-    the terms of an index of several segments; a term may be in dead articles only."""
+    the terms of an index of several segments; a term may be in dead articles only. ``fields`` (id,
+    field, dl, words) are what an index is stored from: the fields' words, joined by a space."""
 
     postings: DataFrame
     lengths: DataFrame
     terms: DataFrame | None = None
     stats: DataFrame | None = None
     names: DataFrame | None = None
+    fields: DataFrame | None = None
 
     def dictionary(self) -> DataFrame:
         return dictionary(self.postings) if self.terms is None else self.terms
@@ -61,27 +64,57 @@ def field_tokens(df: DataFrame) -> DataFrame:
 def build_index(df: DataFrame) -> Index:
     """Index of articles whose ids are unique. All tokens of a field sit in one input row, so
     they are counted there and nothing is shuffled."""
-    fields = field_tokens(df)
-    counted = fields.select("id", "field", "dl", F.explode(text.counts(F.col("tokens"))).alias("c"))
+    return index_of(field_tokens(df).select("id", "field", "dl", F.concat_ws(" ", "tokens").alias("words")))
+
+
+def index_of(fields: DataFrame) -> Index:
+    """Index of the words of fields; no word has a space in it."""
+    counted = fields.select("id", "field", "dl", F.explode(text.counts(F.split("words", " "))).alias("c"))
     postings = counted.select("id", "field", F.col("c.value").alias("term"), F.col("c.n").alias("tf"), "dl")
-    return Index(postings, fields.select("id", "field", "dl"))
+    return Index(postings, fields.select("id", "field", "dl"), fields=fields)
 
 
-def by_term(postings: DataFrame) -> DataFrame:
-    """Cluster by term before writing: a search then prunes row groups by their min and max.
-    The id in the range key lets a term that occurs everywhere span many files."""
-    return postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id")
+def by_term(lists: DataFrame) -> DataFrame:
+    """Postings of ``inverted`` lists, clustered by term for writing: a search then prunes row groups by
+    their min and max. Lists of many postings are dealt and sorted, not postings; the id in the range
+    key lets a term that occurs everywhere span many files."""
+    return inverted.postings(lists.repartitionByRange("term", "first").sortWithinPartitions("term", "first"))
 
 
 def sorted_terms(terms: DataFrame) -> DataFrame:
     return terms.repartitionByRange("term").sortWithinPartitions("term")
 
 
+def write_index(fields: DataFrame, place: Callable[[str], str], mode: str = "error") -> None:
+    """Write the tables of an index of ``fields`` to where ``place`` has them: the fields, postings clustered by
+    term, lengths and dictionary. Texts are tokenised once, with the fields; the lists by term are
+    stored while they are dealt, since a range is dealt after a look at all rows."""
+    spark = fields.sparkSession
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode(mode).parquet(place(name))
+        return spark.read.schema(df.schema).parquet(place(name))
+
+    kept, lists_at = put(fields, "fields"), scratch_path(spark, "inverted")
+    lists = stored(inverted.inverted(kept), lists_at)
+    put(by_term(lists).withColumn("id", F.col("id").cast(kept.schema["id"].dataType)), "postings")
+    put(sorted_terms(lists.groupBy("field", "term").agg(F.sum("n").alias("df"))), "terms")
+    discard(spark, lists_at)
+    put(kept.select("id", "field", "dl"), "lengths")
+
+
+def read_index(spark: SparkSession, path: str) -> Index:
+    """An index that ``store_index`` wrote."""
+    return Index(**{name: spark.read.parquet(f"{path}/{name}") for name in ("postings", "lengths", "terms", "stats", "fields")})
+
+
 def store_index(index: Index, path: str) -> Index:
-    """Write an index and read it back: postings clustered by term, dictionary, lengths, statistics.
-    Dictionary and statistics are counted on what is stored, so texts are tokenised twice only."""
-    postings, lengths = stored(by_term(index.postings), f"{path}/postings"), stored(index.lengths, f"{path}/lengths")
-    return Index(postings, lengths, stored(sorted_terms(dictionary(postings)), f"{path}/terms"), stored(field_stats(lengths), f"{path}/stats"))
+    """Write an index of fields and read it back: fields, postings clustered by term, dictionary,
+    lengths, statistics."""
+    write_index(index.fields, lambda name: f"{path}/{name}")
+    spark = index.fields.sparkSession
+    stored(field_stats(spark.read.parquet(f"{path}/lengths")), f"{path}/stats")
+    return read_index(spark, path)
 
 
 def query_terms(df: DataFrame, query: str) -> Counter:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newslens.operators.articles import newest
-from newslens.operators.search import Index, build_index, by_term, dictionary, sorted_terms, store_index
+from newslens.operators.search import Index, build_index, index_of, read_index, store_index, write_index
 from newslens.plans.ordered import first_per_key
 from newslens.plans.storage import discard, stored_bytes
 from newslens.sources.corpora import CSV, is_missing
@@ -185,24 +185,36 @@ def upsert_report(current: DataFrame | None, batch: DataFrame) -> DataFrame:
 
 
 def write_postings(batch: DataFrame, batch_id: int, root: str) -> None:
-    """Index a batch of articles beside the article log: a segment with its ids, postings, lengths and
-    the terms that occur in it. The dictionary is counted on the stored postings."""
-    index = build_index(batch)
-    write_batch(by_term(index.postings), f"{root}/postings", batch_id)
-    write_batch(index.lengths, f"{root}/lengths", batch_id)
+    """Index a batch of articles beside the article log: a segment with its ids, fields, postings, lengths
+    and the terms that occur in it."""
+    write_index(build_index(batch).fields, lambda name: f"{root}/{name}/batch_id={batch_id}", "overwrite")
     write_batch(batch.select("id"), f"{root}/ids", batch_id)  # an article without a word left is one, too
-    stored = batch.sparkSession.read.parquet(f"{root}/postings/batch_id={batch_id}")
-    write_batch(sorted_terms(dictionary(stored)), f"{root}/terms", batch_id)
 
 
-def _segments(spark: SparkSession, root: str, upto: int | None) -> tuple[DataFrame, ...] | None:
-    """Ids, postings, lengths and terms of the segments that no base holds yet."""
-    parts = [read_batches(spark, f"{root}/{name}") for name in ("ids", "postings", "lengths", "terms")]
+def _segments(spark: SparkSession, root: str, upto: int | None, names: Sequence[str]) -> tuple[DataFrame, ...] | None:
+    """The named tables of the segments that no base holds yet."""
+    parts = [read_batches(spark, f"{root}/{name}") for name in names]
     if any(p is None for p in parts):
         return None
     return tuple(p if upto is None else p.filter((F.col("batch_id") > upto) | (F.col("batch_id") < 0)) for p in parts)
 
 
+def _newest(ids: DataFrame) -> DataFrame:
+    return ids.groupBy("id").agg(F.max("batch_id").alias("newest"))
+
+
+def _live(df: DataFrame, newest: DataFrame) -> DataFrame:
+    """Rows of the batch that has their id last. The join is on the id alone, so one deal by it serves
+    what groups the rows by id next; a task's share of the ids is hashed, and the rows are not sorted."""
+    seen = newest.select(F.col("id").alias("_id"), "newest").hint("shuffle_hash")
+    return df.join(seen, (F.col("id") == F.col("_id")) & (F.col("batch_id") >= F.col("newest")), "left_semi").drop("batch_id")
+
+
+def _without(df: DataFrame, newest: DataFrame) -> DataFrame:
+    """Rows of a base whose id no later batch has."""
+    return df.join(newest.select("id").hint("shuffle_hash"), "id", "left_anti")
+
+
 def current_index(spark: SparkSession, root: str) -> Index | None:
     """The stored index with each article's newest text only.
 
@@ -212,42 +224,41 @@ def current_index(spark: SparkSession, root: str) -> Index | None:
     postings of the terms that are asked for; the segments' dictionaries only name the terms.
     """
     upto = latest_version(spark, f"{root}/base")
-    later = _segments(spark, root, upto)
+    later = _segments(spark, root, upto, ("ids", "postings", "lengths", "terms"))
     if later is None:
         return None
     ids, postings, lengths, terms = later
-    newest = ids.groupBy("id").agg(F.max("batch_id").alias("batch_id"))
-    live = lambda df: df.join(newest, ["id", "batch_id"], "left_semi").drop("batch_id")
+    newest = _newest(ids)
+    live = lambda df: _live(df, newest)
     names = terms.select("field", "term")
     if upto is None:
         return Index(live(postings), live(lengths), names=names.distinct())
-    at = f"{root}/base/data/version={upto}"
-    base = Index(*[spark.read.parquet(f"{at}/{name}") for name in ("postings", "lengths", "terms", "stats")])
+    base = read_index(spark, f"{root}/base/data/version={upto}")
     if ids.isEmpty():
         return base
-    old = lambda df: df.join(newest.select("id"), "id", "left_anti")
+    old = lambda df: _without(df, newest)
     merged = [old(before).unionByName(live(after)) for before, after in ((base.postings, postings), (base.lengths, lengths))]
     return Index(*merged, names=base.terms.select("field", "term").unionByName(names).distinct())
 
 
 def compact_index(spark: SparkSession, root: str, upto: int) -> None:
     """Merge the segments up to ``upto`` into a base: live postings by term, lengths, dictionary and
-    statistics. Nothing, if that was done."""
+    statistics. Nothing, if that was done. The fields are merged, which are few beside their postings, and
+    stored anew."""
     done = latest_version(spark, f"{root}/base")
     if done is not None and done >= upto:
         return
-    later = _segments(spark, root, done)
+    later = _segments(spark, root, done, ("ids", "fields"))
     if later is None:
         return
-    ids, postings, lengths, _ = (df.filter(F.col("batch_id") <= upto) for df in later)
-    newest = ids.groupBy("id").agg(F.max("batch_id").alias("batch_id"))
-    live = [df.join(newest, ["id", "batch_id"], "left_semi").drop("batch_id") for df in (postings, lengths)]
+    ids, fields = (df.filter(F.col("batch_id") <= upto) for df in later)
+    newest = _newest(ids)
+    live = _live(fields, newest)
     if done is not None:
-        before = [spark.read.parquet(f"{root}/base/data/version={done}/{name}") for name in ("postings", "lengths")]
-        live = [old.join(newest.select("id"), "id", "left_anti").unionByName(new) for old, new in zip(before, live)]
+        live = _without(spark.read.parquet(f"{root}/base/data/version={done}/fields"), newest).unionByName(live)
     path = f"{root}/base/data/version={upto}"
     discard(spark, path)  # of an attempt that did not get as far as its marker
-    store_index(Index(*live), path)
+    store_index(index_of(live), path)
     _announce(spark, f"{root}/base", upto)
 
 

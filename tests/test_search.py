@@ -119,3 +119,17 @@ def test_stored_postings_are_pruned_by_term(spark, articles):
     assert len(filters) >= 2, plan  # postings and dictionary
     fuzzy = ops._hits(kept, Counter({"fake": 1}), True)._jdf.queryExecution().executedPlan().toString()
     assert "levenshtein" in fuzzy
+
+
+def test_a_stored_index_tokenises_once_and_deals_lists_not_postings(spark, monkeypatch):
+    rows = [(n, "Hot common", " ".join(["hot", f"w{n % 7}", "hot"][: n % 4])) for n in range(600)] + [(None, "hot éß", "名 hot")]
+    df = spark.createDataFrame(rows, "id int, title string, body string").repartition(2)
+    index, dealt = ops.build_index(df), []
+    monkeypatch.setattr(ops, "by_term", lambda lists, put=ops.by_term: dealt.append(lists.count()) or put(lists))
+    kept = ops.store_index(index, scratch_path(spark, "test-index"))
+    facts = lambda df: sorted(map(repr, df.select("id", "field", "term", "tf", "dl").collect()))
+    assert facts(kept.postings) == facts(index.postings) and kept.postings.count() > 1900
+    assert 1900 > dealt[0] * 20  # rows that the sort by term moves
+    assert sorted(map(repr, kept.lengths.collect())) == sorted(map(repr, index.lengths.collect()))
+    assert sorted(map(repr, kept.terms.select("field", "term", "df").collect())) == sorted(map(repr, ops.dictionary(index.postings).collect()))
+    assert "id" in kept.postings.columns and kept.postings.schema["id"].dataType == df.schema["id"].dataType
