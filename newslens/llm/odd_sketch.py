@@ -12,8 +12,11 @@ left is confirmed on the full sets.
 Rows with one set are one node. Nodes under a key are not paired out: first each meets one
 centre per key, which differs from key to key; what is linked is merged, and only nodes of
 different components that still share a key meet after that. Star rounds go on as long as
-they find many links and more than a few pairs a node are left. Of the rest, sets whose shingles
-are too often their own cannot be linked; the others are compared.
+they find many links and more than a few pairs a node are left. Sets whose shingles are too often
+their own cannot be linked. If more than a few pairs a node are still left, each key is split at a
+centre: two sets that share nothing outside it have no more in common than either has with it, which
+rules out nearly all that are not linked with it; the others meet under the shingles that they
+share outside it. What remains is compared.
 """
 
 from __future__ import annotations
@@ -24,12 +27,11 @@ from collections.abc import Callable
 import numpy as np
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslens.llm.common import map_texts
 from newslens.llm.components import components
-from newslens.plans.ordered import join_on
 from newslens.plans.storage import materialise
 
 WORDS = 3
@@ -43,9 +45,13 @@ STAR_ROUNDS = 3
 FEW_PAIRS = 8
 #: A round of stars of which not one pair in so many was a link is the last.
 WORTH = 8
+#: Rounds in which keys with more pairs than that are split at a centre.
+SPLIT_ROUNDS = 3
 #: Rounds in which links merge nodes before others are looked for.
 MERGE_ROUNDS = 2
 SEED = 11
+#: Most bits of a broadcast bit table (16 MB), and bits for each wanted row.
+MOST_SLOTS, SLOTS_A_ROW = 1 << 26, 16
 #: Rows of a set that are multiplied at once.
 CHUNK = 128
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -150,12 +156,25 @@ def digest_of(hashes: np.ndarray) -> tuple[int, int]:
     return (whole >> 64) - (1 << 63), (whole & ((1 << 64) - 1)) - (1 << 63)
 
 
+def likely(df: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of ``df`` whose ``on`` may be in the stored table ``wanted``, found without a shuffle of ``df``.
+
+    None that is there is lost; of the others one in ``SLOTS_A_ROW`` stays, and more where the
+    table has its largest size. An exact join must follow."""
+    slots = min(MOST_SLOTS, 1 << (SLOTS_A_ROW * wanted.count()).bit_length())
+    slot, bit = F.pmod(F.xxhash64(*on), F.lit(slots)), F.expr("shiftleft(1L, cast(_slot & 63 as int))")
+    words = wanted.select(slot.alias("_slot")).groupBy(F.shiftright("_slot", 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    met = df.withColumn("_slot", slot).withColumn("_word", F.shiftright("_slot", 6)).join(F.broadcast(words), "_word")
+    return met.filter(F.col("_bits").bitwiseAND(bit) != 0).select(*df.columns)
+
+
 def full_sets(df: DataFrame, wanted: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
     """node and set of the nodes in ``wanted`` (node, doc_id, at, d1, d2), from the texts.
 
-    Texts are found by id and hash, so of a group of copies one row is shingled again."""
+    Texts are found by id and hash, so of a group of copies one row is shingled again; they are
+    never shuffled."""
     narrow = df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("at"), F.col(text).alias("text"))
-    found = join_on(narrow, wanted.select("doc_id", "at").distinct(), ["doc_id", "at"], "left_semi")
+    found = likely(narrow, wanted, ["doc_id", "at"])
 
     def work(texts: list) -> list[list]:
         sets = [shingles(t, words) for t in texts]
@@ -163,7 +182,8 @@ def full_sets(df: DataFrame, wanted: DataFrame, doc_id: str, text: str, words: i
         return [[a for a, _ in pairs], [b for _, b in pairs], [s.view(np.int64) for s in sets]]
 
     again = map_texts(found, ["text"], "d1 bigint, d2 bigint, hashes array<bigint>", lambda: work)
-    return again.join(wanted.select("node", "d1", "d2"), ["d1", "d2"]).select("node", "hashes").dropDuplicates(["node"])
+    # one shuffle serves the join and what follows, for both have the digests as keys
+    return again.join(wanted.select("node", "d1", "d2"), ["d1", "d2"]).dropDuplicates(["d1", "d2"]).select("node", "hashes")
 
 
 def apart(a: Column, b: Column) -> Column:
@@ -213,10 +233,14 @@ def with_shared(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     return mixed.join(alone, "node", "left").select("key", "node", "n", "label", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("s"))
 
 
+def several_keys(mixed: DataFrame) -> DataFrame:
+    """The keys that nodes of several components have."""
+    return mixed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
+
+
 def of_several(mixed: DataFrame) -> DataFrame:
-    """The rows under keys that nodes of several components have."""
-    several = mixed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    return mixed.join(several, "key", "left_semi")
+    """The rows under such keys."""
+    return mixed.join(several_keys(mixed), "key", "left_semi")
 
 
 def able_nodes(mixed: DataFrame, percent: int) -> DataFrame:
@@ -236,10 +260,70 @@ def within_reach(left: str, right: str, percent: int) -> Column:
     return common * 100 >= (F.col(f"{left}n") + F.col(f"{right}n") - common) * percent
 
 
-def unmerged_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes with a common key and of different labels that can be linked."""
-    met = mixed.alias("l").join(mixed.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.label") < F.col("r.label")) & within_reach("l.", "r.", percent))
-    return materialise(met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct(), "odd-rest")
+def unmerged_pairs(mixed: DataFrame, percent: int, ends: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of nodes with a common key and of different labels that can be linked; with
+    ``ends``, those that have one of these rows at least."""
+    unlike = F.col("l.label") < F.col("r.label") if ends is None else F.col("l.label") != F.col("r.label")
+    met = (mixed if ends is None else ends).alias("l").join(mixed.alias("r"), (F.col("l.key") == F.col("r.key")) & unlike & within_reach("l.", "r.", percent))
+    return materialise(met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct(), "odd-rest")
+
+
+def relabelled(mixed: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of ``mixed`` with what the links have merged so far."""
+    labels = components(links, MERGE_ROUNDS).withColumnRenamed("component", "label")
+    others = [c for c in mixed.columns if c != "label"]
+    return mixed.drop("label").join(labels, "node", "left").select(*others, F.coalesce("label", "node").alias("label"))
+
+
+def pairs_left(mixed: DataFrame) -> tuple[int, int]:
+    """How many pairs of different labels meet under the keys, and how many rows there are."""
+    same = mixed.groupBy("key", "label").agg(F.count("*").alias("k")).groupBy("key").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("s"))
+    return same.agg(F.coalesce(F.sum((F.col("k") * F.col("k") - F.col("s")) / 2), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0))).first()
+
+
+def rarest_outside(led: DataFrame, both: DataFrame, percent: int) -> DataFrame:
+    """Rows (key, node, n, label, s) of ``led``'s nodes under a key for each centre and each of the
+    rarest shingles outside it that they have.
+
+    A node must share ``needed`` of these with any it is linked with; of two sets that share so
+    many, the first but for ``needed`` - 1 of each have one in common, whatever the order is.
+    """
+    once = led.select("node", "b", "n", "label", "s").distinct()
+    least = once.groupBy("b").agg(F.min("n").alias("least"))
+    needed = F.ceil((F.col("n") + F.col("least")) * percent / F.lit(100 + percent) - 1e-6) - F.col("shared")
+    kept = F.size("outside") - F.greatest(needed, F.lit(1)) + 1
+    rows = once.join(both.withColumnRenamed("a", "node").select("node", "b", "shared", "outside"), ["node", "b"]).join(least, "b")
+    rows = materialise(rows.select("node", "b", "n", "label", "s", kept.alias("kept"), F.explode("outside").alias("hash")), "odd-outside")
+    counted = rows.join(rows.groupBy("b", "hash").agg(F.count("*").alias("k")), ["b", "hash"])
+    place = F.row_number().over(Window.partitionBy("node", "b").orderBy("k", "hash"))
+    first = counted.withColumn("place", place).filter("place <= kept and k > 1")
+    return materialise(first.select(F.xxhash64("b", "hash").alias("key"), "node", "n", "label", "s"), "odd-rarest")
+
+
+def split(mixed: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (a, b) with a centre of each key, the pairs (a, b) that may be linked without a common
+    shingle outside it, and rows like those of ``mixed`` under a key for each centre and each
+    shingle outside it. Any two nodes that are linked and met under a key are of one component by
+    now, a pair, or meet under a new key.
+
+    Without such a shingle two sets have no more in common than either has with the centre.
+    """
+    own = F.struct((F.col("n") - F.col("s")) / F.col("n"), "n", "node")
+    led = mixed.join(mixed.groupBy("key").agg(F.min_by("node", own).alias("b")), "key").filter("node <> b")
+    led = materialise(led, "odd-led")
+    pairs = materialise(led.select(F.col("node").alias("a"), "b").distinct(), "odd-stars")
+    both = _fetched(pairs, sets, ["hashes"], 64 + pairs.count() // (1 << 18))
+    n_a, n_b, outside = F.size("hashes_a"), F.size("hashes_b"), F.array_except("hashes_a", "hashes_b")
+    shared = n_a - F.size(outside)
+    linked = (shared * 100 >= (n_a + n_b - shared) * percent).alias("linked")
+    both = materialise(both.select("a", "b", shared.alias("shared"), linked, outside.alias("outside")), "odd-split")
+    found = both.filter("linked").select("a", "b")
+    led = materialise(of_several(relabelled(led, links.unionByName(found))), "odd-led")
+    near = led.drop("s").join(both.select(F.col("a").alias("node"), "b", F.col("shared").alias("s"), "linked"), ["node", "b"])
+    inside = materialise(able_nodes(near.select("key", "node", "n", "label", "s", "linked"), percent), "odd-inside")
+    # two that are linked with the centre are of one component
+    inside = unmerged_pairs(inside, percent, inside.filter("not linked"))
+    return found, inside, materialise(able_nodes(of_several(rarest_outside(led, both, percent)), percent), "odd-mixed")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -261,7 +345,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     nodes = materialise(nodes, "odd-nodes")
     members = materialise(nodes.select(F.explode("keys").alias("key"), "node", "n"), "odd-members")
     # only keys with two nodes matter, and there only nodes of different components
-    mixed = materialise(of_several(members.withColumn("label", F.col("node"))), "odd-mixed")
+    members = members.withColumn("label", F.col("node"))
+    several = materialise(several_keys(members), "odd-several")
+    mixed = materialise(likely(members, several, ["key"]).join(several, "key", "left_semi"), "odd-mixed")
     sets = wanted_sets(mixed.select("node").distinct(), nodes, df, doc_id, text, words)
     mixed = materialise(able_nodes(materialise(with_shared(mixed, sets), "odd-shared"), percent), "odd-able")
     links = None
@@ -276,15 +362,23 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         nearest = materialise(near_pairs(pairs, nodes, percent).groupBy("a").agg(F.min_by("b", "bits").alias("b")), "odd-near")
         found = confirmed(nearest, sets, percent)
         links = found if links is None else materialise(links.unionByName(found), "odd-links")
-        labels = components(links, MERGE_ROUNDS).withColumnRenamed("component", "label")
-        mixed = mixed.drop("label").join(labels, "node", "left").select("key", "node", "n", "s", F.coalesce("label", "node").alias("label"))
-        mixed = materialise(able_nodes(mixed, percent), "odd-mixed")
-        same = mixed.groupBy("key", "label").agg(F.count("*").alias("k")).groupBy("key").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("s"))
-        left, rows = same.agg(F.coalesce(F.sum((F.col("k") * F.col("k") - F.col("s")) / 2), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0))).first()
+        mixed = materialise(able_nodes(relabelled(mixed, links), percent), "odd-mixed")
+        left, rows = pairs_left(mixed)
         if left <= FEW_PAIRS * rows or found.count() * WORTH < nearest.count():
             break
+    rest = None
+    for _ in range(SPLIT_ROUNDS):
+        if left <= FEW_PAIRS * rows:
+            break
+        found, inside, mixed = split(mixed, links, sets, percent)
+        links = materialise(links.unionByName(found), "odd-links")
+        rest = inside if rest is None else rest.unionByName(inside)
+        left, rows = pairs_left(mixed)
     if left:
-        near = materialise(near_pairs(unmerged_pairs(mixed, percent), nodes, percent), "odd-near")
+        last = unmerged_pairs(mixed, percent)
+        rest = last if rest is None else rest.unionByName(last)
+    if rest is not None:
+        near = materialise(near_pairs(materialise(rest.distinct(), "odd-rest"), nodes, percent), "odd-near")
         links = materialise(links.unionByName(confirmed(near, sets, percent)), "odd-links")
     named = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     firsts = named.groupBy("component").agg(F.min("first").alias("component_id"))

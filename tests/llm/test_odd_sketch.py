@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from newslens.llm import odd_sketch
 
@@ -100,5 +101,47 @@ def test_a_large_group_of_near_copies(spark):
     assert sorted(found) == sorted(brute(rows))
 
 
+@pytest.mark.parametrize("with_base", [True, False])
+def test_near_copies_that_are_not_linked_are_not_paired_out(spark, monkeypatch, with_base):
+    """200 copies with six words replaced each: they share keys, but few are linked."""
+    draw = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    copies = [list(base)] if with_base else []
+    for _ in range(200):
+        copy = list(base)
+        for i in draw.sample(range(200), 6):
+            copy[i] = f"x{i}-{draw.randrange(5)}"
+        copies.append(copy)
+    for at in draw.sample(range(1, 200), 40):
+        copy = list(copies[at])
+        copy[draw.randrange(200)] = "y"
+        copies.append(copy)
+    rows = [(i, " ".join(copy)) for i, copy in enumerate(copies)]
+    looked = []
+    whole = odd_sketch.near_pairs
+    monkeypatch.setattr(odd_sketch, "near_pairs", lambda pairs, *rest: looked.append(pairs.count()) or whole(pairs, *rest))
+    found = [tuple(r) for r in odd_sketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()]
+    assert sorted(found) == sorted(brute(rows))
+    assert len(looked) > 1 and max(looked) < 20 * len(rows)
+
+
+def test_likely_rows_keep_all_that_are_wanted(spark):
+    rows = spark.createDataFrame([(i if i % 50 else None, i % 7, str(i)) for i in range(20000)], "a long, b long, c string")
+    wanted = odd_sketch.materialise(rows.filter("c like '%77'"), "wanted")
+    kept = odd_sketch.likely(rows, wanted, ["a", "b"])
+    assert kept.columns == rows.columns and wanted.exceptAll(kept).isEmpty()
+    assert wanted.count() <= kept.count() < 0.12 * rows.count()
+    assert odd_sketch.likely(rows, odd_sketch.materialise(rows.limit(0), "wanted"), ["a", "b"]).count() == 0
+
+
+def test_texts_are_not_shuffled(spark):
+    """Only the set of a text that is near another goes through a shuffle, not the texts."""
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string")
+    wanted = odd_sketch.materialise(odd_sketch.signatures(rows).filter("doc_id < 5").withColumnRenamed("rid", "node"), "wanted")
+    found = odd_sketch.full_sets(rows, wanted, "doc_id", "text", 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 5 and not re.search(r"Exchange hashpartitioning\(doc_id", plan)
+
+
 def test_no_rows(spark):
     assert odd_sketch.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
