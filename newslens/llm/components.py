@@ -9,15 +9,18 @@ from newslens.plans.storage import discard, scratch_path, stored
 
 ROUNDS = 60
 FILE_ROWS = 500_000
+#: Edges whose nodes may be sent to all; Spark sizes the nodes of more by the packed bytes of one end.
+SENT_ROWS = 500_000
 
 
-def _star(edges: DataFrame, whole: bool) -> DataFrame:
+def _star(edges: DataFrame, whole: bool, sent: bool) -> DataFrame:
     """Edges (a, b) hung on the smallest neighbour of each node: of the larger ends of all its
-    edges (``whole``), or of the smaller ends of the edges in which it is the larger."""
+    edges (``whole``), or of the smaller ends of the edges in which it is the larger. Only with
+    ``sent`` may the nodes be sent to all."""
     if whole:
         edges = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
     lowest = edges.groupBy("a").agg(F.min("b").alias("low"))
-    met = edges.join(lowest, "a")
+    met = edges.join(lowest if sent else lowest.hint("merge"), "a")
     if whole:
         low = F.least("a", "low")
         return met.filter("b > a").select(F.col("b").alias("a"), low.alias("b"))
@@ -40,7 +43,8 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     for _ in range(rounds or ROUNDS):
         last, path = path, scratch_path(edges.sparkSession, "stars")
         # few edges need few files, whatever the number of shuffle partitions
-        stars = stored(_star(_star(stars, True), False).distinct().coalesce(-(-rows // FILE_ROWS) or 1), path)
+        sent = rows <= SENT_ROWS
+        stars = stored(_star(_star(stars, True, sent), False, sent).distinct().coalesce(-(-rows // FILE_ROWS) or 1), path)
         if last:
             discard(edges.sparkSession, last)
         # two numbers; not by an Observation, which a session cannot run Spark ML beside

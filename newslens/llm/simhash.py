@@ -173,6 +173,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     Null, empty and wordless texts have fingerprint zero and are linked like others. Rows with
     one id are separate members; a null id counts for the component only if it has no other.
     No rows give no rows. Intermediate tables go to the shared folder of the session.
+
+    What has as many rows as ``df`` or keys is never sent to all: Spark sizes keys as it does the fingerprints
+    that they are made of, up to KEYS times too low, and stored numbers by their packed bytes.
     """
     return grouped(df, doc_id, text, words, max_bits).drop("class")
 
@@ -185,27 +188,28 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: in
     rows = marked.count()
     labels = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     if max_bits == 0:
-        return marked.join(labels, "fp").select("doc_id", "fp", F.col("first").alias("component_id"), F.col("fp").alias("class"))
+        return marked.hint("merge").join(labels, "fp").select("doc_id", "fp", F.col("first").alias("component_id"), F.col("fp").alias("class"))
     labels = labels.withColumn("class", F.col("fp"))
     links = None
     if max_bits >= 2:
         links = materialise(certain_links(spread(labels, rows, AROUND)), "simhash-certain")
         merged = components(links, MERGE_ROUNDS).withColumnRenamed("node", "fp")
-        labels = labels.join(merged, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
+        labels = labels.hint("merge").join(merged, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
     labels = materialise(labels, "simhash-classes")
     dealt = spread(labels, rows, KEYS)
     left, right = keyed(dealt, True).alias("l"), keyed(dealt, False).alias("r")
     met = (F.col("l.key") == F.col("r.key")) & (F.col("l.class") < F.col("r.class")) & (differing(F.col("l.fp"), F.col("r.fp")) <= max_bits)
-    found = left.join(right, met).select(F.col("r.class").alias("a"), F.col("l.class").alias("b"))
+    found = left.hint("merge").join(right, met).select(F.col("r.class").alias("a"), F.col("l.class").alias("b"))
     if links is not None:
         classes = labels.select("fp", "class").filter("fp <> class")
         inside = classes.select(F.col("fp").alias("a"), F.col("class").alias("b"))
         found = found.unionByName(links).unionByName(inside)
     whole = components(materialise(found.distinct(), "simhash-links")).withColumnRenamed("node", "fp")
-    labels = labels.join(whole, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
+    labels = labels.hint("merge").join(whole, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
     # a class may hold a large part of all fingerprints: its smallest id goes to parts of it
     salted = labels.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)))
     smallest = salted.groupBy("class", "salt").agg(F.min("first").alias("first"))
     ids = smallest.groupBy("class").agg(F.min("first").alias("component_id"))
-    named = salted.join(smallest.select("class", "salt").join(ids, "class"), ["class", "salt"]).select("fp", "component_id", "class")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id", "class")
+    of_part = smallest.select("class", "salt").hint("merge").join(ids, "class")
+    named = salted.hint("merge").join(of_part, ["class", "salt"]).select("fp", "component_id", "class")
+    return marked.hint("merge").join(named, "fp").select("doc_id", "fp", "component_id", "class")

@@ -142,3 +142,19 @@ def test_few_false_candidates_among_random_fingerprints():
     bits = np.bitwise_count(prints[pairs[0][false]] ^ prints[pairs[1][false]])
     assert (bits > 4).sum() / len(prints) < 0.05
     assert len(left) / len(prints) <= simhash.KEYS and len(right) / len(prints) <= simhash.KEYS
+
+
+def test_keys_and_rows_are_not_sent_to_all(spark, monkeypatch):
+    """Spark takes what is made of few stored bytes for small, however many rows there are."""
+    plans = {}
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for module, name in ((simhash, "materialise"), (components, "stored")):
+        put = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda df, at, put=put: plans.setdefault(at.split("/")[-1].split("-")[0] if "/" in at else at, plan_of(df)) and put(df, at))
+    monkeypatch.setattr(components, "SENT_ROWS", -1, raising=False)
+    rows = [(i, f"one two three four five six seven {i % 9} {i % 4}") for i in range(60)] + [(60, ""), (3, None)]
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    plans["rows"] = plan_of(found)
+    assert {"simhash-links", "simhash-classes", "stars", "rows"} <= plans.keys()
+    assert [k for k, plan in plans.items() if "Broadcast" in plan] == []
+    assert sorted((r.doc_id, r.fp % (1 << 64), r.component_id) for r in found.collect()) == brute(rows)
