@@ -56,7 +56,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     row = F.min(F.struct(*["doc_id", *[c for c in docs.columns if c != "doc_id"]])).alias("row")
     # one row of each id and fingerprint before the join, so that copies do not meet in it
     rows = marked.groupBy(F.col("doc_id").alias("id"), F.col(fp).alias("fp")).agg(row)
-    first = rows.join(groups.select("fp", "component_id", "class").distinct(), "fp").filter(F.col("id").eqNullSafe(F.col("component_id")))
+    # groups has a row for each document: it is not sent to all, however few bytes it is stored in
+    first = rows.hint("merge").join(groups.select("fp", "component_id", "class").distinct(), "fp").filter(F.col("id").eqNullSafe(F.col("component_id")))
     of_group = F.when(F.col("component_id").isNull(), F.col("class"))
     kept = first.groupBy("component_id", of_group.alias("class")).agg(F.min("row").alias("row"))
     return once.unionByName(kept.select("row.*").select(*docs.columns))

@@ -68,6 +68,12 @@ def test_dedup_stage_decides_by_row(spark):
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted((i or 0, t) for i, t in want)
 
 
+def test_dedup_stage_does_not_send_all_groups_to_all(spark, docs):
+    plan = FUNCTIONS["simhash_near_dedup"](spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    inner = [line for line in plan.split("\n") if "Join" in line and "Inner" in line]
+    assert inner and all("SortMergeJoin" in line for line in inner)
+
+
 def test_pii_stage(spark, docs):
     done = FUNCTIONS["pii_surrogates"](spark, docs, "")
     assert done.dtypes == docs.dtypes and done.count() == docs.count()
