@@ -9,7 +9,7 @@ from catalog.article_queries import _STOP, rounded
 from catalog.views import ARTICLES, SPACE, articles, stamp, stamp_sql, table
 from newslens.functions import text
 from newslens.operators import search as ops
-from newslens.plans.storage import materialise, scratch_path
+from newslens.plans.storage import materialise, scratch_path, shuffles_discarded
 from newslens.sources import sinks
 
 QUERY = "the thention vipa eau"
@@ -116,6 +116,7 @@ def segments(spark, sf):
         sinks.write_postings(batch, n, root)
         if n == 1:
             sinks.compact_index(spark, root, 1)
+            sinks.discard_merged(spark, root)
     return root
 
 
@@ -128,8 +129,10 @@ def segment_scores(spark, sf):
 def segment_scores_merged(spark, sf):
     """Fuzzy scores before the last merge, which must not change them, and after it."""
     root = segments(spark, sf)
-    before = materialise(ops.score_hits(sinks.current_index(spark, root), FUZZY, fuzzy=True), "segment-scores")
+    with shuffles_discarded(spark):
+        before = materialise(ops.score_hits(sinks.current_index(spark, root), FUZZY, fuzzy=True), "segment-scores")
     sinks.compact_index(spark, root, 2)
+    sinks.discard_merged(spark, root)
     after = ops.score_hits(sinks.current_index(spark, root), FUZZY, fuzzy=True)
     return rounded(after.withColumnRenamed("score", "_score").join(before, "id").filter("abs(_score - score) < 1e-9").drop("_score"), "score")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from newslens.functions import inverted, text
 from newslens.operators.articles import MAX_SEARCH, check_limit, page_metrics, word_frequencies
-from newslens.plans.storage import discard, scratch_path, stored
+from newslens.plans.storage import shuffles_discarded, stored
 
 # Fixed values.
 FIELD_BOOST = {"title": 3.0, "body": 1.0}
@@ -75,10 +75,10 @@ def index_of(fields: DataFrame) -> Index:
 
 
 def by_term(lists: DataFrame) -> DataFrame:
-    """Postings of ``inverted`` lists, clustered by term for writing: a search then prunes row groups by
-    their min and max. Lists of many postings are dealt and sorted, not postings; the id in the range
-    key lets a term that occurs everywhere span many files."""
-    return inverted.postings(lists.repartitionByRange("term", "first").sortWithinPartitions("term", "first"))
+    """Postings of ``inverted`` blocks, clustered by term for writing: a search then prunes row groups by
+    their min and max. Packed blocks of many postings are dealt, one part to a task, which sorts their
+    postings; the id in the bounds of the parts lets a term that occurs everywhere span many files."""
+    return inverted.postings(lists.repartitionById(lists.schema["part"].metadata["parts"], F.col("part")))
 
 
 def sorted_terms(terms: DataFrame) -> DataFrame:
@@ -87,19 +87,19 @@ def sorted_terms(terms: DataFrame) -> DataFrame:
 
 def write_index(fields: DataFrame, place: Callable[[str], str], mode: str = "error") -> None:
     """Write the tables of an index of ``fields`` to where ``place`` has them: the fields, postings clustered by
-    term, lengths and dictionary. Texts are tokenised once, with the fields; the lists by term are
-    stored while they are dealt, since a range is dealt after a look at all rows."""
+    term, lengths and dictionary. Texts are tokenised once, with the fields. No table's shuffle files
+    are left when the next is written."""
     spark = fields.sparkSession
 
     def put(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode(mode).parquet(place(name))
+        with shuffles_discarded(spark):
+            df.write.mode(mode).option("compression", "zstd").parquet(place(name))
         return spark.read.schema(df.schema).parquet(place(name))
 
-    kept, lists_at = put(fields, "fields"), scratch_path(spark, "inverted")
-    lists = stored(inverted.inverted(kept), lists_at)
-    put(by_term(lists).withColumn("id", F.col("id").cast(kept.schema["id"].dataType)), "postings")
-    put(sorted_terms(lists.groupBy("field", "term").agg(F.sum("n").alias("df"))), "terms")
-    discard(spark, lists_at)
+    kept = put(fields, "fields")
+    lists = inverted.inverted(kept, inverted.bounds(kept))
+    postings = put(by_term(lists).withColumn("id", F.col("id").cast(kept.schema["id"].dataType)), "postings")
+    put(sorted_terms(dictionary(postings)), "terms")
     put(kept.select("id", "field", "dl"), "lengths")
 
 
@@ -113,7 +113,8 @@ def store_index(index: Index, path: str) -> Index:
     lengths, statistics."""
     write_index(index.fields, lambda name: f"{path}/{name}")
     spark = index.fields.sparkSession
-    stored(field_stats(spark.read.parquet(f"{path}/lengths")), f"{path}/stats")
+    with shuffles_discarded(spark):
+        stored(field_stats(spark.read.parquet(f"{path}/lengths")), f"{path}/stats")
     return read_index(spark, path)
 
 

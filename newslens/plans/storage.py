@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -60,6 +63,24 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return store.getContentSummary(place).getLength()
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, in whatever store; none without it."""
+    place, store = _place(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(place)) if store.exists(place) else []
+
+
+@contextmanager
+def shuffles_discarded(spark: SparkSession) -> Iterator[None]:
+    """What is run inside leaves no shuffle files when it ends. Else they stay until the driver happens to
+    collect its garbage, and large ones of steps that follow each other add up."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder that ``scratch_path`` named, in whatever store it lies."""
     place, store = _place(spark, path)

@@ -7,6 +7,7 @@ so a replayed batch changes nothing. Reading takes the newest row per key.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from newslens.operators.articles import newest
 from newslens.operators.search import Index, build_index, index_of, read_index, store_index, write_index
 from newslens.plans.ordered import first_per_key
-from newslens.plans.storage import discard, stored_bytes
+from newslens.plans.storage import discard, folders, stored_bytes
 from newslens.sources.corpora import CSV, is_missing
 
 #: Messages keep the whole time stamp.
@@ -225,8 +226,8 @@ def current_index(spark: SparkSession, root: str) -> Index | None:
     """
     upto = latest_version(spark, f"{root}/base")
     later = _segments(spark, root, upto, ("ids", "postings", "lengths", "terms"))
-    if later is None:
-        return None
+    if later is None:  # no segment yet, or none that was not merged and discarded
+        return None if upto is None else read_index(spark, f"{root}/base/data/version={upto}")
     ids, postings, lengths, terms = later
     newest = _newest(ids)
     live = lambda df: _live(df, newest)
@@ -262,6 +263,23 @@ def compact_index(spark: SparkSession, root: str, upto: int) -> None:
     _announce(spark, f"{root}/base", upto)
 
 
+def discard_merged(spark: SparkSession, root: str) -> None:
+    """Remove what the last merge of an index replaced: its segments, but for their ids, and the bases before
+    it. For when nothing reads an index of before the merge any more."""
+    upto = latest_version(spark, f"{root}/base")
+    if upto is None:
+        return
+    old = [f"{root}/{name}/{f}" for name in ("fields", "postings", "lengths", "terms") for f in folders(spark, f"{root}/{name}") if 0 <= _number(f) <= upto]
+    old += [f"{root}/base/data/{f}" for f in folders(spark, f"{root}/base/data") if 0 <= _number(f) < upto]
+    for path in old:
+        discard(spark, path)
+
+
+def _number(folder: str) -> int:
+    """Of a batch or version; -1 of anything else."""
+    return int(found[1]) if (found := re.fullmatch(r"(?:batch_id|version)=(\d+)", folder)) else -1
+
+
 # Drift alerts and alert history -----------------------------------------------------------------
 
 

@@ -2,14 +2,17 @@
 
 import math
 import re
+import time
 from collections import Counter
 from datetime import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
+from newslens.functions import inverted
 from newslens.operators import search as ops
-from newslens.plans.storage import scratch_path
+from newslens.plans.storage import CLEANUP, scratch_path
 
 DOCS = [
     ("1", "Fake news spreads", "the fake story about news and more news", 1),
@@ -133,3 +136,39 @@ def test_a_stored_index_tokenises_once_and_deals_lists_not_postings(spark, monke
     assert sorted(map(repr, kept.lengths.collect())) == sorted(map(repr, index.lengths.collect()))
     assert sorted(map(repr, kept.terms.select("field", "term", "df").collect())) == sorted(map(repr, ops.dictionary(index.postings).collect()))
     assert "id" in kept.postings.columns and kept.postings.schema["id"].dataType == df.schema["id"].dataType
+
+
+@pytest.mark.parametrize("part, merged", [(1 << 21, 1 << 23), (300, 1 << 23), (300, 150)])
+def test_postings_are_whole_in_any_number_of_parts(spark, monkeypatch, part, merged):
+    monkeypatch.setattr(inverted, "PART", part)
+    monkeypatch.setattr(inverted, "STEP", 20)
+    monkeypatch.setattr(inverted, "ROWS", 100)
+    monkeypatch.setattr(inverted, "MERGED", merged)
+    rows = [(n, "hot éß" if n % 3 else None, " ".join(["hot"] * (n % 300) + [f"w{n % 7}", "名", f"x{n}"])) for n in range(400)] + [(None, "hot", "w1"), (7, "hot", "")]
+    df = spark.createDataFrame(rows, "id long, title string, body string").repartition(3)
+    index = ops.build_index(df)
+    cuts = inverted.bounds(index.fields)
+    assert (len(cuts) > 20) == (part == 300) and cuts == sorted(cuts)
+    kept = ops.store_index(index, scratch_path(spark, "test-index"))
+    facts = lambda df: sorted(map(repr, df.select("id", "field", "term", "tf", "dl").collect()))
+    assert facts(kept.postings) == facts(index.postings) and kept.postings.dtypes == index.postings.dtypes
+    assert sorted(map(repr, kept.terms.collect())) == sorted(map(repr, ops.dictionary(index.postings).select(*kept.terms.columns).collect()))
+    if merged > part > 1000 or part == 300 < merged:
+        files = kept.postings.select(F.input_file_name().alias("f"), F.struct("term", "field", F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("k")).groupBy("f").agg(F.min("k").alias("low"), F.max("k").alias("high"))
+        spans = sorted((tuple(r.low), tuple(r.high)) for r in files.collect())
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])) and (len(spans) > 20) == (part == 300)
+
+
+def test_a_stored_index_leaves_no_shuffle_files(spark, articles):
+    def left():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {f for f in files if "/shuffle_" in f}
+
+    before, setting = left(), spark.conf.get(CLEANUP, None)
+    ops.store_index(ops.build_index(articles.repartition(3)), scratch_path(spark, "test-index"))
+    mine = lambda: {f for f in left() - before if f.endswith(".data")}
+    for _ in range(50):
+        if not mine():
+            break
+        time.sleep(0.2)
+    assert not mine() and spark.conf.get(CLEANUP, None) == setting

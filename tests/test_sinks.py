@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newslens.operators.search import score_hits
+from newslens.plans.storage import folders
 from newslens.sources import sinks
 
 SCHEMA = "id string, title string, timestamp timestamp, processed_at timestamp, p_fake double"
@@ -154,6 +155,23 @@ def test_merged_segments_give_the_same_index(spark, tmp_path):
     assert (facts(merged), [found(merged, q, f) for q in ("words", "old new", "newre wrods") for f in (False, True)]) == want
 
 
+def test_what_a_merge_replaced_can_be_discarded(spark, tmp_path):
+    root = str(tmp_path / "index")
+    batches = [[("1", "old words", "x"), ("2", "old", "y z")], [("1", "new words", "")], [("4", "late", "words"), ("2", "newer", "y")], [("5", "last", "words")]]
+    held = lambda: [n for name in ("fields", "postings", "lengths", "terms") for n in folders(spark, f"{root}/{name}") if n.startswith("batch")] + [n for n in folders(spark, f"{root}/base/data") if n.startswith("version")]
+    found = lambda: [sorted((r.id, round(r.score, 9)) for r in score_hits(sinks.current_index(spark, root), q, f).collect()) for q in ("words", "old new", "newre wrods") for f in (False, True)]
+    for n, rows in enumerate(batches):
+        sinks.write_postings(spark.createDataFrame(rows, "id string, title string, body string"), n, root)
+        want = found()
+        sinks.discard_merged(spark, root)
+        if n in (1, 2):
+            sinks.compact_index(spark, root, n)
+            sinks.discard_merged(spark, root)
+            assert held() == [f"version={n}"]
+        assert found() == want
+    assert held() == ["batch_id=3"] * 4 + ["version=2"]
+
+
 def test_an_article_without_words_left_is_no_longer_found(spark, tmp_path):
     root = str(tmp_path / "index")
     for n, title in enumerate(["words", ""]):
